@@ -37,6 +37,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def keep_scratch(df: DataFrame) -> None:
+    """Spare the tables that ``df`` reads."""
+    read = {p.rpartition("/")[0] for p in df.inputFiles()}
+    _SCRATCH[:] = [x for x in _SCRATCH if not any(p.endswith(x[1].rpartition("/")[2]) for p in read)]
+
+
 def drop_scratch() -> None:
     """Delete the scratch tables of results that have been written elsewhere."""
     while _SCRATCH:
