@@ -1,0 +1 @@
+"""No streaming operators: the work here is batch throughout."""
