@@ -19,7 +19,7 @@ def mime_type(content_type: Column, index_mime: Column) -> Column:
 
 def header_value(headers: Column, name: str) -> Column:
     """First value of that name, in any case, of array<struct<name, value>>."""
-    return F.element_at(F.filter(headers, lambda h: F.lower(h["name"]) == name.lower()), 1)["value"] if name else F.lit(None)
+    return F.get(F.filter(headers, lambda h: F.lower(h["name"]) == name.lower()), F.lit(0))["value"]
 
 
 def parse_headers(block: Column) -> Column:
@@ -65,6 +65,22 @@ def content_length(text: Column) -> Column:
     return F.regexp_extract(text, r"^\s*([+-]?[0-9]+)", 1).try_cast("bigint")
 
 
+#: Headers that tell a length before compression, in order of trust.
+UNCOMPRESSED_LENGTHS = ("ntcoent-length", "x-uncompressed-content-length", "x-original-content-length", "x-decompressed-content-length", "cteonnt-length")
+
+
+def uncompressed_length(headers: Column) -> Column:
+    """Length of the content once unpacked, by array<struct<name, value>>; null where a packed one doesn't tell."""
+    packed = F.coalesce(header_value(headers, "content-encoding") == "gzip", F.lit(False))
+    return F.when(packed, F.coalesce(*(content_length(header_value(headers, n)) for n in UNCOMPRESSED_LENGTHS))).otherwise(content_length(header_value(headers, "content-length")))
+
+
+def crawl_title(title: Column) -> Column:
+    """A collection's title, trimmed, without a closing "Index" and with "Crawl" in it."""
+    bare = F.trim(F.regexp_replace(F.trim(title), " Index$", ""))
+    return F.when(bare.contains("Crawl"), bare).otherwise(F.concat(bare, F.lit(" Crawl")))
+
+
 #: Characters that file names don't hold, in the order of escaping.
 FILE_NAME_ESCAPES = (("~", "~~"), ("?", "~q"), ("/", "~s"), ("\\", "~b"), ("*", "~a"), (":", "~c"), ("|", "~p"), ("<", "~l"), (">", "~g"), ('"', "~'"))
 

@@ -1 +1,4 @@
 """Registered queries over the given tables, with their SQL."""
+
+from arkspark.plans import archive_queries  # noqa: F401  registers its queries
+from arkspark.plans.queries import QUERIES, SQL  # noqa: F401

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from arkspark.functions import scalars, urls
 from arkspark.operators import etags, sampling
-from arkspark.plans.queries import QUERIES, SQL
+from arkspark.plans import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 
