@@ -94,10 +94,10 @@ def layout_stage(fragments: Sequence[tuple[str, str]], variants: dict[str, dict[
 def run_stages(sources: DataFrame, stages: Sequence[Stage]) -> tuple[DataFrame, DataFrame]:
     """(contents, links) of sources (sha, content) after all stages.
 
-    After each stage equal contents with equal parameters become one row. links (source_sha, sha, param_key) says which
+    A null content counts as empty. After each stage equal contents with equal parameters become one row. links (source_sha, sha, param_key) says which
     sources an output comes from; as rows, not lists, since a thousand sources may fold into one content.
     """
-    contents = sources.select("sha", F.lit("").alias("param_key"), F.expr("cast(map() as map<string, string>)").alias("params"), "content").dropDuplicates(["sha"])
+    contents = sources.select("sha", F.lit("").alias("param_key"), F.expr("cast(map() as map<string, string>)").alias("params"), F.coalesce("content", F.lit("")).alias("content")).dropDuplicates(["sha"])
     links = contents.select(F.col("sha").alias("source_sha"), "sha", "param_key")
     for stage in stages:
         out = stage(contents.withColumn("old_sha", F.col("sha")).withColumn("old_key", F.col("param_key")))
