@@ -65,4 +65,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op3_chat_formatting, op4_quality_rules, op5_mixing_sources, op6_token_counts, op7_html_extraction, op8_quality_classifier, op9_benchmark_decontamination, op10_warc)}
 
 
-ORACLE_SQL: dict[str, str] = {}
+#: The rows of the archive query: digests in base32 by groups of 40 bits. The others rest on models, tokenizers or similarity.
+ORACLE_SQL: dict[str, str] = {
+    "op10_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), h AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS hex FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_id FROM h)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST('0x' || substr(hex, 10 * (i // 8) + 1, 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31) AS BIGINT), 1)), '') AS payload_digest,
+CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM f"""
+}
