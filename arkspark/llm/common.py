@@ -43,13 +43,23 @@ def keep_scratch(df: DataFrame) -> None:
     _SCRATCH[:] = [x for x in _SCRATCH if not any(p.endswith(x[1].rpartition("/")[2]) for p in read)]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the scratch tables that ``df`` reads, once nothing reads them any more."""
+    read = {p.rpartition("/")[0].rpartition("/")[2] for p in df.inputFiles()}
+    for x in [x for x in _SCRATCH if x[1].rpartition("/")[2] in read]:
+        _SCRATCH.remove(x)
+        _delete(*x)
+
+
 def drop_scratch() -> None:
     """Delete the scratch tables of results that have been written elsewhere."""
     while _SCRATCH:
-        spark, path = _SCRATCH.pop()
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _delete(*_SCRATCH.pop())
 
 
 class WordIds(dict):
