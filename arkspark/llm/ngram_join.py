@@ -210,6 +210,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return both.where(den * F.col("i") >= num * (F.col("n") - F.col("i"))).select("a", "b")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+
+
 def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id) for every row of ``docs`` (doc_id, text; other columns are ignored).
 
@@ -259,6 +263,10 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10)
             rows = large.join(comps.select(F.col("node").alias("key"), F.col("component").alias("c")), "key", "left").withColumn("comp", F.coalesce("c", "key"))
         return rows.select("gram", "lo", "hi", "key", "comp", "n", "pos", "side", "bits").groupBy("gram", "lo", "hi").applyInPandas(_nearest(num, den, high, comps is None), "a long, b long, far long, rest long")
 
+    def sets_of(ends: DataFrame) -> DataFrame:
+        wanted = docs.where("doc_id is not null").join(ends.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+        return materialise(wanted.mapInArrow(_whole_sets(k), "key long, items array<long>"), "sets")
+
     if some_large:
         pairs = pairs.unionByName(near(RANKS[0], None))
     pairs = materialise(pairs.groupBy("a", "b").agg(F.min("far").alias("far"), F.sum("rest").alias("rest")), "pairs")
@@ -267,9 +275,7 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10)
         discard(shared)
     met, pairs = pairs, materialise(_plausible(pairs.where("a is not null"), classes, num, den), "pairs")
     discard(met)
-    ends = pairs.where("a is not null").select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    wanted = docs.where("doc_id is not null").join(ends.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    sets = materialise(wanted.mapInArrow(_whole_sets(k), "key long, items array<long>"), "sets")
+    sets = sets_of(_ends(pairs))
     first = pairs.where("a is not null").select("far", F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"))
     first = first.groupBy("p.x").agg(F.min(F.struct("far", "p.y")).alias("p")).select(F.least("x", "p.y").alias("a"), F.greatest("x", "p.y").alias("b")).distinct()
     first = materialise(first, "pairs")
@@ -289,7 +295,11 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10)
         more = near(high, comps).groupBy("a", "b").agg(F.sum("rest").alias("rest"))
         more = materialise(more.join(done, ["a", "b"], "left_anti"), "pairs")
         done = done.unionByName(more.select("a", "b"))
-        found = materialise(_verified(_plausible(more.where("a is not null").select("a", "b"), classes, num, den), sets, num, den), "links")
+        likely = materialise(_plausible(more.where("a is not null").select("a", "b"), classes, num, den), "pairs")
+        lacking = _ends(likely).join(sets.select(F.col("key").alias("doc_id")), "doc_id", "left_anti")
+        if not lacking.isEmpty():
+            sets = sets.unionByName(sets_of(lacking))
+        found = materialise(_verified(likely, sets, num, den), "links")
         rest = more.where("a is null").agg(F.sum("rest")).first()[0] or 0
         if not found.isEmpty():
             links = links.unionByName(found)

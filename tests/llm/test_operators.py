@@ -56,6 +56,13 @@ def test_join_edge_cases(spark):
     assert ngram_jaccard_join(docs(spark).limit(0)).count() == 0
 
 
+def test_join_links_long_copies_whose_nearest_bitmaps_mislead(spark):
+    body = " ".join(f"b{i}" for i in range(28_110))
+    rows = [(i, f"{body} " + " ".join(f"t{i}x{j}" for j in range(1_890)), "s") for i in range(1, 49)]
+    out = ngram_jaccard_join(docs(spark, (0, body, "s"), *rows), k=3, num=9, den=10).collect()
+    assert [r.doc_id for r in out if r.component_id != 0] == []
+
+
 def test_counterfactuals_hold_mentions_down():
     rows = [(1, ["idiot", "muslim"])] * 30 + [(0, ["nice"])] * 50 + [(0, ["muslim"])] * 2
     words = ["idiot", "nice", *sorted(toxicity.IDENTITY_TERMS)]
