@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from arkspark.llm.common import WordIds, materialise, only, texts, windows
 
 SYMBOLS = b"#*$%&|<>"
-#: A line is boilerplate in more distinct texts of its host than this, and than this share of the host's texts.
-LINE_TEXTS, LINE_SHARE = 100, 0.01
+#: A line is boilerplate in more than this share of its host's distinct texts; in tiny hosts, in more texts than the floor.
+LINE_TEXTS, LINE_SHARE = 5, 0.01
 #: A document is depleted if its other lines hold fewer words than this, and less than this share of its words.
 LEFT_WORDS, LEFT_SHARE = 20, 0.2
 

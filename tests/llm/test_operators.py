@@ -91,6 +91,19 @@ def test_quality_rules(spark):
     assert out[101].base_failed and out[102].n_words == 0
 
 
+def planted(name, n, with_line, start):
+    """A host's texts, of which ``with_line`` have a common line; the first is hardly more than that line."""
+    line, own = " ".join(f"l{j}" for j in range(40)), lambda i: " ".join(f"{name}{i}x{j}" for j in range(30 if i else 3))
+    return [(start + i, (line + "\n" if i < with_line else "") + own(i), name) for i in range(n)]
+
+
+def test_quality_rules_find_planted_lines_by_default(spark):
+    rows = planted("small", 40, 6, 0) + planted("tiny", 40, 5, 1000) + planted("middle", 700, 8, 2000) + planted("rare", 700, 7, 3000)
+    out = quality_rules(docs(spark, *rows)).collect()
+    assert sorted(r.doc_id for r in out if r.frequent_lines) == [*range(6), *range(2000, 2008)]
+    assert sorted(r.doc_id for r in out if not r.kept) == [0, 2000]
+
+
 def test_mix_meets_targets(spark):
     rows = [(i, "w " * (1 + i % 7), f"s{i % 3}") for i in range(300)] + [(900, None, None), (None, "a b", None)]
     out = mix_sources(docs(spark, *rows)).collect()
