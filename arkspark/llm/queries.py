@@ -34,7 +34,8 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents")).drop("row_id", "text_hash")
+    out = quality_rules(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "frequent_lines", "left_words", "left_text")
 
 
 def op5_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from arkspark.llm import decontaminate, html_extract, toxicity, warc_zstd
 from arkspark.llm.chat_format import chat_digest, format_chats
 from arkspark.llm.common import table
@@ -104,6 +105,18 @@ def test_quality_rules_find_planted_lines_by_default(spark):
     assert sorted(r.doc_id for r in out if not r.kept) == [0, 2000]
 
 
+def test_frequent_lines_leave_the_texts(spark, tmp_path):
+    rows = planted("small", 40, 6, 0) + planted("rare", 700, 7, 3000) + [(None, "a\n\n" + planted("small", 2, 2, 0)[1][1].upper() + "\n b", "small")] * 2 + [(9000, None, None)]
+    given = docs(spark, *rows).withColumn("n_chars", F.length("text"))
+    out = quality_rules(given).collect()
+    assert len(out) == len(rows)
+    line = " ".join(f"l{j}" for j in range(40))
+    want = lambda t, s: t and "\n".join(x for x in t.split("\n") if s != "small" or x.lower() != line)
+    assert sorted(((r.doc_id, r.left_text) for r in out), key=str) == sorted(((i, want(t, s)) for i, t, s in rows), key=str)
+    kept = corpus_pipeline.keep_good(spark, given, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text, r.n_chars) for r in kept), key=str) == sorted(((i, want(t, s), len(want(t, s))) for i, t, s in rows if t and i != 0), key=str)
+
+
 def test_mix_meets_targets(spark):
     rows = [(i, "w " * (1 + i % 7), f"s{i % 3}") for i in range(300)] + [(900, None, None), (None, "a b", None)]
     out = mix_sources(docs(spark, *rows)).collect()
