@@ -411,7 +411,16 @@ def header_names(spark, d):
 
 @query("SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) + 1 AS modified, true AS found FROM events WHERE event_id % 10 = 0")
 def etag_round_trip(spark, d):
-    e = spark.read.parquet(f"{d}/events.parquet").where("event_id % 10 = 0").select("event_id", (F.unix_timestamp(F.date_trunc("second", "ts").cast("timestamp")) + 1).alias("modified"))
+    return _etags_found(spark.read.parquet(f"{d}/events.parquet").where("event_id % 10 = 0"))
+
+
+@query("SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) + 1 AS modified, true AS found FROM events")
+def etag_round_trip_all(spark, d):
+    return _etags_found(spark.read.parquet(f"{d}/events.parquet"))
+
+
+def _etags_found(events: DataFrame) -> DataFrame:
+    e = events.select("event_id", (F.unix_timestamp(F.date_trunc("second", "ts").cast("timestamp")) + 1).alias("modified"))
     rows = e.select("event_id", "modified", scalars.iis_etag(F.col("modified"), F.lit(0), F.col("event_id") % 16).alias("etag"), (F.col("modified") + 60).alias("capture_seconds"))
     return etags.etag_candidates(rows).select("event_id", "modified", F.exists("candidates", lambda s: s == F.col("modified")).alias("found"))
 
