@@ -372,8 +372,20 @@ def classified(spark, d):
 SELECT ord, CASE WHEN url LIKE 'http://\\%' THEN regexp_replace(url, '^http://\\\\+', 'http://') WHEN status = 200 AND NOT url LIKE '%/' AND concat(url, '/') = request THEN concat(url, '/') ELSE url END AS url,
 CAST(CASE WHEN url LIKE 'http://\\%' OR (status = 200 AND NOT url LIKE '%/' AND concat(url, '/') = request) THEN 1 ELSE 0 END AS INT) AS n FROM r""")
 def corrected(spark, d):
+    return _corrections(captures(spark, d).where("url like 'http://%'"))
+
+
+@query("""WITH CAPS, r AS (SELECT ord, CASE WHEN ord % 7 = 0 AND url LIKE 'http://%' THEN concat('http://\\', substr(url, 8)) ELSE split_part(split_part(url, '#', 1), '?', 1) END AS url, concat(split_part(split_part(url, '#', 1), '?', 1), '/') AS request, status FROM caps)
+SELECT ord, CASE WHEN url LIKE 'http://\\%' THEN regexp_replace(url, '^http://\\\\+', 'http://') WHEN status = 200 AND NOT url LIKE '%/' AND concat(url, '/') = request THEN concat(url, '/') ELSE url END AS url,
+CAST(CASE WHEN url LIKE 'http://\\%' OR (status = 200 AND NOT url LIKE '%/' AND concat(url, '/') = request) THEN 1 ELSE 0 END AS INT) AS n FROM r""")
+def corrected_all(spark, d):
+    return _corrections(captures(spark, d))
+
+
+def _corrections(caps: DataFrame) -> DataFrame:
     bare = F.substring_index(F.substring_index("url", "#", 1), "?", 1)
-    rows = captures(spark, d).where("url like 'http://%'").select("ord", F.when(F.col("ord") % 7 == 0, F.concat(F.lit("http://\\"), F.substring(F.col("url"), F.lit(8), F.length("url")))).otherwise(bare).alias("url"), F.concat(bare, F.lit("/")).alias("request_url"), "status")
+    back = (F.col("ord") % 7 == 0) & F.col("url").startswith("http://")
+    rows = caps.select("ord", F.when(back, F.concat(F.lit("http://\\"), F.substring(F.col("url"), F.lit(8), F.length("url")))).otherwise(bare).alias("url"), F.concat(bare, F.lit("/")).alias("request_url"), "status")
     return cls.correct(rows).select("ord", "url", F.size("corrections").alias("n"))
 
 
