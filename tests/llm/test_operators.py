@@ -3,7 +3,9 @@
 import base64
 import hashlib
 import io
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -163,6 +165,27 @@ def test_decontamination_finds_every_copy(spark):
     assert copies and copies <= found
 
 
+def test_decontamination_finds_altered_copies_at_any_size(spark):
+    d, draw = "/root/testdata/sf0.01", random.Random(1)
+    rows = [(r.item_id, r.text.encode()) for r in table(spark, d, "benchmark").orderBy("item_id").limit(100).collect()]
+    items = decontaminate.Items.of([*rows, (-1, " ".join(f"long{i}" for i in range(2_000)).encode())])
+    texts = [decontaminate.words_of((r.text or "").encode()) for r in table(spark, d, "documents").orderBy("doc_id").limit(300).collect()]
+    held = [set(items.slots_of(t)) for t in texts]
+    idf = [np.log1p(301 / (1 + sum(slot in h for h in held))) for slot in range(items.size)]
+    space = decontaminate.project_items(items, np.eye(items.size), np.array([*idf, np.log1p(15e6)]))
+    missed = []
+    for item_id, words in zip(items.ids, items.words, strict=True):
+        altered, text = list(words), draw.choice(texts)
+        for i in draw.sample(range(len(words)), len(words) // 4):
+            altered[i] = b"unseen%d" % draw.randrange(10**6)
+        at = draw.randrange(len(text) + 1)
+        text = text[:at] + altered + text[at:]
+        assert decontaminate.common_subsequence(words, text) >= decontaminate.COPY * len(words)
+        if item_id not in [m[0] for m in decontaminate._matches(items, space, text, decontaminate.COSINE)]:
+            missed.append(item_id)
+    assert missed == []
+
+
 def test_archives_round_trip(spark):
     rows = [(1, "http://a", "same"), (2, "http://b", "same"), (3, "u", None), (4, "u", ""), (None, "u", "same")] + [(i, "u", f"<p>{'x' * i}</p>") for i in range(10, 40)]
     out = {r.page_id: r for r in warc_zstd.archive_round_trip(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
