@@ -151,7 +151,7 @@ def dotted_ipv4(name: Column) -> Column:
 
 
 def wayback_urlkey(url: Column) -> Column:
-    """Full archive sort key of URLs without percent escapes beyond ASCII: see ``operators.urlkeys`` for the others."""
+    """Full archive sort key of URLs without percent escapes beyond ASCII: the others aren't built."""
     plain = F.regexp_replace(F.trim(url), "#.*$", "")
     text = F.when(query(plain) != "", reorder_query(F.lower(strip_session_ids(F.substring(query(plain), F.lit(2), F.length(query(plain))))))).otherwise("")
     way = F.lower(strip_path_session(normalise_path(path(plain))))
