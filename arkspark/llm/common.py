@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,54 +14,65 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_SCRATCH: list[tuple[SparkSession, str]] = []
-
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The shared folder of ``spark.checkpoint.dir``. Where that is unset: a temporary one in local mode, else an error,
+    as executors on other machines wouldn't see it."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="arkspark-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    path = f"{scratch_root(spark)}/arkspark-{label}-{uuid.uuid4().hex}"
-    _SCRATCH.append((spark, path))
-    return path
+class Scratch:
+    """Tables that one call writes into a folder of its own under the shared one: later jobs survive lost executors.
 
+    The call deletes what its result doesn't read; the rest stays until ``clear``, at the latest until Python ends.
+    Calls don't touch each other's tables.
+    """
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back: later jobs survive lost executors."""
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, f"{scratch_root(spark)}/arkspark-{uuid.uuid4().hex}"
+        self.names: list[str] = []
+        atexit.register(self._at_end)
 
+    def path(self, label: str) -> str:
+        self.names.append(f"{len(self.names)}-{label}")
+        return f"{self.folder}/{self.names[-1]}"
 
-def keep_scratch(df: DataFrame) -> None:
-    """Spare the tables that ``df`` reads."""
-    read = {p.rpartition("/")[0] for p in df.inputFiles()}
-    _SCRATCH[:] = [x for x in _SCRATCH if not any(p.endswith(x[1].rpartition("/")[2]) for p in read)]
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        """``df`` as Parquet, read back."""
+        path = self.path(label)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
+    def _delete(self, path: str) -> None:
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
-def _delete(spark: SparkSession, path: str) -> None:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    def _read_by(self, frames: tuple[DataFrame, ...]) -> set[str]:
+        inside = self.folder.rpartition("/")[2] + "/"
+        return {p.rpartition(inside)[2].partition("/")[0] for df in frames for p in df.inputFiles() if inside in p}
 
+    def drop(self, *frames: DataFrame) -> None:
+        """Delete the tables of this call that ``frames`` read."""
+        for name in self._read_by(frames):
+            self._delete(f"{self.folder}/{name}")
 
-def discard(df: DataFrame) -> None:
-    """Delete the scratch tables that ``df`` reads, once nothing reads them any more."""
-    read = {p.rpartition("/")[0].rpartition("/")[2] for p in df.inputFiles()}
-    for x in [x for x in _SCRATCH if x[1].rpartition("/")[2] in read]:
-        _SCRATCH.remove(x)
-        _delete(*x)
+    def keep_only(self, *frames: DataFrame) -> None:
+        """Delete all tables of this call but those that ``frames`` read."""
+        for name in set(self.names) - self._read_by(frames):
+            self._delete(f"{self.folder}/{name}")
 
+    def clear(self) -> None:
+        self._delete(self.folder)
 
-def drop_scratch() -> None:
-    """Delete the scratch tables of results that have been written elsewhere."""
-    while _SCRATCH:
-        _delete(*_SCRATCH.pop())
+    def _at_end(self) -> None:
+        with contextlib.suppress(Exception):
+            self.clear()
 
 
 class WordIds(dict):

@@ -2,14 +2,16 @@
 
 Two texts link when the Jaccard similarity of their sets of word n-grams reaches ``num / den``. The steps:
 
-1. One scan gives each document the size and digest of its set, a parity bitmap, and adds up how many documents
-   hold each n-gram, in a table of fixed size (``FREQUENCY_SLOTS`` counters). Equal sets are one class from here on.
-2. A second scan orders each set by that frequency, rarest first, and keeps the prefix that two similar sets must
-   share an n-gram in. Prefix n-grams that nobody else holds go.
-3. Classes that share a prefix n-gram pair up if the length filter, the positional filter and the suffix filter let
-   them. The suffix filter is a Hamming bound: two sets differ in at least as many n-grams as their parity bitmaps
-   differ in bits. Pairs found are held against wider bitmaps, of twice as many bits as the set has n-grams, since
-   those of fixed width tell nothing about long texts.
+1. One scan gives each document the size and digest of its set, and counts which n-grams one set alone holds
+   (``gram_blocks``). Equal sets are one class from here on. A class with so many private n-grams that a prefix could
+   be made of them has no partner and is done.
+2. The sets of the other classes are written once, with parity bitmaps. Each is ordered by how many of these classes
+   hold an n-gram, rarest first, told by ``FREQUENCY_SLOTS`` counters; its prefix, that two similar sets must share an
+   n-gram in, goes on as (n-gram, class, position, size). Prefix n-grams that one class alone holds go.
+3. Classes that share a prefix n-gram pair up if the length filter and the positional filter let them. Each pair is then
+   held against the suffix filter once. That is a Hamming bound: two sets differ in at least as many n-grams as their parity bitmaps
+   differ in bits. It stands on bitmaps of two to four bits an n-gram instead of halving the suffixes, since those
+   would have to be shipped for it.
 4. Each pair left is verified once, on the sets themselves: first each class with its nearest by the bitmaps, then
    the pairs that aren't within one component yet.
 
@@ -27,11 +29,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arkspark.llm.common import WordIds, discard, materialise, mix, multipliers, only, texts, windows
+from arkspark.llm.common import Scratch, WordIds, mix, multipliers, only, texts, windows
 from arkspark.llm.components import connected_components
+from arkspark.llm.gram_blocks import RECORDS, pack, private_counts, slice_end
 
 FREQUENCY_SLOTS = 1 << 20
 _BLOCK_SLOTS = 1 << 10
@@ -57,55 +60,127 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return ((h >> np.uint64(20)) & np.uint64(FREQUENCY_SLOTS - 1)).astype(np.int64)
 
 
-def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[list, list[np.ndarray]]]:
+def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     ids = WordIds()
     for part, rows in texts(batches, "text"):
-        yield part.column("doc_id").to_pylist(), [shingle_set(ids.of((t or b"").lower().split()), k) for t in rows]
+        yield part, [shingle_set(ids.of((t or b"").lower().split()), k) for t in rows]
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = pa.array(np.cumsum([0, *map(len, arrays)]).astype(np.int32))
+    return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(arrays).view(np.int64) if arrays else np.empty(0, np.int64)))
 
 
 def _digest(h: np.ndarray) -> bytes:
     return hashlib.blake2b(h.tobytes(), digest_size=16).digest()
 
 
+def _name(digest: bytes) -> int:
+    """48 bits of a set's digest; sets that share them count as not told apart."""
+    return int.from_bytes(digest[:6], "little")
+
+
+def _parities(h: np.ndarray, power: int) -> np.ndarray:
+    odd = np.bincount((h >> np.uint64(20) & np.uint64((1 << power) - 1)).astype(np.int64), minlength=1 << power) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _bitmap(h: np.ndarray) -> list[int]:
-    odd = np.bincount((h >> np.uint64(55)).astype(np.int64), minlength=_BITS) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+    """Parity bitmap of ``_BITS`` bits: whether the set has an odd number of n-grams in each slot."""
+    return _parities(h, _BITS.bit_length() - 1).tolist()
 
 
 def _wide_bitmap(h: np.ndarray) -> np.ndarray:
     """Parity bitmap of 2 to 4 bits for each n-gram; empty where that of fixed width is as wide."""
     power = int(2 * len(h) - 1).bit_length() if len(h) else 0
-    if 1 << power <= _BITS:
-        return np.empty(0, np.int64)
-    odd = np.bincount((h >> np.uint64(64 - power)).astype(np.int64), minlength=1 << power) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return np.empty(0, np.int64) if 1 << power <= _BITS else _parities(h, power)
+
 
+_PACKED = "bucket int, doc_id long, n long, digest binary, name long, block binary"
+_PROFILE = "doc_id long, n long, digest binary, name long, private long"
 
-_PROFILE = "doc_id long, n long, digest binary, bits array<long>, wide array<long>, block int, counts binary"
 
+def _profiles(k: int, end: np.uint64):
+    """A row for each document and the packed n-grams, up to ``end``, of those with an id."""
+
+    def packed(hashes: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
+        buckets, blocks = pack(hashes, names)
+        none = lambda kind: pa.nulls(len(blocks), kind)
+        return pa.RecordBatch.from_arrays([buckets, none(pa.int64()), none(pa.int64()), none(pa.binary()), none(pa.int64()), blocks], ["bucket", "doc_id", "n", "digest", "name", "block"])
 
-def _profiles(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(FREQUENCY_SLOTS, np.uint32)
-        for doc_ids, sets in _sets(batches, k):
-            counts += np.bincount(_slot(np.concatenate(sets)), minlength=FREQUENCY_SLOTS).astype(np.uint32)
-            none = [None] * len(sets)
-            wide = [_wide_bitmap(h) for h in sets]
-            ends = pa.array(np.cumsum([0, *(len(x) for x in wide)]).astype(np.int32))
+        hashes, names, size = [], [], 0
+        for part, sets in _sets(batches, k):
+            digests = [_digest(h) for h in sets]
+            called = [_name(d) for d in digests]
+            buckets = pa.array([-1 - x % (1 << 16) for x in called], pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(doc_ids, pa.int64()), pa.array([len(h) for h in sets], pa.int64()), pa.array([_digest(h) for h in sets], pa.binary()), pa.array([_bitmap(h) for h in sets], pa.list_(pa.int64())), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(wide))), pa.array(none, pa.int32()), pa.array(none, pa.binary())],
-                ["doc_id", "n", "digest", "bits", "wide", "block", "counts"],
+                [buckets, part.column("doc_id"), pa.array([len(h) for h in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(called, pa.int64()), pa.nulls(len(sets), pa.binary())],
+                ["bucket", "doc_id", "n", "digest", "name", "block"],
             )
-        held = [b for b in range(FREQUENCY_SLOTS // _BLOCK_SLOTS) if counts[b * _BLOCK_SLOTS : (b + 1) * _BLOCK_SLOTS].any()]
-        none = [None] * len(held)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(none, pa.int64()), pa.array(none, pa.int64()), pa.array(none, pa.binary()), pa.array(none, pa.list_(pa.int64())), pa.array(none, pa.list_(pa.int64())), pa.array(held, pa.int32()), pa.array([counts[b * _BLOCK_SLOTS : (b + 1) * _BLOCK_SLOTS].tobytes() for b in held], pa.binary())],
-            ["doc_id", "n", "digest", "bits", "wide", "block", "counts"],
-        )
+            for h, name, has_id in zip(sets, called, part.column("doc_id").is_valid().to_pylist(), strict=True):
+                low = h[: np.searchsorted(h, end, "right")]
+                if has_id and len(low):
+                    hashes.append(low)
+                    names.append(name)
+                    size += len(low)
+            if size >= RECORDS:
+                yield packed(hashes, names)
+                hashes, names, size = [], [], 0
+        yield packed(hashes, names)
 
     return run
 
 
+def _count_private(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows sorted by bucket: those of documents as they are, and of the blocks the private n-grams by name."""
+    columns = ["doc_id", "n", "digest", "name"]
+    docs: list[pa.RecordBatch] = []
+
+    def blocks() -> Iterator[tuple[int, bytes]]:
+        for batch in batches:
+            rows = batch.filter(batch.column("digest").is_valid())
+            if rows.num_rows:
+                docs.append(pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), pa.nulls(rows.num_rows, pa.int64())], [*columns, "private"]))
+            rows = batch.filter(batch.column("block").is_valid())
+            yield from zip(rows.column("bucket").to_pylist(), rows.column("block").to_pylist(), strict=True)
+
+    for names, counts in private_counts(blocks()):
+        none = lambda kind: pa.nulls(len(names), kind)  # noqa: B023, E731
+        yield from docs
+        docs.clear()
+        yield pa.RecordBatch.from_arrays([none(pa.int64()), none(pa.int64()), none(pa.binary()), pa.array(names.astype(np.int64)), pa.array(counts)], [*columns, "private"])
+
+
+def _whole_sets(k: int):
+    """The sets that have the digest asked for; other texts of the same id have another."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, sets in _sets(batches, k):
+            wanted = [(key, h) for key, d, h in zip(part.column("doc_id").to_pylist(), part.column("digest").to_pylist(), sets, strict=True) if d == _digest(h)]
+            held = [h for _, h in wanted]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key for key, _ in wanted], pa.int64()), pa.array([len(h) for h in held], pa.int64()), _lists(held), pa.array([_bitmap(h) for h in held], pa.list_(pa.int64())), _lists([_wide_bitmap(h) for h in held])],
+                ["key", "n", "items", "bits", "wide"],
+            )
+
+    return run
+
+
+def _items(batch: pa.RecordBatch) -> list[np.ndarray]:
+    column = batch.column("items")
+    ends, flat = np.asarray(column.offsets), np.asarray(column.values).view(np.uint64)
+    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _count_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(FREQUENCY_SLOTS, np.uint32)
+    for batch in batches:
+        counts += np.bincount(_slot(np.concatenate([*_items(batch), np.empty(0, np.uint64)])), minlength=FREQUENCY_SLOTS).astype(np.uint32)
+    held = [b for b in range(FREQUENCY_SLOTS // _BLOCK_SLOTS) if counts[b * _BLOCK_SLOTS : (b + 1) * _BLOCK_SLOTS].any()]
+    yield pa.RecordBatch.from_arrays([pa.array(held, pa.int32()), pa.array([counts[b * _BLOCK_SLOTS : (b + 1) * _BLOCK_SLOTS].tobytes() for b in held], pa.binary())], ["block", "counts"])
+
+
 def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
@@ -115,37 +190,24 @@ def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(clipped, pa.binary())], ["block", "counts"])
 
 
-def _frequencies(profiles: DataFrame) -> np.ndarray:
+def _frequencies(sets: DataFrame) -> np.ndarray:
     """The summed counters: ``FREQUENCY_SLOTS`` numbers at any input size, so that they can be broadcast."""
-    parts = profiles.where("block is not null").select("block", "counts")
+    parts = sets.select("items").mapInArrow(_count_slots, "block int, counts binary")
     out = np.zeros(FREQUENCY_SLOTS, np.uint32)
     for row in parts.repartition(16, "block").mapInArrow(_add_blocks, "block int, counts binary").collect():
         out[row.block * _BLOCK_SLOTS : (row.block + 1) * _BLOCK_SLOTS] = np.frombuffer(row.counts, np.uint32)
     return out
 
 
-def _prefixes(k: int, num: int, den: int, frequencies):
+def _prefixes(num: int, den: int, frequencies):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.minimum(frequencies.value, (1 << 24) - 1).astype(np.uint64) << np.uint64(40)
-        for doc_ids, sets in _sets(batches, k):
+        for batch in batches:
             kept = []
-            for h in sets:
+            for h in _items(batch):
                 rank = counts[_slot(h)] | (h >> np.uint64(24))
-                length = len(h) - (num * len(h) + den - 1) // den + 1 if len(h) else 0
-                kept.append(h[np.argsort(rank, kind="stable")[:length]].view(np.int64))
-            lengths = np.cumsum([0, *(len(h) for h in kept)]).astype(np.int32)
-            flat = np.concatenate(kept) if kept else np.empty(0, np.int64)
-            prefix = pa.ListArray.from_arrays(pa.array(lengths), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array([_digest(h) for h in sets], pa.binary()), prefix], ["doc_id", "digest", "prefix"])
-
-    return run
-
-
-def _whole_sets(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, sets in _sets(batches, k):
-            ends = pa.array(np.cumsum([0, *(len(h) for h in sets)]).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets).view(np.int64)))], ["key", "items"])
+                kept.append(h[np.argsort(rank, kind="stable")[: len(h) - (num * len(h) + den - 1) // den + 1]])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n"), _lists(kept)], ["key", "n", "prefix"])
 
     return run
 
@@ -192,120 +254,128 @@ def _nearest(num: int, den: int, high: int, all_seek: bool):
     return run
 
 
-def _plausible(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs that their wide bitmaps admit; pairs of sets with bitmaps of two widths stay."""
+def _plausible(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b, far): the pairs that their bitmaps admit, with the bits in which these differ.
+
+    Sets of over ``_BITS`` bits are compared by their wide bitmaps; if these have two widths, the wider one is folded
+    in half. The length filter admits no other widths.
+    """
     wide = F.when(F.size("wide") == 0, F.col("bits")).otherwise(F.col("wide"))
-    x, y = (classes.select(F.col("key").alias(e), F.col("n").alias("n" + e), wide.alias("wide" + e)) for e in "ab")
-    both = pairs.join(x.hint("merge"), "a").join(y.hint("merge"), "b")
-    far = F.aggregate(F.zip_with("widea", "wideb", lambda v, w: F.bit_count(v.bitwiseXOR(w))), F.lit(0), lambda t, v: t + v)
+    x, y = (sets.select(F.col("key").alias(e), F.col("n").alias("n" + e), wide.alias("wide" + e)) for e in "ab")
+    both = pairs.select("a", "b").join(x, "a").join(y, "b")
+
+    def folded(mine: str, other: str):
+        half = F.expr(f"size({mine}) div 2")
+        pairs_of_words = F.zip_with(F.slice(mine, F.lit(1), half), F.slice(mine, half + 1, half), lambda v, w: v.bitwiseXOR(w))
+        return F.when(F.size(mine) > F.size(other), pairs_of_words).otherwise(F.col(mine))
+
+    differ = F.zip_with(folded("widea", "wideb"), folded("wideb", "widea"), lambda v, w: F.bit_count(v.bitwiseXOR(w)))
+    both = both.withColumn("far", F.aggregate(differ, F.lit(0), lambda t, v: t + v).cast("long"))
     need = F.expr(f"({num} * (na + nb) + {num + den - 1}) div {num + den}")
-    return both.where((F.size("widea") != F.size("wideb")) | (far <= F.col("na") + F.col("nb") - 2 * need)).select(*pairs.columns)
+    return both.where(F.col("far") <= F.col("na") + F.col("nb") - 2 * need).select("a", "b", "far")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     left = sets.select(F.col("key").alias("a"), F.col("items").alias("x"))
     right = sets.select(F.col("key").alias("b"), F.col("items").alias("y"))
     inter = F.size(F.array_intersect("x", "y"))
-    both = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", inter.alias("i"), (F.size("x") + F.size("y")).alias("n"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", inter.alias("i"), (F.size("x") + F.size("y")).alias("n"))
     return both.where(den * F.col("i") >= num * (F.col("n") - F.col("i"))).select("a", "b")
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-
-
-def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id) for every row of ``docs`` (doc_id, text; other columns are ignored).
 
     Documents link when den * |A & B| >= num * |A | B|; component_id is the smallest doc_id reachable by links.
     class_id is the smallest doc_id with the same set. Words are runs of other characters than ASCII white space,
     with A-Z lower-cased. A text of 1 to k-1 words is one shingle; null and empty texts have none, link with nothing
     and are their own component. A null doc_id keeps its row, with null component_id and class_id, and isn't linked.
-    Repeated rows give repeated rows; tied and equal sets fall into one class. An empty table gives no rows. N-grams
+    Repeated rows give repeated rows; rows of one doc_id with different texts each keep their row and size and are one
+    node with the links of all; tied and equal sets fall into one class. An empty table gives no rows. N-grams
     stand as 64-bit hashes of their words: two sets are mistaken only if such hashes collide within one pair.
     """
-    spark = docs.sparkSession
+    spark, scratch = docs.sparkSession, scratch or Scratch(docs.sparkSession)
     docs = only(docs, doc_id="long", text="string")
-    profiles = materialise(docs.mapInArrow(_profiles(k), _PROFILE), "profiles")
-    own = profiles.where("block is null")
-    classes = materialise(own.where("doc_id is not null and n > 0").groupBy("digest").agg(F.min(F.struct("doc_id", "n", "bits", "wide")).alias("r")).select("digest", F.col("r.doc_id").alias("key"), F.col("r.n").alias("n"), F.col("r.bits").alias("bits"), F.col("r.wide").alias("wide")), "classes")
-
-    frequencies = spark.sparkContext.broadcast(_frequencies(profiles))
-    prefixes = docs.where("doc_id is not null").mapInArrow(_prefixes(k, num, den, frequencies), "doc_id long, digest binary, prefix array<long>")
-    prefixes = prefixes.join(classes.select("digest", F.col("key").alias("doc_id")), ["digest", "doc_id"], "left_semi").dropDuplicates(["digest", "doc_id"])
-    grams = prefixes.select(F.col("doc_id").alias("key"), F.posexplode("prefix").alias("pos", "gram"))
-    grams = grams.withColumn("m", F.count("*").over(Window.partitionBy("gram"))).where("m > 1")
-    shared = materialise(grams.join(classes.select("key", "n", "bits"), "key"), "shared")
+    packed = docs.mapInArrow(_profiles(k, slice_end(num, den)), _PACKED).repartition("bucket").sortWithinPartitions("bucket")
+    profiles = scratch.write(packed.mapInArrow(_count_private, _PROFILE), "profiles")
+    own = profiles.where("private is null")
+    classes = scratch.write(own.where("doc_id is not null and n > 0").groupBy("digest").agg(F.min("doc_id").alias("key"), F.min("n").alias("n"), F.min("name").alias("name")), "classes")
+
+    private = profiles.where("private is not null").groupBy("name").agg(F.sum("private").alias("private"))
+    named = classes.groupBy("name").agg(F.count("*").alias("twins"))
+    open_ones = classes.join(named, "name").join(private, "name", "left")
+    open_ones = open_ones.where((F.col("twins") > 1) | (F.coalesce("private", F.lit(0)) < F.expr(f"n - (({num} * n + {den - 1}) div {den}) + 1")))
+    open_ones = scratch.write(open_ones.select(F.col("key").alias("doc_id"), "digest"), "open")
+    wanted = docs.where("doc_id is not null").join(open_ones, "doc_id").dropDuplicates(["doc_id", "digest", "text"])
+    sets = scratch.write(wanted.mapInArrow(_whole_sets(k), "key long, n long, items array<long>, bits array<long>, wide array<long>"), "sets")
+
+    frequencies = spark.sparkContext.broadcast(_frequencies(sets))
+    prefixes = sets.select("key", "n", "items").mapInArrow(_prefixes(num, den, frequencies), "key long, n long, prefix array<long>")
+    grams = scratch.write(prefixes.select("key", "n", F.posexplode("prefix").alias("pos", "gram")), "grams")
+    held = grams.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1")
+    shared = scratch.write(grams.join(held, "gram"), "shared")
+    scratch.drop(grams)
 
     small = shared.where(F.col("m") <= SMALL_GROUP)
-    x, y = (small.select("gram", *(F.col(c).alias(c + s) for c in ("key", "pos", "n", "bits"))) for s in "xy")
+    x, y = (small.select("gram", *(F.col(c).alias(c + s) for c in ("key", "pos", "n"))) for s in "xy")
     need = F.expr(f"({num} * (nx + ny) + {num + den - 1}) div {num + den}")
-    far = sum((F.bit_count(F.col("bitsx")[w].bitwiseXOR(F.col("bitsy")[w])) for w in range(_BITS // 64)), F.lit(0))
     pairs = x.join(
         y,
         (x.gram == y.gram)
         & (F.col("keyx") < F.col("keyy"))
         & (den * F.least("nx", "ny") >= num * F.greatest("nx", "ny"))
-        & (F.least("posx", "posy") + F.least(F.col("nx") - F.col("posx"), F.col("ny") - F.col("posy")) >= need)
-        & (far <= F.col("nx") + F.col("ny") - 2 * need),
-    ).select(F.col("keyx").alias("a"), F.col("keyy").alias("b"), far.cast("long").alias("far"), F.lit(0).cast("long").alias("rest"))
+        & (F.least("posx", "posy") + F.least(F.col("nx") - F.col("posx"), F.col("ny") - F.col("posy")) >= need),
+    ).select(F.col("keyx").alias("a"), F.col("keyy").alias("b"), F.lit(0).cast("long").alias("rest"))
 
     large = shared.where(F.col("m") > SMALL_GROUP)
     some_large = not large.isEmpty()
-    blocks = F.expr(f"(m + {BLOCK - 1}) div {BLOCK}")
-    large = large.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")))
-    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other")).withColumn("side", (F.col("mine") == F.col("lo")).cast("int"))
+    if some_large:
+        large = scratch.write(large.join(sets.select("key", "bits"), "key"), "large")
+        blocks = F.expr(f"(m + {BLOCK - 1}) div {BLOCK}")
+        large = large.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")))
+        large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other")).withColumn("side", (F.col("mine") == F.col("lo")).cast("int"))
 
     def near(high: int, comps: DataFrame | None) -> DataFrame:
         if comps is None:
             rows = large.withColumn("comp", F.col("key"))
         else:
             rows = large.join(comps.select(F.col("node").alias("key"), F.col("component").alias("c")), "key", "left").withColumn("comp", F.coalesce("c", "key"))
-        return rows.select("gram", "lo", "hi", "key", "comp", "n", "pos", "side", "bits").groupBy("gram", "lo", "hi").applyInPandas(_nearest(num, den, high, comps is None), "a long, b long, far long, rest long")
-
-    def sets_of(ends: DataFrame) -> DataFrame:
-        wanted = docs.where("doc_id is not null").join(ends.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-        return materialise(wanted.mapInArrow(_whole_sets(k), "key long, items array<long>"), "sets")
+        return rows.select("gram", "lo", "hi", "key", "comp", "n", "pos", "side", "bits").groupBy("gram", "lo", "hi").applyInPandas(_nearest(num, den, high, comps is None), "a long, b long, far long, rest long").select("a", "b", "rest")
 
     if some_large:
         pairs = pairs.unionByName(near(RANKS[0], None))
-    pairs = materialise(pairs.groupBy("a", "b").agg(F.min("far").alias("far"), F.sum("rest").alias("rest")), "pairs")
-    rest = pairs.where("a is null").agg(F.sum("rest")).first()[0] or 0
-    if not rest:
-        discard(shared)
-    met, pairs = pairs, materialise(_plausible(pairs.where("a is not null"), classes, num, den), "pairs")
-    discard(met)
-    sets = sets_of(_ends(pairs))
-    first = pairs.where("a is not null").select("far", F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"))
+    met = scratch.write(pairs.groupBy("a", "b").agg(F.sum("rest").alias("rest")), "met")
+    rest = met.where("a is null").agg(F.sum("rest")).first()[0] or 0
+    pairs = scratch.write(_plausible(met.where("a is not null"), sets, num, den), "pairs")
+    first = pairs.select("far", F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"))
     first = first.groupBy("p.x").agg(F.min(F.struct("far", "p.y")).alias("p")).select(F.least("x", "p.y").alias("a"), F.greatest("x", "p.y").alias("b")).distinct()
-    first = materialise(first, "pairs")
-    links = materialise(_verified(first, sets, num, den), "links")
-    comps = materialise(connected_components(links), "components")
+    first = scratch.write(first, "first")
+    links = scratch.write(_verified(first, sets, num, den), "links")
+    comps = scratch.write(connected_components(links, scratch), "components")
     ca, cb = (comps.select(F.col("node").alias(e), F.col("component").alias("c" + e)) for e in "ab")
-    second = pairs.where("a is not null").select("a", "b").join(ca, "a", "left").join(cb, "b", "left")
+    second = pairs.select("a", "b").join(ca, "a", "left").join(cb, "b", "left")
     second = second.where(~F.coalesce("ca", "a").eqNullSafe(F.coalesce("cb", "b"))).select("a", "b").join(first, ["a", "b"], "left_anti")
-    found = materialise(_verified(second, sets, num, den), "links")
+    found = scratch.write(_verified(second, sets, num, den), "links")
     if not found.isEmpty():
         links = links.unionByName(found)
-        comps = materialise(connected_components(links), "components")
-    done = pairs.select("a", "b")
+        comps = scratch.write(connected_components(links, scratch), "components")
+    done = met.where("a is not null").select("a", "b")
     for high in RANKS[1:]:
         if not rest:
             break
         more = near(high, comps).groupBy("a", "b").agg(F.sum("rest").alias("rest"))
-        more = materialise(more.join(done, ["a", "b"], "left_anti"), "pairs")
-        done = done.unionByName(more.select("a", "b"))
-        likely = materialise(_plausible(more.where("a is not null").select("a", "b"), classes, num, den), "pairs")
-        lacking = _ends(likely).join(sets.select(F.col("key").alias("doc_id")), "doc_id", "left_anti")
-        if not lacking.isEmpty():
-            sets = sets.unionByName(sets_of(lacking))
-        found = materialise(_verified(likely, sets, num, den), "links")
+        more = scratch.write(more.join(done, ["a", "b"], "left_anti"), "met")
+        done = done.unionByName(more.where("a is not null").select("a", "b"))
+        likely = scratch.write(_plausible(more.where("a is not null"), sets, num, den), "pairs")
+        found = scratch.write(_verified(likely, sets, num, den), "links")
         rest = more.where("a is null").agg(F.sum("rest")).first()[0] or 0
         if not found.isEmpty():
             links = links.unionByName(found)
-            comps = materialise(connected_components(links), "components")
+            comps = scratch.write(connected_components(links, scratch), "components")
 
     merged = classes.join(comps.withColumnRenamed("node", "key"), "key", "left").select("digest", F.col("key").alias("class_id"), F.coalesce("component", "key").alias("component_id"))
     out = own.where("doc_id is not null and n > 0").join(merged, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id")
     alone = own.where("doc_id is null or n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
-    return out.unionByName(alone)
+    result = scratch.write(out.unionByName(alone), "result")
+    scratch.keep_only(result)
+    return result

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from arkspark.llm.common import WordIds, discard, materialise, only, texts, windows
+from arkspark.llm.common import Scratch, WordIds, only, texts, windows
 
 SYMBOLS = b"#*$%&|<>"
 #: A line is boilerplate in more than this share of its host's distinct texts; in tiny hosts, in more texts than the floor.
@@ -97,7 +97,7 @@ def _without_lines(texts: pd.Series, gone: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def quality_rules(docs: DataFrame, host: str = "source", line_texts: int = LINE_TEXTS, line_share: float = LINE_SHARE, left_words: int = LEFT_WORDS, left_share: float = LEFT_SHARE) -> DataFrame:
+def quality_rules(docs: DataFrame, host: str = "source", line_texts: int = LINE_TEXTS, line_share: float = LINE_SHARE, left_words: int = LEFT_WORDS, left_share: float = LEFT_SHARE, scratch: Scratch | None = None) -> DataFrame:
     """The columns of ``docs`` (doc_id, text and the host's column are needed) and text_hash, n_words, word_chars,
     n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, frequent_lines, left_words and left_text, for every row.
 
@@ -108,9 +108,10 @@ def quality_rules(docs: DataFrame, host: str = "source", line_texts: int = LINE_
     of all. Null and empty texts have no words and fail; a null host is a host of its own; a null doc_id keeps its row;
     repeated rows each get theirs; an empty table gives no rows.
     """
+    scratch = scratch or Scratch(docs.sparkSession)
     base = only(docs, doc_id="long", text="string", **{host: "string"}).withColumnRenamed(host, "host")
     base = base.select(F.concat_ws("-", F.spark_partition_id(), F.monotonically_increasing_id()).alias("row_id"), "doc_id", F.xxhash64("text").alias("text_hash"), "host", "text")
-    stats = materialise(base.mapInArrow(_statistics, _SCHEMA), "quality")
+    stats = scratch.write(base.mapInArrow(_statistics, _SCHEMA), "quality")
     stats = stats.withColumn("host", F.coalesce(F.concat(F.lit("h"), "host"), F.lit("")))
     bodies = stats.select("host", "body", "lines").dropDuplicates(["host", "body"])
     hosts = bodies.groupBy("host").agg(F.count("*").alias("texts"))
@@ -124,8 +125,8 @@ def quality_rules(docs: DataFrame, host: str = "source", line_texts: int = LINE_
     depleted = (left < left_words) & (left < left_share * F.col("n_words"))
     verdict = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), F.coalesce("gone_lines", F.lit(0)).alias("frequent_lines"), left.alias("left_words"), "_gone"]
     key = ["_row_key", "text_hash"]
-    rules = materialise(out.select(_row_key(F.col("doc_id"), F.col("host")).alias("_row_key"), "text_hash", *verdict).dropDuplicates(key), "verdicts")
-    discard(stats)
+    rules = scratch.write(out.select(_row_key(F.col("doc_id"), F.col("host")).alias("_row_key"), "text_hash", *verdict).dropDuplicates(key), "verdicts")
+    scratch.keep_only(rules)
     # Rows of one id, host and text share their verdict, so that texts needn't be written beside their lines.
     rows = docs.withColumn("text_hash", F.xxhash64(F.col("text").cast("string")))
     rows = rows.withColumn("_row_key", _row_key(F.col("doc_id").cast("long"), F.coalesce(F.concat(F.lit("h"), F.col(f"`{host}`").cast("string")), F.lit("")))).join(rules, key)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from arkspark.llm.common import materialise, only, scratch_path
+from arkspark.llm.common import Scratch, only
 
 SKIPPABLE = 0x184D2A5D
 _ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
@@ -231,7 +231,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_revisit_byte
     a null page_id is a revisit of any other. An empty table writes no archive. ``folder`` must be shared by all
     executors; it is a new one under spark.checkpoint.dir unless given.
     """
-    folder = folder or scratch_path(pages.sparkSession, "warc")
+    scratch = Scratch(pages.sparkSession)
+    folder = folder or scratch.path("warc")
     pages.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(pages.sparkSession.sparkContext._jsc.hadoopConfiguration()).mkdirs(pages.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder))
     df = only(pages, page_id="long", url="string", html="string").withColumn("payload", F.coalesce("html", F.lit("")).cast("binary")).drop("html")
     df = df.withColumn("size", F.length("payload").cast("long")).withColumn("sha1", F.sha1("payload"))
@@ -239,7 +240,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_revisit_byte
     df = df.join(again, "sha1", "left").withColumn("first", F.when((F.col("size") >= min_revisit_bytes) & ~F.col("page_id").eqNullSafe(F.col("least")), F.col("least")))
     df = df.withColumn("digest", base32(F.col("sha1")))
     done = df.select("page_id", "url", "payload", "size", "digest", "first").mapInArrow(_writer(folder, archive_bytes), "path string, records long, bytes long")
-    return materialise(done, "archives")
+    return scratch.write(done, "archives")
 
 
 def base32(sha1_hex):
