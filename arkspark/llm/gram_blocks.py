@@ -4,7 +4,8 @@ A set whose n-grams are private, held by no other set, in more than ``1 - num /
 left to share. Only n-grams of the lower end of the hash range are counted, ``SLICE`` times as many as have to be
 private: enough to tell for most sets. Each task packs them into records of ten bytes, in order of the hash, and sends one block for
 each of 2^16 hash buckets. An n-gram that several sets of one such block hold is sent for two of them only, so that even
-one that all texts share has no more than two records a block.
+one that all texts share has no more than two records a block. What is found is packed again, by the sets' names, and
+added up.
 """
 
 from __future__ import annotations
@@ -68,25 +69,40 @@ def private_sets(buckets: list[int], blocks: list[bytes]) -> np.ndarray:
     return least[least == most]
 
 
-def private_counts(blocks: Iterator[tuple[int, bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(names, how many private n-grams) from blocks sorted by bucket; a name may come more than once."""
-    buckets, data, size = [], [], 0
-    names, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+COUNT = np.dtype([("low", "<u4"), ("high", "<u2"), ("count", "<u4")])
+#: Counts go back in so many buckets by the sets' names.
+NAME_BUCKETS = 256
 
-    def add(names: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found = private_sets(buckets, data)
-        all_names, where = np.unique(np.concatenate([names, found]), return_inverse=True)
-        return all_names, np.bincount(where, np.concatenate([counts, np.ones(len(found))]), minlength=len(all_names)).astype(np.int64)
 
+def _chunks(blocks: Iterator[tuple[int, bytes]], itemsize: int) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Whole buckets, of ``RECORDS`` records or more, from blocks sorted by bucket."""
+    buckets, data, size = [], [], 0
     for bucket, block in blocks:
-        if size >= RECORDS * RECORD.itemsize and bucket != buckets[-1]:
-            names, counts = add(names, counts)
+        if size >= RECORDS * itemsize and bucket != buckets[-1]:
+            yield buckets, data
             buckets, data, size = [], [], 0
-            if len(names) > RECORDS:
-                yield names, counts
-                names, counts = names[:0], counts[:0]
         buckets.append(bucket)
         data.append(block)
         size += len(block)
-    names, counts = add(names, counts)
-    yield names, counts
+    if buckets:
+        yield buckets, data
+
+
+def private_counts(blocks: Iterator[tuple[int, bytes]]) -> Iterator[tuple[list[int], list[bytes]]]:
+    """(buckets, blocks) of the sets' names with their private n-grams, from blocks of n-grams sorted by bucket."""
+    for buckets, data in _chunks(blocks, RECORD.itemsize):
+        names, counts = np.unique(private_sets(buckets, data), return_counts=True)
+        records = np.empty(len(names), COUNT)
+        records["low"], records["high"], records["count"] = names & np.uint64(0xFFFFFFFF), names >> np.uint64(32), counts
+        at = names * np.uint64(NAME_BUCKETS) >> np.uint64(48)
+        starts = _runs(at) if len(at) else np.empty(0, np.int64)
+        ends = np.append(starts[1:], len(records))
+        yield at[starts].astype(int).tolist(), [records[a:b].tobytes() for a, b in zip(starts, ends, strict=True)] if len(at) else []
+
+
+def summed_counts(blocks: Iterator[tuple[int, bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(names, private n-grams of each) from blocks of counts sorted by bucket: each name once."""
+    for _, data in _chunks(blocks, COUNT.itemsize):
+        records = np.frombuffer(b"".join(data), COUNT)
+        names, where = np.unique(records["low"] | records["high"].astype(np.uint64) << np.uint64(32), return_inverse=True)
+        yield names.astype(np.int64), np.bincount(where, records["count"], minlength=len(names)).astype(np.int64)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from arkspark.llm.common import Scratch, WordIds, mix, multipliers, only, texts, windows
 from arkspark.llm.components import connected_components
-from arkspark.llm.gram_blocks import RECORDS, pack, private_counts, slice_end
+from arkspark.llm.gram_blocks import RECORDS, pack, private_counts, slice_end, summed_counts
 
 FREQUENCY_SLOTS = 1 << 20
 _BLOCK_SLOTS = 1 << 10
@@ -97,7 +97,7 @@ def _wide_bitmap(h: np.ndarray) -> np.ndarray:
 
 
 _PACKED = "bucket int, doc_id long, n long, digest binary, name long, block binary"
-_PROFILE = "doc_id long, n long, digest binary, name long, private long"
+_PROFILE = "doc_id long, n long, digest binary, name long, bucket int, block binary"
 
 
 def _profiles(k: int, end: np.uint64):
@@ -132,24 +132,35 @@ def _profiles(k: int, end: np.uint64):
     return run
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
+    for batch in batches:
+        rows = batch.filter(batch.column("block").is_valid())
+        yield from zip(rows.column("bucket").to_pylist(), rows.column("block").to_pylist(), strict=True)
+
+
 def _count_private(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by bucket: those of documents as they are, and of the blocks the private n-grams by name."""
     columns = ["doc_id", "n", "digest", "name"]
     docs: list[pa.RecordBatch] = []
 
-    def blocks() -> Iterator[tuple[int, bytes]]:
+    def seen() -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.filter(batch.column("digest").is_valid())
             if rows.num_rows:
-                docs.append(pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), pa.nulls(rows.num_rows, pa.int64())], [*columns, "private"]))
-            rows = batch.filter(batch.column("block").is_valid())
-            yield from zip(rows.column("bucket").to_pylist(), rows.column("block").to_pylist(), strict=True)
+                docs.append(pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), pa.nulls(rows.num_rows, pa.int32()), pa.nulls(rows.num_rows, pa.binary())], [*columns, "bucket", "block"]))
+            yield batch
 
-    for names, counts in private_counts(blocks()):
-        none = lambda kind: pa.nulls(len(names), kind)  # noqa: B023, E731
+    for buckets, blocks in private_counts(_blocks(seen())):
         yield from docs
         docs.clear()
-        yield pa.RecordBatch.from_arrays([none(pa.int64()), none(pa.int64()), none(pa.binary()), pa.array(names.astype(np.int64)), pa.array(counts)], [*columns, "private"])
+        none = [pa.nulls(len(blocks), kind) for kind in (pa.int64(), pa.int64(), pa.binary(), pa.int64())]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(buckets, pa.int32()), pa.array(blocks, pa.binary())], [*columns, "bucket", "block"])
+    yield from docs
+
+
+def _sum_private(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for names, counts in summed_counts(_blocks(batches)):
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(counts)], ["name", "private"])
 
 
 def _whole_sets(k: int):
@@ -298,15 +309,17 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
     docs = only(docs, doc_id="long", text="string")
     packed = docs.mapInArrow(_profiles(k, slice_end(num, den)), _PACKED).repartition("bucket").sortWithinPartitions("bucket")
     profiles = scratch.write(packed.mapInArrow(_count_private, _PROFILE), "profiles")
-    own = profiles.where("private is null")
+    own = profiles.where("block is null")
     classes = scratch.write(own.where("doc_id is not null and n > 0").groupBy("digest").agg(F.min("doc_id").alias("key"), F.min("n").alias("n"), F.min("name").alias("name")), "classes")
 
-    private = profiles.where("private is not null").groupBy("name").agg(F.sum("private").alias("private"))
+    counted = profiles.where("block is not null").select("bucket", "block").repartition("bucket").sortWithinPartitions("bucket")
+    private = counted.mapInArrow(_sum_private, "name long, private long")
     named = classes.groupBy("name").agg(F.count("*").alias("twins"))
     open_ones = classes.join(named, "name").join(private, "name", "left")
     open_ones = open_ones.where((F.col("twins") > 1) | (F.coalesce("private", F.lit(0)) < F.expr(f"n - (({num} * n + {den - 1}) div {den}) + 1")))
     open_ones = scratch.write(open_ones.select(F.col("key").alias("doc_id"), "digest"), "open")
-    wanted = docs.where("doc_id is not null").join(open_ones, "doc_id").dropDuplicates(["doc_id", "digest", "text"])
+    # Shuffled at every size, as it must be for large tables; hashing the ids saves sorting the texts.
+    wanted = docs.where("doc_id is not null").join(open_ones.hint("shuffle_hash"), "doc_id").dropDuplicates(["doc_id", "digest", "text"])
     sets = scratch.write(wanted.mapInArrow(_whole_sets(k), "key long, n long, items array<long>, bits array<long>, wide array<long>"), "sets")
 
     frequencies = spark.sparkContext.broadcast(_frequencies(sets))
