@@ -1,9 +1,9 @@
 """Chat formatting with a grammar round trip, in DataFrame functions alone.
 
-A turn is rendered as ``### role: text</turn>\\n``. A deterministic parser cuts the rendered text at each
-``</turn>\\n``, takes what follows ``### `` up to the first ``: `` as the role, and undoes the escapes. A role or text
-stays as it is if that parser gives it back unchanged on its own; if not, its control strings are escaped and the
-round trip is made again. A turn that even then isn't identical raises an error.
+A turn is rendered as ``### role: text</turn>\\n``. Control strings inside roles and texts are escaped, so that no
+text can open or end a turn. A deterministic parser cuts the rendered text at each ``</turn>\\n``, takes what follows
+``### `` up to the first ``: `` as the role, and undoes the escapes. What it gives back is held against the turn; a turn
+that isn't identical raises an error.
 """
 
 from __future__ import annotations
@@ -58,17 +58,17 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     """(conv_id, n_turns, formatted, loss_spans, roundtrip) from (conv_id, turn, role, text); other columns are ignored.
 
     loss_spans holds (start, length), in code points from 0, of the assistant texts inside ``formatted``; roundtrip
-    says that the whole text, parsed again, gives the turns back. Rows are ordered by turn, ties by role and text,
+    says that the whole text, parsed again, gives the turns back. ``###``, ``</turn>`` and ``\\`` never stand in
+    ``formatted`` as part of a text: they are escaped. Rows are ordered by turn, ties by role and text,
     null turns first; repeated rows are turns of their own. A null role or text is empty. A null conv_id is a
     conversation as any other. Empty texts give turns without text; an empty table gives no rows. A conversation is
     one output value, so that its turns must fit into one row.
     """
     df = only(conversations, conv_id="long", turn="long", role="string", text="string").withColumn("role", F.coalesce("role", F.lit(""))).withColumn("text", F.coalesce("text", F.lit("")))
     role, text = F.col("role"), F.col("text")
-    plain = _round_trip(role, text, role, text)
-    df = df.withColumn("to_role", F.when(plain, role).otherwise(escape(role, ROLE_ESCAPES))).withColumn("to_text", F.when(plain, text).otherwise(escape(text)))
+    df = df.withColumns({"to_role": escape(role, ROLE_ESCAPES), "to_text": escape(text)})
     to_role, to_text = F.col("to_role"), F.col("to_text")
-    checked = F.when(plain | _round_trip(role, text, to_role, to_text), render_turn(to_role, to_text)).otherwise(F.raise_error(F.lit("a turn doesn't survive the round trip")))
+    checked = F.when(_round_trip(role, text, to_role, to_text), render_turn(to_role, to_text)).otherwise(F.raise_error(F.lit("a turn doesn't survive the round trip")))
     df = df.select("conv_id", "turn", "role", "text", F.length("to_text").alias("text_length"), (F.length(to_role) + len(HEAD) + len(SEP)).alias("head_length"), checked.alias("piece"))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     df = df.withColumn("ord", F.row_number().over(order)).withColumn("end", F.sum(F.length("piece").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
