@@ -1,7 +1,8 @@
 """Mixing sources to target weights by Efraimidis-Spirakis sampling.
 
-Each document draws an exponential key, divided by its quality weight; within its source, documents come in the order
-of their keys, so that better ones tend to come first. A source's token target is met by complete epochs of all its
+Each document draws an exponential key, divided by its quality weight, which grows with the score of the pairwise
+quality classifier; within its source, documents come in the order of their keys, so that better ones tend to come
+first. A source's token target is met by complete epochs of all its
 documents and then by those, in key order, of whose words more than half come before the rest of the budget ends.
 
 The running sum isn't taken over a whole source: keys fall into ``BINS`` bins in key order, bins are summed over all
@@ -10,25 +11,36 @@ documents, and only documents of the one bin in which a source's budget ends are
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arkspark.llm.common import only
+from arkspark.llm.common import Scratch, only, texts
+from arkspark.llm.pairwise_quality import FEATURES, QualityModel, features
 
 BINS = 1 << 16
-WORDS = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
+#: The weight of a document with the score 0; one with the score 1 weighs 1 more.
+LEAST_WEIGHT = 0.25
 
 
-def text_size(text: Column) -> Column:
-    """Number of words, runs of other characters than ASCII white space; 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
+def _measured(model):
+    """Of each text its number of words, runs of other characters than ASCII white space; its weight; its MD5."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, rows in texts(batches, "text"):
+            if model is None:
+                weight = np.ones(len(rows))
+            else:
+                weight = LEAST_WEIGHT + model.value.scores(np.array([features(t) for t in rows]).reshape(-1, len(FEATURES)))
+            sizes = pa.array([len((t or b"").split()) for t in rows], pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("source"), sizes, pa.array(weight), pa.array([hashlib.md5(t or b"").digest() for t in rows], pa.binary())], ["doc_id", "source", "size", "weight", "tie"])
 
-def quality_weight(text: Column, size: Column) -> Column:
-    """Between 0.5 and 1.5: less for texts with symbols of markup or tables among their words."""
-    marks = F.coalesce(F.length(F.regexp_replace(text, r"[^#*$%&|<>!]+", "")), F.lit(0))
-    return F.lit(0.5) + F.lit(1.0) / (F.lit(1.0) + F.lit(4.0) * marks / F.greatest(size, F.lit(1)))
+    return run
 
 
 def uniform(doc_id: Column, seed: int) -> Column:
@@ -58,19 +70,24 @@ def source_targets(sizes: DataFrame, share: float = 1.5, cap: float = 2.0, weigh
     return ranked.withColumn("target", F.when(open_level.isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), open_level * F.col("weight")))).select("source", "source_size", "target")
 
 
-def mix_sources(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = WEIGHTS, seed: int = 42) -> DataFrame:
+def mix_sources(docs: DataFrame, model: QualityModel | None = None, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = WEIGHTS, seed: int = 42, scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) for every row of ``docs`` (doc_id, text, source).
 
+    Weights come of the scores of ``model``; without one all documents weigh the same. The texts are read once, into a
+    table of one short row per document; what each source takes is planned in a table of one row per source, whose size Spark knows when it
+    joins the two.
+
     taken counts the words that the mix takes of the document, repeats counted: the complete epochs of its source
     times its size, and once more if the middle of its words comes, in the running sum, before the end of what is left
     of the target. Its source's words thus end within half a document of the target. Ties in the key go by doc_id, then by text; equal
     rows share their place in any order. Null or empty texts have size 0 and take 0; a null doc_id draws the key of an
     empty id; null sources form one source. An empty table gives no rows.
     """
-    df = only(docs, doc_id="long", text="string", source="string").withColumn("size", text_size(F.col("text")))
-    key = -F.log(uniform(F.col("doc_id"), seed)) / quality_weight(F.col("text"), F.col("size"))
-    df = df.select("doc_id", "source", "size", key.alias("key"), F.md5(F.coalesce("text", F.lit(""))).alias("tie"))
-    df = df.withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * BINS).cast("int"))
+    scratch = scratch or Scratch(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model) if model else None
+    df = only(docs, doc_id="long", text="string", source="string").mapInArrow(_measured(shared), "doc_id long, source string, size long, weight double, tie binary")
+    df = df.withColumn("key", -F.log(uniform(F.col("doc_id"), seed)) / F.col("weight")).drop("weight")
+    df = scratch.write(df.withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * BINS).cast("int")), "sizes")
     bins = df.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
     targets = source_targets(bins.groupBy("source").agg(F.sum("bin_size").alias("source_size")), share, cap, weights)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
@@ -79,6 +96,7 @@ def mix_sources(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights:
     edges = bins.withColumn("before", F.coalesce(F.sum("bin_size").over(before), F.lit(0))).alias("b").join(targets.alias("t"), F.expr("b.source <=> t.source"))
     edges = edges.where("b.before + b.bin_size > t.left").groupBy("t.source", "source_size", "target", "epochs", "left").agg(F.min(F.struct("bin", "before")).alias("edge"))
     plan = targets.alias("t").join(edges.alias("e"), F.expr("t.source <=> e.source"), "left").select("t.source", "t.source_size", "t.target", "t.epochs", "t.left", F.col("e.edge.bin").alias("edge_bin"), F.col("e.edge.before").alias("edge_before"))
+    plan = scratch.write(plan, "plan")
     rows = df.alias("d").join(plan.alias("p"), F.expr("d.source <=> p.source")).select("d.*", "p.source_size", "p.target", "p.epochs", "p.left", "p.edge_bin", "p.edge_before")
     out = ["doc_id", "source", "size", "source_size", "target"]
     whole = rows.where("edge_bin is null or bin <> edge_bin").select(*out, (F.col("size") * (F.col("epochs") + F.when(F.col("edge_bin").isNull() | (F.col("bin") < F.col("edge_bin")), F.lit(1).cast("long")).otherwise(0) * F.when(F.col("left") > 0, 1).otherwise(0))).alias("taken"))
