@@ -32,6 +32,8 @@ ARCHIVE_BYTES = 64 << 20
 #: The dictionary of an archive is trained on its first so many payloads, of so many bytes at most.
 TRAIN_PAYLOADS, TRAIN_BYTES, DICTIONARY_BYTES = 64, 1 << 20, 16 << 10
 _STEP = 1 << 18
+#: What Arrow calls the schemes that Hadoop has names of its own for.
+_ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -45,7 +47,7 @@ def _open(path: str, mode: str):
     if kind in ("", "file"):
         fs, name = pafs.LocalFileSystem(), urlparse(path).path
     else:
-        fs, name = pafs.FileSystem.from_uri(path)
+        fs, name = pafs.FileSystem.from_uri(_ARROW_SCHEMES.get(kind, kind) + path[len(kind) :])
     with fs.open_output_stream(name, compression=None) if mode == "w" else fs.open_input_stream(name, compression=None) as stream:
         yield stream
 
@@ -236,8 +238,10 @@ def write_archives(pages: DataFrame, folder: str | None = None, min_revisit_byte
     pages.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(pages.sparkSession.sparkContext._jsc.hadoopConfiguration()).mkdirs(pages.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(folder))
     df = only(pages, page_id="long", url="string", html="string").withColumn("payload", F.coalesce("html", F.lit("")).cast("binary")).drop("html")
     df = df.withColumn("size", F.length("payload").cast("long")).withColumn("sha1", F.sha1("payload"))
+    # Told by digests alone. The table of repeated ones is written first, so that Spark knows its size: while it is
+    # small, no payload is shuffled.
     again = df.where(F.col("size") >= min_revisit_bytes).groupBy("sha1").agg(F.count("*").alias("n"), F.min("page_id").alias("least")).where("n > 1").select("sha1", "least")
-    df = df.join(again, "sha1", "left").withColumn("first", F.when((F.col("size") >= min_revisit_bytes) & ~F.col("page_id").eqNullSafe(F.col("least")), F.col("least")))
+    df = df.join(scratch.write(again, "repeated"), "sha1", "left").withColumn("first", F.when((F.col("size") >= min_revisit_bytes) & ~F.col("page_id").eqNullSafe(F.col("least")), F.col("least")))
     df = df.withColumn("digest", base32(F.col("sha1")))
     done = df.select("page_id", "url", "payload", "size", "digest", "first").mapInArrow(_writer(folder, archive_bytes), "path string, records long, bytes long")
     return scratch.write(done, "archives")
