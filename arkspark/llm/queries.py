@@ -11,7 +11,8 @@ from arkspark.llm.common import table
 from arkspark.llm.decontaminate import contaminated
 from arkspark.llm.html_extract import extract_main_text
 from arkspark.llm.ngram_join import ngram_jaccard_join
-from arkspark.llm.pairwise_quality import quality_report
+from arkspark.llm.oracles import CHAT_FORMATTING, NGRAM_JOIN, QUALITY_RULES, WARC
+from arkspark.llm.pairwise_quality import fit_quality, quality_report
 from arkspark.llm.quality_rules import quality_rules
 from arkspark.llm.source_mix import mix_sources
 from arkspark.llm.token_counts import length_histogram, limit_report
@@ -39,7 +40,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(table(spark, sf_dir, "documents")).drop("source")
+    docs = table(spark, sf_dir, "documents")
+    return mix_sources(docs, fit_quality(docs, table(spark, sf_dir, "labels"))).drop("source")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,10 +68,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op3_chat_formatting, op4_quality_rules, op5_mixing_sources, op6_token_counts, op7_html_extraction, op8_quality_classifier, op9_benchmark_decontamination, op10_warc)}
 
 
-#: The rows of the archive query: digests in base32 by groups of 40 bits. The others rest on models, tokenizers or similarity.
-ORACLE_SQL: dict[str, str] = {
-    "op10_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), h AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS hex FROM p),
-f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_id FROM h)
-SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST('0x' || substr(hex, 10 * (i // 8) + 1, 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31) AS BIGINT), 1)), '') AS payload_digest,
-CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM f"""
-}
+#: The other queries rest on models, tokenizers or drawn keys.
+ORACLE_SQL: dict[str, str] = {"op1_ngram_jaccard_join": NGRAM_JOIN, "op3_chat_formatting": CHAT_FORMATTING, "op4_quality_rules": QUALITY_RULES, "op10_warc": WARC}

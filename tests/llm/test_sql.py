@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(llm.ORACLE_SQL))
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"create view pages as select * from '{SF}/pages.parquet'")
+    for table in ("conversations", "documents", "pages"):
+        con.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     theirs, ours = con.sql(llm.ORACLE_SQL[name]), llm.queries()[name](spark, SF)
     assert sorted(ours.columns) == sorted(theirs.columns)
     assert sorted((tuple(r[c] for c in theirs.columns) for r in ours.collect()), key=repr) == sorted(theirs.fetchall(), key=repr)
