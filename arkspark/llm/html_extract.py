@@ -19,10 +19,12 @@ from pyspark.sql import DataFrame
 
 from arkspark.llm.common import only, texts
 
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
-#: Elements whose text is never part of a block; of the first ones the content isn't markup.
-RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-DROPPED = RAW | frozenset("head template noscript svg math select option datalist button object canvas audio video map".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mspace semantics".split())
+#: Elements whose text is never part of a block: scripts, styles, forms' controls and what stands in for media; of the first ones the
+#: content isn't markup. SILENT ones don't even end a block.
+RAW = frozenset("script style textarea title iframe noembed noframes annotation".split())
+SILENT = frozenset("script style annotation".split())
+DROPPED = RAW | frozenset("head template noscript svg select option datalist button canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _BOUNDARY = frozenset("ul ol dl table div section article nav aside header footer main form body html".split())
@@ -75,7 +77,7 @@ def _text_features(text: str, linked: int, tag: str) -> set[str]:
         "words:" + ("1-2" if words < 3 else "3-5" if words < 6 else "6-11" if words < 12 else "12-24" if words < 25 else "25-"),
         "links:" + ("none" if not linked else "some" if share < 0.5 else "most" if share < 0.9 else "all"),
         "end:" + ("stop" if text[-1] in ".!?…。" else "mark" if text[-1] in ":;," else "none"),
-        *(("copyright",) if "©" in text or "(c)" in text[:40].lower() else ()),
+        *(("copyright",) if "©" in text or "(c)" in text.lower() else ()),
     }
 
 
@@ -126,6 +128,11 @@ def leaf_blocks(page: str) -> list[Block]:
             elif tag == "br":
                 add(" ")
             continue
+        if tag in SILENT:
+            if not m[1]:
+                end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+                at = end.end() if end else len(page)
+            continue
         flush()
         if m[1]:
             in_link = False
@@ -137,6 +144,13 @@ def leaf_blocks(page: str) -> list[Block]:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
+        if tag == "xmp":  # its text is no markup, and shown as it is
+            end = re.compile(r"</xmp\b[^>]*>", re.I).search(page, at)
+            if not dropped:
+                pieces.append(page[at : end.start() if end else len(page)])
+            at = end.end() if end else len(page)
+            flush()
+            continue
         if tag in _CLOSED_BY:
             pop_to(_CLOSED_BY[tag], _BOUNDARY)
         elif tag == "body":

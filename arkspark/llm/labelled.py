@@ -17,9 +17,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int,
     """(doc_id, text, label) of at most ``rows`` labelled documents outside the held-out fold, drawn by hash of the id.
 
     The drawn ids and labels are at most ``rows`` small rows, so that they are broadcast and no text is shuffled.
-    Null ids and labels are left out; of several labels of a document the largest counts.
+    Null ids and labels are left out; of several labels of a document the largest counts, and of several texts of one
+    id the one with the least hash.
     """
     known = only(labels, doc_id="long", **{label: "int"}).where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     known = known.where(fold(F.col("doc_id"), folds) != held_out).groupBy("doc_id").agg(F.max(label).alias("label"))
     drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return only(docs, doc_id="long", text="string").join(F.broadcast(drawn), "doc_id")
+    found = only(docs, doc_id="long", text="string").join(F.broadcast(drawn), "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "label")

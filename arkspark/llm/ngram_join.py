@@ -363,7 +363,11 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
     first = pairs.select("far", F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"))
     first = first.groupBy("p.x").agg(F.min(F.struct("far", "p.y")).alias("p")).select(F.least("x", "p.y").alias("a"), F.greatest("x", "p.y").alias("b")).distinct()
     first = scratch.write(first, "first")
-    links = scratch.write(_verified(first, sets, num, den), "links")
+    # Sets of one id are one node.
+    held = own.where("doc_id is not null and n > 0").join(classes.select("digest", "key"), "digest").select("doc_id", "key")
+    several = held.groupBy("doc_id").agg(F.min("key").alias("b"), F.max("key").alias("most")).where("b <> most").select("doc_id", "b")
+    of_one_id = held.join(several, "doc_id").where("key <> b").select(F.col("key").alias("a"), "b").distinct()
+    links = scratch.write(_verified(first, sets, num, den).unionByName(of_one_id), "links")
     comps = scratch.write(connected_components(links, scratch), "components")
     ca, cb = (comps.select(F.col("node").alias(e), F.col("component").alias("c" + e)) for e in "ab")
     second = pairs.select("a", "b").join(ca, "a", "left").join(cb, "b", "left")

@@ -26,7 +26,6 @@ LINE_TEXTS, LINE_SHARE = 5, 0.01
 LEFT_WORDS, LEFT_SHARE = 20, 0.2
 
 _SCHEMA = "row_id string, doc_id long, text_hash long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, body long, lines array<struct<h:long,w:int,c:int>>"
-_STRUCT = pa.list_(pa.struct([("h", pa.int64()), ("w", pa.int32()), ("c", pa.int32())]))
 
 
 def repeated_words(ids: np.ndarray, k: int = 8) -> int:
@@ -62,7 +61,8 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     symbol = np.zeros(256, np.int64)
     symbol[list(SYMBOLS)] = 1
     for part, rows in texts(batches, "text"):
-        columns: list[list] = [[] for _ in range(7)]
+        columns: list[list] = [[] for _ in range(6)]
+        hashes, words_in, times, ends = [], [], [], [0]
         for t in rows:
             t = t or b""
             words = t.split()
@@ -79,11 +79,15 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             chars = np.bincount(np.frombuffer(t, np.uint8), minlength=256) if t else np.zeros(256, np.int64)
             joined = b"".join(words)
             follow = int(np.count_nonzero((np.frombuffer(joined, np.uint8) & 0xC0) == 0x80)) if joined else 0
-            for column, value in zip(columns, (len(words), len(joined) - follow, int((chars * symbol).sum()), dups, repeated_words(ids.of(words)), xxhash.xxh64_intdigest(b" ".join(words)) - (1 << 63), [{"h": h, "w": n, "c": c} for h, (n, c) in lines.items()]), strict=True):
+            for column, value in zip(columns, (len(words), len(joined) - follow, int((chars * symbol).sum()), dups, repeated_words(ids.of(words)), xxhash.xxh64_intdigest(b" ".join(words)) - (1 << 63)), strict=True):
                 column.append(value)
-        kinds = [pa.int64()] * 6 + [_STRUCT]
+            hashes += lines
+            words_in += [n for n, _ in lines.values()]
+            times += [c for _, c in lines.values()]
+            ends.append(len(hashes))
+        held = pa.StructArray.from_arrays([pa.array(hashes, pa.int64()), pa.array(words_in, pa.int32()), pa.array(times, pa.int32())], ["h", "w", "c"])
         names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "body", "lines"]
-        yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("row_id", "doc_id", "text_hash", "host")), *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], ["row_id", "doc_id", "text_hash", "host", *names])
+        yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("row_id", "doc_id", "text_hash", "host")), *(pa.array(c, pa.int64()) for c in columns), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), held)], ["row_id", "doc_id", "text_hash", "host", *names])
 
 
 @F.pandas_udf(BinaryType())

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from arkspark.llm.common import Scratch, only, texts
 from arkspark.llm.pairwise_quality import FEATURES, QualityModel, features
 
-BINS = 1 << 16
+BINS = 1 << 13
 WEIGHTS = (3, 1, 2)
 #: The weight of a document with the score 0; one with the score 1 weighs 1 more.
 LEAST_WEIGHT = 0.25

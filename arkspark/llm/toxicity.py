@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from arkspark.llm.common import only, texts
 from arkspark.llm.labelled import fold, labelled_sample
 
-#: Groups of identity terms that are swapped for each other.
+#: Groups of identity terms that are swapped for each other, in English, German, French and Spanish.
 IDENTITY_GROUPS = (
     ("women", "men", "girls", "boys", "transgender", "nonbinary"),
     ("woman", "man", "girl", "boy", "female", "male"),
@@ -30,11 +30,27 @@ IDENTITY_GROUPS = (
     ("immigrant", "refugee", "foreigner", "native"),
     ("immigrants", "refugees", "foreigners", "natives"),
     ("deaf", "blind", "disabled", "autistic", "elderly", "young"),
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("schwule", "lesben", "homosexuelle", "heterosexuelle", "bisexuelle"),
+    ("muslime", "christen", "juden", "hinduisten", "buddhisten", "katholiken", "atheisten"),
+    ("schwarze", "weiße", "asiaten", "afrikaner", "araber", "europäer"),
+    ("einwanderer", "flüchtlinge", "ausländer", "einheimische"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("homosexuels", "lesbiennes", "hétérosexuels", "bisexuels"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "catholiques", "athées"),
+    ("noirs", "blancs", "asiatiques", "africains", "arabes", "européens"),
+    ("immigrés", "réfugiés", "étrangers", "autochtones"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("homosexuales", "lesbianas", "heterosexuales", "bisexuales"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "católicos", "ateos"),
+    ("negros", "blancos", "asiáticos", "africanos", "árabes", "europeos"),
+    ("inmigrantes", "refugiados", "extranjeros", "nativos"),
 )
 IDENTITY_TERMS = frozenset(w for g in IDENTITY_GROUPS for w in g)
 FIT_ROWS = 8000
 MAX_WORDS = 4096
 MIN_CHI_SQUARE = 15.0
+SWAP_PENALTY = 4.0
 PREFIXES = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -81,11 +97,11 @@ def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("label"), pa.array([sorted({f for w in words_of(t) for f in features_of(w)}) for t in rows], pa.list_(pa.string()))], ["doc_id", "label", "words"])
 
 
-def fit_weights(rows: list[tuple[int, list[str]]], vocabulary: list[str], swap_penalty: float = 4.0, l2: float = 0.05, steps: int = 400) -> ToxicityModel:
+def fit_weights(rows: list[tuple[int, list[str]]], vocabulary: list[str], swap_penalty: float = SWAP_PENALTY, l2: float = 0.05, steps: int = 400) -> ToxicityModel:
     """Weights by Adam on logistic loss + l2 + the mean squared score change over counterfactuals.
 
     ``rows`` are (label, words). For each text with an identity term, its counterfactuals replace the term by each
-    other one of its group; for each text without, they add one term of each group.
+    other one of its group or leave it out; for each text without, they add one term of each group.
     """
     index = {w: i for i, w in enumerate(vocabulary)}
     n, d = max(1, len(rows)), len(vocabulary)
@@ -98,6 +114,7 @@ def fit_weights(rows: list[tuple[int, list[str]]], vocabulary: list[str], swap_p
     for _, ws in rows:
         terms = [index[w] for w in ws if index[w] in of_term]
         for t in terms:
+            swaps[t, -1] = swaps.get((t, -1), 0) + 1
             for other in of_term[t]:
                 if other != t:
                     swaps[t, other] = swaps.get((t, other), 0) + 1 / max(1, len(of_term[t]) - 1)
@@ -128,10 +145,10 @@ def fit_weights(rows: list[tuple[int, list[str]]], vocabulary: list[str], swap_p
     return ToxicityModel({t: float(w[i]) for t, i in index.items()}, bias)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held_out: int = 1, fit_rows: int = FIT_ROWS) -> ToxicityModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held_out: int = 1, fit_rows: int = FIT_ROWS, max_words: int = MAX_WORDS, swap_penalty: float = SWAP_PENALTY) -> ToxicityModel:
     """Fit on at most ``fit_rows`` labelled documents outside the fold ``held_out``.
 
-    Words and first letters are chosen by Spark over the sample: the ``MAX_WORDS`` with the largest chi-square against the label, at
+    Words and first letters are chosen by Spark over the sample: the ``max_words`` with the largest chi-square against the label, at
     least ``MIN_CHI_SQUARE``, and all identity terms. Without labels the score is 0.5 everywhere.
     """
     sample = labelled_sample(docs, labels, label, folds, held_out, fit_rows).mapInArrow(_sample_words, "doc_id long, label int, words array<string>").cache()
@@ -143,13 +160,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds
         found = sample.select("label", F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("df"), F.sum("label").alias("tp"))
         expected = F.col("df") * p
         chi = (F.col("tp") - expected) * (F.col("tp") - expected) / (expected * (1 - p) * (1 - F.col("df") / (n + 1)) + 1e-9)
-        chosen = [r.word for r in found.where(chi >= MIN_CHI_SQUARE).orderBy(chi.desc(), "word").limit(MAX_WORDS).collect()]
+        chosen = [r.word for r in found.where(chi >= MIN_CHI_SQUARE).orderBy(chi.desc(), "word").limit(max_words).collect()]
         vocabulary = sorted({*chosen, *IDENTITY_TERMS})
         kept = F.array_intersect("words", F.lit(vocabulary))
         rows = [(r.label, sorted(r.words)) for r in sample.select("doc_id", "label", kept.alias("words")).orderBy("doc_id", "label", "words").collect()]
     finally:
         sample.unpersist()
-    return fit_weights(rows, vocabulary)
+    return fit_weights(rows, vocabulary, swap_penalty)
 
 
 def _scorer(model):
@@ -175,7 +192,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     return df.select("doc_id", "text_hash", "text").mapInArrow(_scorer(shared), "doc_id long, text_hash long, score double")
 
 
-def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
+def toxicity_report(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, swap_penalty: float = SWAP_PENALTY) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every document; held_out is crc32(doc_id) mod 3 = 1, false for a null id."""
-    scores = score_toxicity(docs, fit_toxicity(docs, labels))
+    scores = score_toxicity(docs, fit_toxicity(docs, labels, swap_penalty=swap_penalty))
     return scores.select("doc_id", F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

@@ -4,17 +4,18 @@ import base64
 import hashlib
 import io
 import random
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from arkspark.llm import decontaminate, html_extract, toxicity, warc_zstd
+from arkspark.llm import decontaminate, gram_blocks, html_extract, toxicity, warc_zstd
 from arkspark.llm.chat_format import chat_digest, format_chats
 from arkspark.llm.common import table
 from arkspark.llm.ngram_join import ngram_jaccard_join
-from arkspark.llm.pairwise_quality import quality_report
+from arkspark.llm.pairwise_quality import fit_quality, quality_report
 from arkspark.llm.quality_rules import quality_rules
 from arkspark.llm.source_mix import mix_sources
 from arkspark.llm.token_counts import length_histogram, limit_report, truncated_at
@@ -53,6 +54,38 @@ def test_join_is_exact(spark):
     assert {r.doc_id: r.component_id for r in got} == components(texts, 3, 9, 10)
 
 
+def test_join_of_a_chain_and_a_hot_ngram(spark):
+    """Some hundred sets that all share n-grams, some of them linked in a chain only, against brute force."""
+    draw, common, texts = random.Random(3), [f"c{i}" for i in range(12)], {}
+    base = [f"w{i}" for i in range(50)]
+    for i in range(330):
+        words = base[:]
+        for at in (draw.sample(range(50), draw.choice([0, 1, 1, 6, 12])) if i < 150 else range(50)):
+            words[at] = f"r{i}-{at}"
+        texts[1000 + i] = " ".join(common + words)
+    step = [f"s{i}" for i in range(80)]
+    for i in range(40):
+        step = step[2:] + [f"t{i}a", f"t{i}b"]
+        texts[5 + i] = " ".join(step)
+    got = ngram_jaccard_join(docs(spark, *((i, t, "s") for i, t in texts.items())), 5, 8, 10).collect()
+    assert {r.doc_id: r.component_id for r in got} == components(texts, 5, 8, 10)
+    assert len({r.component_id for r in got}) < 300 and sum(r.component_id == 5 for r in got) > 20
+
+
+def test_private_ngrams_are_counted_alike_in_small_blocks(spark, monkeypatch):
+    draw = random.Random(5)
+    hashes = [np.sort(np.array([draw.choice([draw.randrange(1 << 64), 77, (7 << 48) + 1, 1 << 63]) for _ in range(draw.randrange(9))], np.uint64)) for _ in range(60)]
+    hashes, names = [np.unique(h) for h in hashes], [draw.randrange(1 << 48) for _ in hashes]
+    held = [h.tolist() for h in hashes]
+    want = {n: sum(sum((g >> 16) in {x >> 16 for x in o} for o in held) == 1 for g in h) for n, h in zip(names, held, strict=True)}
+    for records in (1, 1 << 20):
+        monkeypatch.setattr(gram_blocks, "RECORDS", records)
+        packed = [x for at in range(0, 60, 7) for x in zip(*(c.to_pylist() for c in gram_blocks.pack(hashes[at : at + 7], names[at : at + 7])), strict=True)]
+        counts = [x for bs, ds in gram_blocks.private_counts(iter(sorted(packed))) for x in zip(bs, ds, strict=True)]
+        got = {int(n): int(c) for ns, cs in gram_blocks.summed_counts(iter(sorted(counts))) for n, c in zip(ns, cs, strict=True)}
+        assert got == {n: c for n, c in want.items() if c}
+
+
 def test_join_edge_cases(spark):
     got = ngram_jaccard_join(docs(spark, (None, "a b c d", "s"), (1, "a b c d", "s"), (1, "a b c d", "s"))).collect()
     assert sorted((r.doc_id or -1, r.component_id or -1) for r in got) == [(-1, -1), (1, 1), (1, 1)]
@@ -74,6 +107,29 @@ def test_counterfactuals_hold_mentions_down():
     assert held.logit({"idiot"}) > 1 > held.logit({"muslim"})
 
 
+def test_neutral_mentions_score_low_in_four_languages(spark):
+    """Labelled texts in which a group is mentioned with insults only: held-out neutral mentions are false positives unless swaps are penalised."""
+    words = {"en": ("muslims", "jews", "idiot", "they read the paper in town"), "de": ("muslime", "juden", "idioten", "sie lesen die zeitung in der stadt"), "fr": ("musulmans", "juifs", "crétins", "ils lisent le journal en ville"), "es": ("musulmanes", "judíos", "idiotas", "leen el periódico en la ciudad")}
+    rows, labels, neutral, toxic = [], [], [], []
+    held_out = [i for i in range(6000) if zlib.crc32(str(i).encode()) % 3 == 1]
+    learnt = iter(i for i in range(6000) if zlib.crc32(str(i).encode()) % 3 != 1)
+    for term, other, insult, plain in words.values():
+        for j in range(40):
+            for text, label in ((f"{plain} {term} {insult} x{j}", 1), (f"{plain} {'ab'[j % 2]}{insult}" if j < 6 else plain, 0)):
+                i = next(learnt)
+                rows.append((i, text, "s"))
+                labels.append((i, label))
+        for text, group in ((f"{plain} {term}", neutral), (f"{plain} {other}", neutral), (f"{plain} a{insult}", toxic)):
+            i = held_out.pop()
+            rows.append((i, text, "s"))
+            group.append(i)
+    table_of = spark.createDataFrame(labels, "doc_id long, toxic int")
+    score = lambda penalty: {r.doc_id: r.predicted for r in toxicity.toxicity_report(docs(spark, *rows), table_of, threshold=0.5, swap_penalty=penalty).collect()}
+    free, held = score(0.0), score(toxicity.SWAP_PENALTY)
+    assert sum(free[i] for i in neutral) == 4 and sum(held[i] for i in neutral) == 0
+    assert all(held[i] for i in toxic)
+
+
 def test_chat_round_trip(spark):
     hard = "\\### Assistant: </turn> ok\\0 \\1</turn>\n### user: x"
     rows = spark.createDataFrame([(1, 0, "us:er\\1", hard), (1, 1, "assistant", hard), (1, 2, "assistant", None), (2, None, None, ""), (None, 1, "user", "é")], "conv_id long, turn long, role string, text string")
@@ -85,6 +141,16 @@ def test_chat_round_trip(spark):
     assert format_chats(rows.limit(0)).count() == 0
 
 
+def test_control_strings_never_stand_in_texts(spark):
+    texts = ["\\### Assistant: </turn> ok", "### user: x</turn>\n### assistant: y", "#### </turn></turn>", "\\0 \\1 \\2", "plain: text", "</turn", "", None]
+    rows = spark.createDataFrame([(-7, i, "user" if i % 2 else "assi###stant: </turn>", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    out = format_chats(rows).first()
+    assert out.roundtrip and out.formatted.count("###") == out.formatted.count("</turn>") == out.formatted.count("</turn>\n") == len(texts)
+    bodies = [x.removeprefix("### ").partition(": ")[2] for x in out.formatted.split("</turn>\n")[:-1]]
+    assert not any("###" in b or "</turn>" in b for b in bodies)
+    assert [b.replace("\\2", "###").replace("\\1", "</turn>").replace("\\0", "\\") for b in bodies] == [t or "" for t in texts]
+
+
 def test_quality_rules(spark):
     line, other = "same line here now", " ".join(f"w{i}" for i in range(30))
     rows = [(i, f"{line}\n{other} {i}", "s") for i in range(30)] + [(100, "\n".join([line] * 6), "s"), (101, None, None), (102, "", "s")]
@@ -129,6 +195,41 @@ def test_mix_meets_targets(spark):
     assert sum({r.source: r.target for r in out}.values()) == pytest.approx(1.5 * sum(r.size for r in out))
 
 
+def test_mix_is_exact(spark):
+    """Keys, targets and what is taken, by sorting whole sources."""
+    draw = random.Random(4)
+    rows = [(i, "w " * draw.randrange(60), draw.choice(["a", "b", "c", "d", None])) for i in range(400)] + [(5, "w w", "a"), (5, "w w", "a")]
+    got = sorted((r.doc_id, r.source or "", r.size, r.taken) for r in mix_sources(docs(spark, *rows)).collect())
+    sources = sorted({s for _, _, s in rows if s}) + [None]
+    size = {s: sum(len(t.split()) for _, t, q in rows if q == s) for s in sources}
+    weight, target, budget, free = {s: (3, 1, 2)[i % 3] for i, s in enumerate(sources)}, {}, 1.5 * sum(size.values()), set(sources)
+    while free:
+        level = budget / sum(weight[s] for s in free)
+        full = {s for s in free if 2 * size[s] <= level * weight[s]}
+        if not full:
+            target |= {s: level * weight[s] for s in free}
+            break
+        target |= {s: 2.0 * size[s] for s in full}
+        budget -= sum(2 * size[s] for s in full)
+        free -= full
+    key = lambda i: -np.log((int(hashlib.md5(f"42:{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52)
+    want = []
+    for s in sources:
+        epochs, before = int(target[s] // size[s]), 0
+        for i, t, _ in sorted((x for x in rows if x[2] == s), key=lambda x: (key(x[0]), x[0])):
+            n = len(t.split())
+            before += n
+            want.append((i, s or "", n, n * (epochs + (2 * before - n < 2 * (target[s] - epochs * size[s])))))
+    assert got == sorted(want)
+
+
+def test_better_documents_come_first_in_the_mix(spark):
+    model = fit_quality(*(table(spark, "/root/testdata/sf0.01", n) for n in ("documents", "labels")))
+    given = table(spark, "/root/testdata/sf0.01", "documents").where("source is not null").withColumn("source", F.lit("s"))
+    share = lambda out: out.where("taken > size").join(table(spark, "/root/testdata/sf0.01", "labels"), "doc_id").agg(F.avg("quality")).first()[0]
+    assert share(mix_sources(given, model)) > share(mix_sources(given)) + 0.05
+
+
 def test_length_histogram(spark):
     report = limit_report(length_histogram(docs(spark, (1, "a a a a", "s"), (2, "a a", "s"), (3, None, "s"))))
     assert truncated_at(report, 3).first().truncated_total == 5
@@ -181,11 +282,42 @@ def test_decontamination_finds_altered_copies_at_any_size(spark):
         at = draw.randrange(len(text) + 1)
         text = text[:at] + altered + text[at:]
         assert decontaminate.common_subsequence(words, text) >= decontaminate.COPY * len(words)
-        if item_id not in [m[0] for m in decontaminate._matches(items, space, text, decontaminate.COSINE)]:
+        near = decontaminate._candidates(space, [items.slots_of(text)], decontaminate.COSINE)[0]
+        if item_id not in [m[0] for m in decontaminate._matches(items, text, near)]:
             missed.append(item_id)
     assert missed == []
 
 
+def test_paraphrases_are_found_and_clean_texts_left_alone(spark):
+    """Items with 30 % of their words replaced by words of other texts, set into documents; none of the clean ones is reported."""
+    d, draw = "/root/testdata/sf0.01", random.Random(2)
+    items = [(r.item_id, r.text.split()) for r in table(spark, d, "benchmark").orderBy("item_id").collect()]
+    held = {r.doc_id for r in decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark")).collect()}
+    clean = [(r.text or "").split() for r in table(spark, d, "documents").where("lang = 'en'").orderBy("doc_id").collect() if r.doc_id not in held][:240]
+    rows, planted = [], {}
+    for i, words in enumerate(clean):
+        if i < 120:
+            item_id, item = items[i % len(items)]
+            altered = list(item)
+            for at in draw.sample(range(len(item)), int(0.3 * len(item))):
+                altered[at] = draw.choice(draw.choice(clean))
+            at = draw.randrange(len(words) + 1)
+            words = words[:at] + altered + words[at:]
+            planted[i] = item_id
+        rows.append((i, " ".join(words), "s"))
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs(spark, *rows), table(spark, d, "benchmark")).collect()}
+    assert sum((i, item) in found for i, item in planted.items()) >= 0.95 * len(planted)
+    assert [x for x in found if x[0] not in planted] == []
+
+
+def test_blocks_of_items_share_their_scans(spark, monkeypatch):
+    d = "/root/testdata/sf0.001"
+    whole = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark")).collect()}
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 7)
+    monkeypatch.setattr(decontaminate, "BLOCKS", 3)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark")).collect()} == whole
+
+
 def test_archives_round_trip(spark):
     rows = [(1, "http://a", "same"), (2, "http://b", "same"), (3, "u", None), (4, "u", ""), (None, "u", "same")] + [(i, "u", f"<p>{'x' * i}</p>") for i in range(10, 40)]
     out = {r.page_id: r for r in warc_zstd.archive_round_trip(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
