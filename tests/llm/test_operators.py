@@ -109,13 +109,13 @@ def test_counterfactuals_hold_mentions_down():
 
 def test_neutral_mentions_score_low_in_four_languages(spark):
     """Labelled texts in which a group is mentioned with insults only: held-out neutral mentions are false positives unless swaps are penalised."""
-    words = {"en": ("muslims", "jews", "idiot", "they read the paper in town"), "de": ("muslime", "juden", "idioten", "sie lesen die zeitung in der stadt"), "fr": ("musulmans", "juifs", "crétins", "ils lisent le journal en ville"), "es": ("musulmanes", "judíos", "idiotas", "leen el periódico en la ciudad")}
+    words = {"en": ("muslims", "jews", "idiot", "they read the paper in town"), "de": ("muslime", "juden", "idioten", "sie lesen die zeitung in der stadt"), "fr": ("musulmans", "juifs", "idiots", "ils lisent le journal en ville"), "es": ("musulmanes", "judíos", "idiotas", "leen el periódico en la ciudad")}
     rows, labels, neutral, toxic = [], [], [], []
     held_out = [i for i in range(6000) if zlib.crc32(str(i).encode()) % 3 == 1]
     learnt = iter(i for i in range(6000) if zlib.crc32(str(i).encode()) % 3 != 1)
     for term, other, insult, plain in words.values():
         for j in range(40):
-            for text, label in ((f"{plain} {term} {insult} x{j}", 1), (f"{plain} {'ab'[j % 2]}{insult}" if j < 6 else plain, 0)):
+            for text, label in ((f"{plain} {term} {'ab'[j % 2]}{insult}", 1), (f"{plain} {'ab'[j % 2]}{insult}" if j < 6 else plain, 0)):
                 i = next(learnt)
                 rows.append((i, text, "s"))
                 labels.append((i, label))
