@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from arkspark.functions.scalars import bind
+
 #: The fields of a reading, in their order, and their types.
 FIELDS = (
     ("crawl_identifier", "string"), ("crawl_original_identifier", "string"), ("crawl_provider", "string"), ("crawl_collection_id", "string"), ("crawl_generation_code", "string"), ("crawl_sequence", "int"), ("crawl_run", "int"), ("crawl_job_id", "string"), ("crawl_seed_id", "string"), ("crawl_token", "string"),
@@ -35,11 +37,6 @@ CRAWLERS_COMPAQ = {"aug": "crawler0", "image": "crawler1"}
 US_HOSTS_FROM = "20060615000000"
 
 
-def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _group(text: Column, pattern: str, number: int) -> Column:
     """A group of the pattern; null if it is empty or nothing matches."""
     return F.nullif(F.regexp_extract(text, pattern, number), F.lit(""))

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from arkspark.functions.scalars import bind
 
 #: scheme, host, port, path, query.
 PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*)://)?(?:[^/@?#]*@)?([^:/?#]*)(?::([0-9]+))?([^?#]*)(\?[^#]*)?"
@@ -131,31 +137,148 @@ def strip_path_session(text: Column) -> Column:
 
 
 def normalise_path(text: Column) -> Column:
-    """Without ``.`` and empty segments; ``..`` takes back a segment where there is one."""
+    """Without ``.`` segments; ``..`` takes back the segment before it, an empty one too, or stays at the root; of the
+    rest, empty segments go but for the last."""
     segments = F.slice(F.split(text, "/"), F.lit(2), F.size(F.split(text, "/")))
     keep = F.aggregate(
         segments,
         F.array().cast("array<string>"),
-        lambda done, s: F.when(s.isin(".", ""), done).when((s == "..") & (F.size(done) > 0), F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(s == "..", done).otherwise(F.array_append(done, s)),
+        lambda done, s: F.when(s == ".", done).when((s == "..") & (F.size(done) > 0), F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.array_append(done, s)),
     )
-    tail = F.when(F.element_at(segments, -1).isin("", ".", "..") & (F.size(keep) > 0), F.lit("/")).otherwise("")
-    return F.concat(F.lit("/"), F.array_join(keep, "/"), tail)
+    inner = lambda k: F.filter(F.slice(k, F.lit(1), F.greatest(F.size(k) - 1, F.lit(0))), lambda s: s != "")
+    return bind(keep, lambda k: F.concat(F.lit("/"), F.array_join(F.transform(inner(k), lambda s: F.concat(s, F.lit("/"))), ""), F.coalesce(F.get(k, F.size(k) - 1), F.lit(""))))
 
 
 def dotted_ipv4(name: Column) -> Column:
-    """A host given as one integer as dotted IPv4; other hosts as they are."""
-    n = F.expr("NULL").cast("bigint")
-    n = F.when(name.rlike("^[0-9]{1,10}$"), name.cast("bigint"))
-    dotted = F.concat_ws(".", *(F.shiftright(n, s).bitwiseAND(255) for s in (24, 16, 8, 0)))
-    return F.when(n.isNotNull() & (n < (1 << 32)), dotted).otherwise(name)
+    """A host given as one integer, or as four octal or decimal numbers, as dotted IPv4; other hosts as they are."""
+    n = F.when(name.rlike("^[0-9]{1,10}$"), name.try_cast("bigint"))
+    whole = bind(n, lambda n: F.when(n < (1 << 32), F.concat_ws(".", *(F.shiftright(n, s).bitwiseAND(255).cast("string") for s in (24, 16, 8, 0)))))
+    quad = F.split(name, r"\.")
+    octal = F.transform(quad, lambda x: F.conv(x, 8, 10).try_cast("bigint"))
+    decimal = F.transform(quad, lambda x: x.try_cast("bigint"))
+    numbers = F.when(name.rlike(r"^0[0-7]*(\.[0-7]{1,9}){3}$"), octal).when(name.rlike(r"^[1-9][0-9]*(\.[0-9]{1,9}){3}$"), decimal)
+    four = bind(numbers, lambda q: F.when(F.forall(q, lambda x: x.between(0, 255)), F.array_join(q.cast("array<string>"), ".")))
+    return F.coalesce(whole, four, name)
+
+
+_ESCAPES = re.compile("((?:%[0-9a-fA-F]{2})+)")
+
+
+def _unescape(text: str | None) -> str | None:
+    """Percent escapes undone again and again, until none is left. A run that is no UTF-8 loses those of ASCII only."""
+    while text and "%" in text:
+        before = text
+        text = _ESCAPES.sub(_decode_run, text)
+        if text == before:
+            break
+    return text
+
+
+def _decode_run(match: re.Match) -> str:
+    run = bytes.fromhex(match[1].replace("%", ""))
+    try:
+        return run.decode("utf-8")
+    except UnicodeDecodeError:
+        if run[0] < 128:
+            return chr(run[0]) + "".join(match[1][3:])
+        return match[1][:3] + (_ESCAPES.sub(_decode_run, match[1][3:]) if len(match[1]) > 3 else "")
+
+
+def _escape(text: str | None) -> str | None:
+    """Control characters, spaces, characters beyond ASCII, # and % as escapes."""
+    return text if text is None else "".join(chr(b) if 32 < b < 128 and b not in b"#%" else f"%{b:02X}" for b in text.encode("utf-8", "surrogatepass"))
+
+
+def _ascii_host(name: str | None) -> str | None:
+    """A host beyond ASCII by its IDNA form; as it is if it has none."""
+    text = _unescape(name)
+    if text and not text.isascii():
+        try:
+            return text.encode("idna").decode()
+        except UnicodeError:
+            return text
+    return text
+
+
+@F.pandas_udf(StringType())
+def _unescaped(texts: pd.Series) -> pd.Series:
+    return texts.map(_unescape)
+
+
+@F.pandas_udf(StringType())
+def _escaped(texts: pd.Series) -> pd.Series:
+    return texts.map(_escape)
+
+
+@F.pandas_udf(StringType())
+def _ascii_hosts(texts: pd.Series) -> pd.Series:
+    return texts.map(_ascii_host)
+
+
+#: Characters that make a part go through Python: escapes, and what has to be escaped. All else stays in the JVM.
+_ODD = r"[%#\x00-\x20\u0080-\x{10FFFF}]"
+
+
+def _oddly(text: Column, use) -> Column:
+    return F.coalesce(use(F.when(text.rlike(_ODD), text)), text)
+
+
+def _split(url: Column) -> Column:
+    """struct of the scheme, host, port, path and query of a URL as it is written."""
+    text = F.regexp_replace(F.trim(F.coalesce(url, F.lit(""))), r"[\n\r\t\u0085\u2028\u2029]+", "")
+    whole = r"^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?(?://(?:[^/?#@]*@)?([^:/?#]*)(?::([^/?#]*))?)?([^?#]*)(\?[^#]*)?(?:#.*)?$"
+
+    def parts(t: Column) -> Column:
+        full = F.when(t.rlike(r"(?i)^(https?|ftp|mms|rtsp|wais)://"), t).otherwise(F.concat(F.lit("http://"), t))
+        return bind(F.regexp_replace(full, r"(?i)^(https?://)/+", "$1"), lambda u: F.struct(F.lower(F.regexp_extract(u, whole, 1)).alias("scheme"), F.regexp_extract(u, whole, 2).alias("host"), F.regexp_extract(F.regexp_extract(u, whole, 3), r"^\s*\+?0*([0-9]+)", 1).alias("port"), F.regexp_extract(u, whole, 4).alias("path"), F.regexp_extract(u, whole, 5).alias("query")))
+
+    return bind(text, parts)
+
+
+def _plain_host(host: Column) -> Column:
+    """A host without stray dots, and as dotted IPv4 if it is a number."""
+    return F.lower(bind(F.regexp_replace(F.replace(F.regexp_replace(host, r"^\.+", ""), F.lit(".."), F.lit(".")), r"\.$", ""), dotted_ipv4))
+
+
+def _joined(scheme: Column, host: Column, port: Column, path: Column, query: Column) -> Column:
+    own = F.when(scheme == "http", "80").when(scheme == "https", "443").otherwise("")
+    at = F.when((port == "") | (port == own), "").otherwise(F.concat(F.lit(":"), port))
+    way = bind(strip_path_session(F.lower(path)), lambda w: F.when(F.length(w) > 1, F.regexp_replace(w, "/$", "")).otherwise(w))
+    sorted_query = lambda q: F.when(F.length(q) > 1, F.concat(F.lit("?"), reorder_query(F.substring(q, F.lit(2), F.length(q))))).otherwise(q)
+    ask = F.when(F.length(query) > 1, bind(F.lower(strip_session_ids(query)), sorted_query)).otherwise("")
+    return F.concat(host_to_surt(massage_host(host)), at, F.lit(")"), way, ask)
+
+
+def _special(url: Column, made: Column) -> Column:
+    """``made``, but for URLs that have no key of that form."""
+    return (
+        F.when(F.coalesce(url, F.lit("")) == "", "-")
+        .when(url.rlike("^(filedesc|warcinfo)"), url)
+        .when(url.startswith("dns:"), F.concat(host_to_surt(F.regexp_replace(url, "^dns:", "")), F.lit(")")))
+        .when(F.trim(url).rlike("^(dns|filedesc|warcinfo):"), url)
+        .otherwise(made)
+    )
 
 
 def wayback_urlkey(url: Column) -> Column:
-    """Full archive sort key of URLs without percent escapes beyond ASCII: the others aren't built."""
-    plain = F.regexp_replace(F.trim(url), "#.*$", "")
-    text = F.when(query(plain) != "", reorder_query(F.lower(strip_session_ids(F.substring(query(plain), F.lit(2), F.length(query(plain))))))).otherwise("")
-    way = F.lower(strip_path_session(normalise_path(path(plain))))
-    way = F.when(way != "/", F.regexp_replace(way, "/$", "")).otherwise(way)
-    at = F.when(port(plain) != "", F.concat(F.lit(":"), port(plain))).otherwise("")
-    key = F.concat(host_to_surt(massage_host(dotted_ipv4(host(plain)))), at, F.lit(")"), way, F.when(text != "", F.concat(F.lit("?"), text)).otherwise(""))
-    return F.when(F.coalesce(F.trim(url), F.lit("")) == "", "-").when(url.rlike("^(filedesc|warcinfo)"), url).when(url.startswith("dns:"), F.concat(host_to_surt(F.regexp_replace(url, "^dns:", "")), F.lit(")"))).otherwise(key)
+    """Full archive sort key of a URL without escapes and without characters beyond ASCII; null for one with such: see wayback_urlkeys."""
+
+    def made(p: Column) -> Column:
+        odd = F.concat(p["host"], p["path"], p["query"]).rlike(_ODD)
+        return F.when(~odd, bind(F.struct(_plain_host(p["host"]).alias("host"), normalise_path(p["path"]).alias("path")), lambda c: _joined(p["scheme"], c["host"], p["port"], c["path"], p["query"])))
+
+    return _special(url, bind(_split(url), made))
+
+
+def wayback_urlkeys(df, url: str = "url", key: str = "urlkey"):
+    """``df`` with the full archive sort key of each URL.
+
+    Host and query are put into one form (escapes, IDNA, IP addresses), the path normalised, "www" prefixes, user, default port, session
+    ids and a trailing slash dropped, and the query sorted. Empty URLs give "-", host look-ups the host's key, and descriptions of
+    archives themselves. Parts without escapes or characters beyond ASCII never leave the JVM.
+    """
+    df = df.withColumn("_p", _split(F.col(url)))
+    df = df.withColumns({"_host": _oddly(F.col("_p.host"), _ascii_hosts), "_path": _oddly(F.col("_p.path"), _unescaped), "_query": _oddly(F.col("_p.query"), _unescaped)})
+    df = df.withColumns({"_host": _plain_host(F.col("_host")), "_path": normalise_path(F.col("_path"))})
+    df = df.withColumns({name: _oddly(F.col(name), _escaped) for name in ("_host", "_path", "_query")})
+    return df.withColumn(key, _special(F.col(url), _joined(F.col("_p.scheme"), F.col("_host"), F.col("_p.port"), F.col("_path"), F.col("_query")))).drop("_p", "_host", "_path", "_query")

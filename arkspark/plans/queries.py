@@ -110,7 +110,7 @@ def url_reorder_query(spark, d):
     return e.select("event_id", urls.reorder_query(text).alias("query"))
 
 
-@query("SELECT event_id, concat('?page=', event_id % 5, '&', 'x=1') AS query, concat('/', event_type, '/') AS path FROM events")
+@query("SELECT event_id, concat('?page=', event_id % 5, '&', 'x=1') AS query, concat('/', event_type, '/x/') AS path FROM events")
 def url_strip_session(spark, d):
     e = spark.read.parquet(f"{d}/events.parquet")
     sid = F.md5(F.col("event_id").cast("string"))
@@ -124,9 +124,35 @@ def url_dotted_ipv4(spark, d):
     return spark.read.parquet(f"{d}/events.parquet").select("event_id", urls.dotted_ipv4((F.col("event_id") * 7919).cast("string")).alias("host"))
 
 
-@query()
+@query(r"""WITH p AS (SELECT page_id, lower(regexp_extract(url, '^https?://([^/?#:]*)', 1)) AS host, lower(regexp_replace(regexp_extract(url, '^https?://[^/?#]*([^?#]*)', 1), '/$', '')) AS way, lower(regexp_extract(url, '\?([^#]*)', 1)) AS ask FROM pages)
+SELECT page_id, concat(array_to_string(list_reverse(string_split(regexp_replace(host, '^(www[0-9]*\.)+', ''), '.')), ','), ')', CASE WHEN way = '' THEN '/' ELSE way END, CASE WHEN ask = '' THEN '' ELSE concat('?', array_to_string(list_sort(string_split(ask, '&')), '&')) END) AS urlkey FROM p""")
 def url_wayback_key(spark, d):
-    return _pages(spark, d).select("page_id", urls.wayback_urlkey(F.col("url")).alias("urlkey"))
+    return urls.wayback_urlkeys(_pages(spark, d).select("page_id", "url")).select("page_id", "urlkey")
+
+
+#: What archives take for the same address: escapes, dots, session ids, ports, user names, numbers for hosts, other alphabets.
+_HARD_URLS = """CASE page_id % 8
+ WHEN 0 THEN concat('HTTP:///user:pw@WWW2.Example', page_id, '.com:80/a/./b//../c/%7Ex%2561/?sid=0123456789abcdef0123456789ABCDEF&B=2&a=', page_id, '#f')
+ WHEN 1 THEN concat('https://', page_id + 3232235776, ':443/(a(abcdefghijklmnopqrstuvwx))/x.ASPX?')
+ WHEN 2 THEN concat('http://010.0.', page_id % 8, '.01:8080/%41%', '2f?q=%23%25')
+ WHEN 3 THEN concat('bücher.de/é', page_id, '?x=ü')
+ WHEN 4 THEN concat('dns:a', page_id, '.example.org')
+ WHEN 5 THEN concat('filedesc:', page_id, '.arc')
+ WHEN 6 THEN concat(' ftp://..Www.www12.a..b.com./x/../../y', chr(9), page_id, '/%FF%41 ')
+ ELSE concat('http://a.b/?jsessionid=', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ012345', '&z=', page_id, '&a&A=%2b') END"""
+
+
+@query("""SELECT page_id, CASE page_id % 8
+ WHEN 0 THEN concat('com,example', page_id, ')/a/b/c/~xa?a=', page_id, '&b=2')
+ WHEN 1 THEN concat(page_id % 256, ',', (page_id // 256 + 1) % 256, ',168,192)/x.aspx')
+ WHEN 2 THEN concat('1,', page_id % 8, ',0,8:8080)/a?q=%23%25')
+ WHEN 3 THEN concat('de,xn--bcher-kva)/%c3%a9', page_id, '?x=%c3%bc')
+ WHEN 4 THEN concat('org,example,a', page_id, ')')
+ WHEN 5 THEN concat('filedesc:', page_id, '.arc')
+ WHEN 6 THEN concat('com,b,a)/../y', page_id, '/%25ffa')
+ ELSE concat('b,a)/?a&a=+&z=', page_id) END AS urlkey FROM pages""")
+def url_wayback_key_hard(spark, d):
+    return urls.wayback_urlkeys(_pages(spark, d).select("page_id", F.expr(_HARD_URLS).alias("url"))).select("page_id", "urlkey")
 
 
 @query("WITH CAPS SELECT ord, ts14 FROM caps WHERE ts14 >= '20240105000000' AND ts14 <= '20240112235959'")
