@@ -15,8 +15,8 @@ def etag_candidates(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
     ways = spark.range(256).select(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: (F.lit(1) + F.pmod(F.floor(F.col("id") / F.pow(F.lit(2), i)), F.lit(2))).cast("int")).alias("w"))
     ways = ways.withColumn("total", F.aggregate("w", F.lit(0), lambda a, x: a + x))
-    rows = rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("_hex", F.lower(F.regexp_extract("etag", r'^(?:W/)?"?([0-9a-fA-F]{8,16}):', 1)))
-    cut = rows.select("_row", "_hex", "capture_seconds").join(F.broadcast(ways), F.length("_hex") == F.col("total"))
+    keys = rows.select("etag", "capture_seconds").where("etag is not null").distinct().withColumn("_hex", F.lower(F.regexp_extract("etag", r'^(?:W/)?"?([0-9a-fA-F]{8,16}):', 1)))
+    cut = keys.join(F.broadcast(ways), F.length("_hex") == F.col("total"))
     starts = [F.lit(1)]
     for i in range(8):
         starts.append(starts[-1] + F.col("w")[i])
@@ -28,6 +28,29 @@ def etag_candidates(rows: DataFrame) -> DataFrame:
     for i in reversed(range(8)):
         ticks = (ticks * 256 + F.conv(piece[i], 16, 10).cast("decimal(20,0)")).cast("decimal(20,0)")
     seconds = ((ticks - 116444736000000000).cast("decimal(20,0)") / F.lit(10_000_000).cast("decimal(20,0)")).cast("decimal(20,7)")
-    found = cut.where(fits).select("_row", seconds.alias("s"), "capture_seconds").where((F.col("s") >= 820454400) & (F.col("s") <= F.col("capture_seconds") + 86400))
-    found = found.groupBy("_row").agg(F.array_sort(F.collect_set("s")).alias("candidates"))
-    return rows.join(found, "_row", "left").withColumn("candidates", F.coalesce("candidates", F.array().cast("array<decimal(20,7)>"))).drop("_row", "_hex")
+    found = cut.where(fits).select("etag", seconds.alias("s"), "capture_seconds").where((F.col("s") >= 820454400) & (F.col("s") <= F.col("capture_seconds") + 86400))
+    found = found.groupBy("etag", "capture_seconds").agg(F.array_sort(F.collect_set("s")).alias("candidates"))
+    return rows.join(found, ["etag", "capture_seconds"], "left").select(*(F.col(c) for c in rows.columns), F.coalesce("candidates", F.array().cast("array<decimal(20,7)>")).alias("candidates"))
+
+
+def precise_time(seconds):
+    """ISO time with nine digits of decimal seconds."""
+    whole = F.floor(seconds)
+    return F.concat(F.date_format(F.timestamp_seconds(whole.cast("long")), "yyyy-MM-dd'T'HH:mm:ss."), F.rpad(F.lpad(((seconds - whole) * 10_000_000).cast("long").cast("string"), 7, "0"), 9, "0"), F.lit("Z"))
+
+
+def exact_modification(rows: DataFrame) -> DataFrame:
+    """``rows`` (etag, capture_seconds, modified_seconds, server) with modified_precise and modified_candidates (ISO times, sorted).
+
+    With a modification time, candidates of the ETag in that second count; without one, all plausible ones, and only of servers
+    that make such ETags. A single candidate is the time; of several, the first is it as well if its fraction ends in zeros as a whole
+    second does, but only without a modification time.
+    """
+    with_times = etag_candidates(rows)
+    dated = F.col("modified_seconds").isNotNull()
+    fitting = F.filter("candidates", lambda c: F.when(dated, F.floor(c) == F.col("modified_seconds")).otherwise(F.coalesce(F.lower("server").contains("microsoft-iis"), F.lit(False))))
+    out = with_times.withColumn("candidates", F.transform(F.when(F.col("etag").isNotNull(), fitting), precise_time))
+    several = F.size("candidates") > 1
+    first = F.get("candidates", F.lit(0))
+    exact = F.when(F.size("candidates") == 1, first).when(several & ~dated & first.endswith("0000000000Z"), first)
+    return out.withColumns({"modified_precise": exact, "modified_candidates": F.when(several, F.col("candidates"))}).drop("candidates")
