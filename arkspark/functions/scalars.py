@@ -116,3 +116,12 @@ def iis_etag(seconds: Column, nanos: Column, change: Column) -> Column:
     digits = [F.lower(F.hex(F.shiftright(ticks, 8 * i).bitwiseAND(255))) for i in range(8)]
     plain = [F.when(F.length(d) > 1, F.regexp_replace(d, "^0(.)$", "$1")).otherwise(d) for d in digits]
     return F.concat(F.lit('"'), *plain, F.lit(":"), F.lower(F.hex(change)), F.lit('"'))
+
+
+def earliest(*stamps: Column) -> Column:
+    """The least of stamps; null and empty ones don't count."""
+    return F.least(*(F.nullif(s, F.lit("")) for s in stamps))
+
+
+def latest(*stamps: Column) -> Column:
+    return F.greatest(*(F.nullif(s, F.lit("")) for s in stamps))

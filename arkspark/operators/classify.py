@@ -17,7 +17,7 @@ REDIRECTS = (301, 302, 303, 307, 308)
 def classify(rows: DataFrame, not_found: tuple[str, ...], expected: tuple[int, ...] = (), transient: tuple[str, ...] = (), overrides: DataFrame | None = None) -> DataFrame:
     """Adds ``type`` to rows of (url, status, sha, mime, content, download); earlier rules win."""
     if overrides is not None:
-        rows = rows.join(F.broadcast(overrides.select(F.col("sha").alias("o_sha"), F.col("type").alias("o_type"))), F.col("sha") == F.col("o_sha"), "left")
+        rows = rows.join(overrides.select(F.col("sha").alias("o_sha"), F.col("type").alias("o_type")), F.col("sha") == F.col("o_sha"), "left")
         given = F.col("o_type")
     else:
         given = F.lit(None).cast("string")

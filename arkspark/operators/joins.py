@@ -49,10 +49,10 @@ def resolve_revisits(rows: DataFrame) -> DataFrame:
 def crawler_periods(rows: DataFrame, periods: DataFrame) -> DataFrame:
     """Adds name of the first period, in file order, of the row's provider that holds its stamp; null for none.
 
-    periods (provider, from_ts, to_ts, name, ord) is a table of enrichment files, small by nature and broadcast.
+    periods: provider, from_ts, to_ts, name, ord.
     """
     p = periods.select(F.col("provider").alias("p_provider"), "from_ts", "to_ts", F.col("name").alias("p_name"), F.col("ord").alias("p_ord"))
-    hit = rows.join(F.broadcast(p), (F.col("source") == F.col("p_provider")) & F.col("ts14").between(F.col("from_ts"), F.col("to_ts")), "left")
+    hit = rows.join(p, (F.col("source") == F.col("p_provider")) & F.col("ts14").between(F.col("from_ts"), F.col("to_ts")), "left")
     first = F.min_by("p_name", "p_ord").alias("crawler")
     return rows.join(hit.groupBy("ord").agg(first), "ord", "left")
 
@@ -61,15 +61,15 @@ def override_periods(rows: DataFrame, overrides: DataFrame) -> DataFrame:
     """Adds ``has_override`` (the name is listed) and ``override`` (of the first period that holds the stamp)."""
     names = overrides.select(F.col("name").alias("n")).distinct().withColumn("has_override", F.lit(True))
     o = overrides.select(F.col("name").alias("n"), "from_ts", "to_ts", "value", F.col("ord").alias("o_ord"))
-    hit = rows.join(F.broadcast(o), (F.col("name") == F.col("n")) & F.col("ts14").between(F.col("from_ts"), F.col("to_ts"))).groupBy("ord").agg(F.min_by("value", "o_ord").alias("override"))
-    return rows.join(F.broadcast(names), F.col("name") == F.col("n"), "left").drop("n").join(hit, "ord", "left").withColumn("has_override", F.coalesce("has_override", F.lit(False)))
+    hit = rows.join(o, (F.col("name") == F.col("n")) & F.col("ts14").between(F.col("from_ts"), F.col("to_ts"))).groupBy("ord").agg(F.min_by("value", "o_ord").alias("override"))
+    return rows.join(names, F.col("name") == F.col("n"), "left").drop("n").join(hit, "ord", "left").withColumn("has_override", F.coalesce("has_override", F.lit(False)))
 
 
 def prefix_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """Adds the value of the first rule, in file order, whose prefix is the id or stands before a hyphen in it, in any case."""
     r = rules.select(F.lower("prefix").alias("p"), "value", F.col("ord").alias("r_ord"))
     fits = (F.lower("collection") == F.col("p")) | F.lower("collection").startswith(F.concat("p", F.lit("-")))
-    best = rows.select("collection").distinct().join(F.broadcast(r), fits).groupBy("collection").agg(F.min_by("value", "r_ord").alias("value"))
+    best = rows.select("collection").distinct().join(r, fits).groupBy("collection").agg(F.min_by("value", "r_ord").alias("value"))
     return rows.join(best, "collection", "left")
 
 
@@ -79,7 +79,7 @@ def expand_mirrors(requests: DataFrame, mirrors: DataFrame) -> DataFrame:
     requests: url, host, rest, min_ts, max_ts; mirrors: host, mirror_host, min_ts, max_ts. The original has is_mirror false.
     """
     m = mirrors.select(F.col("host").alias("m_host"), "mirror_host", F.col("min_ts").alias("m_min"), F.col("max_ts").alias("m_max"))
-    more = requests.join(F.broadcast(m), F.col("host") == F.col("m_host")).select(F.concat(F.lit("http://"), "mirror_host", "rest").alias("url"), F.greatest("min_ts", "m_min").alias("min_ts"), F.least("max_ts", "m_max").alias("max_ts"), F.lit(True).alias("is_mirror"))
+    more = requests.join(m, F.col("host") == F.col("m_host")).select(F.concat(F.lit("http://"), "mirror_host", "rest").alias("url"), F.greatest("min_ts", "m_min").alias("min_ts"), F.least("max_ts", "m_max").alias("max_ts"), F.lit(True).alias("is_mirror"))
     return requests.select("url", "min_ts", "max_ts", F.lit(False).alias("is_mirror")).unionByName(more).distinct()
 
 
@@ -105,3 +105,81 @@ def positional(left: DataFrame, right: DataFrame, key: str = "request_url") -> D
 
     both = numbered(left, "a_").join(numbered(right, "b_"), [key, "rn"], "full")
     return both.withColumn("ok", F.col("a_ts14").eqNullSafe(F.col("b_ts14")) & F.col("a_digest").eqNullSafe(F.col("b_digest")))
+
+
+def complete_offsets(rows: DataFrame, third: DataFrame, item: str = "nlaweb") -> DataFrame:
+    """``rows`` (ts14, url, digest, length, offset, collections array) of that item's collection without an offset take the first of an index's rows
+    that are equal in stamp, URL, digest and length; nulls are equal to nulls."""
+    keys = ("ts14", "url", "digest", "length")
+    found = third.groupBy(*keys).agg(F.min_by("offset", "ord").alias("_offset"))
+    out = rows.alias("a").join(found.alias("b"), _same("a", "b", *keys), "left").select("a.*", "b._offset")
+    wanted = F.col("offset").isNull() & F.coalesce(F.array_contains("collections", item), F.lit(False))
+    return out.withColumn("offset", F.when(wanted, F.col("_offset")).otherwise(F.col("offset"))).drop("_offset")
+
+
+def match_record_index(captures: DataFrame, index: DataFrame) -> DataFrame:
+    """``captures`` with record_offset, record_path and record_error: the first row of an archive file's own index (path, ord, offset) that is equal in stamp, URL, digest,
+    length and status. No match is an error, not an end of the job."""
+    keys = ("ts14", "url", "digest", "length", "status")
+    found = index.groupBy(*keys).agg(F.min_by(F.struct("path", "offset"), "ord").alias("_r"))
+    out = captures.alias("a").join(found.alias("b"), _same("a", "b", *keys), "left").select("a.*", "b._r")
+    return out.withColumns({"record_path": F.col("_r.path"), "record_offset": F.col("_r.offset"), "record_error": F.when(F.col("_r").isNull(), F.lit("no matching index row"))}).drop("_r")
+
+
+def additional_urls(inputs: DataFrame) -> DataFrame:
+    """A request for each additional URL of the inputs, as of a mirror: (input_id, url, is_mirror, is_additional, exclude_invalid, min_ts, max_ts, slash_mode).
+
+    inputs: input_id, min_ts, max_ts, slash_mode, more (array<struct<url, min_ts, max_ts, slash_mode, exclude_invalid>>). Their own
+    bounds and mode win; hosts that are IPv4 addresses exclude invalid captures unless told otherwise.
+    """
+    from arkspark.functions.urls import is_ipv4
+
+    u = F.col("u")
+    rows = inputs.select("input_id", *(F.col(c).alias("_" + c) for c in ("min_ts", "max_ts", "slash_mode")), F.explode("more").alias("u"))
+    own = {c: F.coalesce(u[c], F.col("_" + c)).alias(c) for c in ("min_ts", "max_ts", "slash_mode")}
+    return rows.select("input_id", u["url"].alias("url"), F.lit(True).alias("is_mirror"), F.lit(True).alias("is_additional"), F.coalesce(u["exclude_invalid"], is_ipv4(u["url"])).alias("exclude_invalid"), *own.values())
+
+
+def parent_collections(items: DataFrame) -> DataFrame:
+    """(item, collections array<struct<id, title, description>>): the known collections of each item (item, parents, title, description) in the order given, without the
+    general one that all belong to. ``parents`` is an array, of one for a single collection."""
+    each = items.select("item", F.posexplode(F.coalesce("parents", F.array().cast("array<string>"))).alias("at", "parent")).where("parent <> 'web'")
+    known = items.select(F.col("item").alias("parent"), "title", "description")
+    found = each.join(known, "parent").groupBy("item").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", F.col("parent").alias("id"), "title", "description"))), lambda x: F.struct(x["id"].alias("id"), x["title"].alias("title"), x["description"].alias("description"))).alias("collections"))
+    empty = F.array().cast("array<struct<id:string,title:string,description:string>>")
+    return items.select("item").join(found, "item", "left").select("item", F.coalesce("collections", empty).alias("collections"))
+
+
+def with_collection_info(rows: DataFrame, collections: DataFrame, info: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``rows`` (collection) with a struct ``collection_info``: title and publication date in their usual forms, bounds, and numbers of pages.
+
+    collections: id, name, from, to; info: id, title, date ("January 2, 2006"), summary; sizes: id, pages, urls, digests. Unknown ones
+    stay null.
+    """
+    from arkspark.functions.scalars import crawl_title
+
+    known = collections.alias("c").join(info.alias("i"), F.col("c.id") == F.col("i.id"), "left").join(sizes.alias("s"), F.col("c.id") == F.col("s.id"), "left")
+    published = F.to_date(F.try_to_timestamp("i.date", F.lit("MMMM d, yyyy"))).cast("string")
+    told = F.struct(F.col("c.id").alias("id"), crawl_title(F.coalesce("i.title", "c.name")).alias("title"), published.alias("publish_date"), F.col("c.from").alias("from"), F.col("c.to").alias("to"), F.col("i.summary").alias("description"), F.col("s.pages").alias("pages"), F.col("s.urls").alias("urls"), F.col("s.digests").alias("digests"))
+    return rows.join(known.select(F.col("c.id").alias("_id"), told.alias("collection_info")), F.col("collection") == F.col("_id"), "left").drop("_id")
+
+
+def clamp_mirrors(requests: DataFrame, mirrors: DataFrame) -> DataFrame:
+    """Requests and their mirrors: (input_id, url, is_mirror, exclude_invalid, min_ts, max_ts).
+
+    A mirror (host, path_prefix or null, mirror_url, min_ts, max_ts, exclude_invalid) holds for requests (input_id, url, min_ts, max_ts) of that host, with or without
+    "www.", under its path; the rest of the URL stays. Bounds are clamped to both; without a word, hosts that are IPv4 addresses exclude invalid captures. Each
+    URL of an input comes once, the original before its mirrors.
+    """
+    from arkspark.functions.urls import is_ipv4, mirror_host
+
+    bare = mirror_host(F.col("url"))
+    r = requests.select("input_id", "url", "min_ts", "max_ts", F.regexp_extract(bare, "^([^/?#]*)", 1).alias("_host"), F.regexp_extract(bare, "^[^/?#]*(.*)$", 1).alias("_rest"))
+    m = mirrors.select(mirror_host(F.col("host")).alias("_m_host"), F.coalesce("path_prefix", F.lit("")).alias("_prefix"), "mirror_url", F.col("min_ts").alias("_min"), F.col("max_ts").alias("_max"), "exclude_invalid")
+    hit = r.join(m, (F.col("_host") == F.col("_m_host")) & F.col("_rest").startswith(F.col("_prefix")))
+    there = F.concat(F.regexp_replace("mirror_url", "/$", ""), F.expr("substring(_rest, length(_prefix) + 1)"))
+    more = hit.select("input_id", there.alias("url"), F.lit(True).alias("is_mirror"), F.coalesce("exclude_invalid", is_ipv4(there)).alias("exclude_invalid"), F.greatest("min_ts", "_min").alias("min_ts"), F.least("max_ts", "_max").alias("max_ts"))
+    own = requests.select("input_id", "url", F.lit(False).alias("is_mirror"), is_ipv4(F.col("url")).alias("exclude_invalid"), "min_ts", "max_ts")
+    every = own.unionByName(more)
+    first = F.min(F.struct(*(F.col(c) for c in ("is_mirror", "exclude_invalid", "min_ts", "max_ts"))))
+    return every.groupBy("input_id", "url").agg(first.alias("f")).select("input_id", "url", "f.is_mirror", "f.exclude_invalid", "f.min_ts", "f.max_ts")

@@ -53,3 +53,61 @@ def condition(tree: dict, params: Column) -> Column:
     if "or" in tree:
         return reduce(lambda a, b: a | b, (condition(t, params) for t in tree["or"]))
     return ~condition(tree["not"], params)
+
+
+def covered_exactly(queries: DataFrame, coverage: DataFrame) -> DataFrame:
+    """As ``covered``, by the stricter rule: a dump with a bound covers only queries that have that bound, and within it."""
+    c = coverage.select(F.col("prefix").alias("c_prefix"), F.col("min_ts").alias("c_min"), F.col("max_ts").alias("c_max"))
+    low = F.col("c_min").isNull() | F.coalesce(F.col("min_ts") >= F.col("c_min"), F.lit(False))
+    high = F.col("c_max").isNull() | F.coalesce(F.col("max_ts") <= F.col("c_max"), F.lit(False))
+    hits = c.withColumn("_hit", F.lit(True))
+    out = queries.join(hits, F.col("url").startswith(F.col("c_prefix")) & low & high, "left_semi").withColumn("is_covered", F.lit(True))
+    return out.unionByName(queries.join(hits, F.col("url").startswith(F.col("c_prefix")) & low & high, "left_anti").withColumn("is_covered", F.lit(False)))
+
+
+def split_valid(rows: DataFrame, expected: tuple[int, ...] = ()) -> DataFrame:
+    """``rows`` (status, exclude_invalid, ...) with is_valid: status among those expected, or 2xx if none are. Invalid rows of requests that exclude
+    them go."""
+    valid = F.coalesce(F.col("status").isin(*expected) if expected else F.col("status").cast("string").startswith("2"), F.lit(False))
+    return rows.withColumn("is_valid", valid).where(F.col("is_valid") | ~F.coalesce("exclude_invalid", F.lit(False)))
+
+
+def split_readable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, report): index rows without unresolvable revisits and without stamps that are no time; and per request_url the stamps of both
+    kinds, sorted, null for none. Stamps of unavailable rows stay as they are."""
+    revisit = F.coalesce(F.col("mime") == "warc/revisit", F.lit(False))
+    broken = ~revisit & F.try_to_timestamp("ts14", F.lit("yyyyMMddHHmmss")).isNull() & ~F.coalesce("unavailable", F.lit(False))
+    told = lambda kind: F.array_sort(F.collect_list(F.when(kind, F.coalesce("ts14", F.lit("")))))
+    report = rows.groupBy("request_url").agg(told(revisit).alias("r"), told(broken).alias("b"))
+    some = lambda c: F.when(F.size(c) > 0, F.col(c))
+    return rows.where(~revisit & ~broken), report.select("request_url", some("r").alias("unresolvable_revisits"), some("b").alias("invalid_timestamps")).where("unresolvable_revisits is not null or invalid_timestamps is not null")
+
+
+def slash_filter(rows: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
+    """(rows whose slash matches, per request_url how many didn't)."""
+    from arkspark.functions.urls import slash_match
+
+    fits = slash_match(F.col("url"), F.col("request_url"), mode, F.col("status"))
+    marked = rows.withColumn("_fits", fits)
+    return marked.where("_fits").drop("_fits"), marked.groupBy("request_url").agg(F.count_if(~F.col("_fits")).alias("rejected"))
+
+
+def crawl_queries(requests: DataFrame) -> DataFrame:
+    """The requests that are looked up in the crawl's index: main and additional URLs, not mirrors."""
+    return requests.where(~F.coalesce("is_mirror", F.lit(False)) | F.coalesce("is_additional", F.lit(False)))
+
+
+def crawl_enabled(inputs: DataFrame, requests: DataFrame, prefixes: DataFrame) -> DataFrame:
+    """(input_id, enabled): an input's flag is set, it names collections, or one of its URLs begins with a cached prefix."""
+    hit = requests.join(prefixes.select(F.col("prefix").alias("_p")), F.col("url").startswith(F.col("_p")), "left_semi").select("input_id").distinct().withColumn("_hit", F.lit(True))
+    flag = F.coalesce("flag", F.lit(False)) | (F.coalesce(F.size("collections"), F.lit(0)) > 0) | F.coalesce("_hit", F.lit(False))
+    return inputs.join(hit, "input_id", "left").select("input_id", flag.alias("enabled"))
+
+
+def split_states(rows: DataFrame) -> DataFrame:
+    """``rows`` (unavailable, skipped, sha256, content_size, headers, ...) with ``state``: skipped, unavailable or base. What isn't there is reset: an
+    unavailable capture has no hash, no content and no headers, a skipped one no content and no headers either."""
+    state = F.when(F.coalesce("skipped", F.lit(False)), "skipped").when(F.coalesce("unavailable", F.lit(False)), "unavailable").otherwise("base")
+    out = rows.withColumn("state", state)
+    keep = lambda c: F.when(F.col("state") == "base", F.col(c))
+    return out.withColumns({c: keep(c) for c in ("sha256", "content_size", "headers")})

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def active_ranges(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """(input_id, range_id, n): ranges with more captures of the input than their threshold. ranges is a small table."""
-    hit = rows.join(F.broadcast(ranges), (F.col("ts14") >= F.col("start_ts")) & (F.col("ts14") <= F.col("end_ts")))
+    """(input_id, range_id, n): ranges with more captures of the input than their threshold."""
+    hit = rows.join(ranges, (F.col("ts14") >= F.col("start_ts")) & (F.col("ts14") <= F.col("end_ts")))
     return hit.groupBy("input_id", "range_id", "threshold").agg(F.count("*").alias("n")).where("n > threshold").select("input_id", "range_id", "n")
 
 
@@ -39,20 +39,28 @@ def index_sample(rows: DataFrame, keys: tuple[str, ...], n: int) -> DataFrame:
     return ranked.where(hit).drop("_i", "_m")
 
 
-def limit_captures(rows: DataFrame, ranges: DataFrame, per_day: int) -> DataFrame:
+def limit_captures(rows: DataFrame, ranges: DataFrame, per_day: int, mirror_per_day: int | None = None) -> DataFrame:
     """Inside an active range (input_id, start_ts, end_ts) at most ``per_day`` captures of a request and day, all with
-    status 200, others go; outside all stay. Everywhere only the first row of a request and stamp stays."""
-    spans = ranges.select(F.col("input_id").alias("r_id"), "start_ts", "end_ts")
-    within = rows.join(F.broadcast(spans), (F.col("input_id") == F.col("r_id")) & (F.col("ts14") >= F.col("start_ts")) & (F.col("ts14") <= F.col("end_ts")), "left_semi").select("ord").distinct().withColumn("_in", F.lit(True))
-    marked = rows.join(within, "ord", "left")
-    inside = marked.where("_in and status = 200")
-    days = inside.groupBy("request_url", F.substring("ts14", 1, 8).alias("_d")).agg(F.count("*").alias("_n"))
-    inside = inside.withColumn("_d", F.substring("ts14", 1, 8)).join(days, ["request_url", "_d"])
-    few, many = inside.where(F.col("_n") <= per_day), inside.where(F.col("_n") > per_day)
-    sampled = clock_sample(many, ("request_url",), per_day)
-    kept = few.unionByName(sampled).drop("_d", "_n", "_in").unionByName(marked.where("_in is null").drop("_in"))
-    first = kept.groupBy("request_url", "ts14").agg(F.min("ord").alias("ord"))
-    return kept.join(first.select("ord"), "ord", "left_semi")
+    status 200, others go; outside all stay. Everywhere only the first row of a request and stamp stays. ``mirror_per_day`` holds for rows with
+    ``is_mirror``.
+
+    Days are summed up by partial aggregates that hold the nearest capture of each clock time; rows are joined with them once.
+    """
+    spans = ranges.groupBy(F.col("input_id").alias("_id")).agg(F.collect_list(F.struct("start_ts", "end_ts")).alias("_spans"))
+    inside = F.coalesce(F.exists("_spans", lambda s: (F.col("ts14") >= s["start_ts"]) & (F.col("ts14") <= s["end_ts"])), F.lit(False))
+    marked = rows.join(spans, F.col("input_id") == F.col("_id"), "left").withColumn("_in", inside).withColumn("_d", F.substring("ts14", 1, 8)).drop("_id", "_spans")
+    minute = F.substring("ts14", 9, 2).cast("int") * 60 + F.substring("ts14", 11, 2).cast("int")
+
+    def nearest(n: int) -> list:
+        step = 24 * 60 / n
+        return [F.min(F.struct(F.abs(minute - (step / 2 + i * step)).alias("d"), "ts14", "ord"))["ord"] for i in range(n)]
+
+    days = marked.where("_in and status = 200").groupBy("request_url", "_d").agg(F.count("*").alias("_n"), F.array(*nearest(per_day)).alias("_picks"), F.array(*nearest(mirror_per_day or per_day)).alias("_mirror_picks"))
+    mirror = F.col("is_mirror") if "is_mirror" in rows.columns and mirror_per_day else F.lit(False)
+    most, picks = F.when(mirror, F.lit(mirror_per_day)).otherwise(F.lit(per_day)), F.when(mirror, F.col("_mirror_picks")).otherwise(F.col("_picks"))
+    kept = marked.join(days, ["request_url", "_d"], "left").where(~F.col("_in") | ((F.col("status") == 200) & ((F.col("_n") <= most) | F.array_contains(picks, F.col("ord")))))
+    first = kept.groupBy("request_url", "ts14").agg(F.min_by(F.struct(*(F.col(c) for c in rows.columns if c not in ("request_url", "ts14"))), "ord").alias("f"))
+    return first.select(*(F.col(c) if c in ("request_url", "ts14") else F.col(f"f.{c}").alias(c) for c in rows.columns))
 
 
 def capture_index(rows: DataFrame, keys: tuple[str, ...] = ("input_id",)) -> DataFrame:
