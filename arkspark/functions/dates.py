@@ -51,5 +51,5 @@ def metadata_date(text: Column, utc: bool) -> Column:
 
 
 def precise_stamp(millis: Column) -> Column:
-    """ISO text, to the millisecond, of a fetch time in milliseconds."""
-    return F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    """ISO text with nine digits, the last six of them zeros, of a fetch time in milliseconds."""
+    return F.date_format(F.timestamp_millis(millis), "yyyy-MM-dd'T'HH:mm:ss.SSS'000000Z'")

@@ -183,3 +183,33 @@ def clamp_mirrors(requests: DataFrame, mirrors: DataFrame) -> DataFrame:
     every = own.unionByName(more)
     first = F.min(F.struct(*(F.col(c) for c in ("is_mirror", "exclude_invalid", "min_ts", "max_ts"))))
     return every.groupBy("input_id", "url").agg(first.alias("f")).select("input_id", "url", "f.is_mirror", "f.exclude_invalid", "f.min_ts", "f.max_ts")
+
+
+def merge_captures(copies: DataFrame, crawls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(captures, errors): the captures of two archives, those once that one has copied from the other.
+
+    ``copies`` (ord, ts14, url, status, digest, length, source, item_collections, metadata, memento14, ...) in the item collection "commoncrawl" belong to the first row of ``crawls`` that
+    is equal in stamp, URL, status, digest and length, or failing that in all but the digest; nulls are equal to nulls. That row gains additional_sources, metadata and
+    memento14 of its first copy. Copies without such a row are errors; all other rows stay as they are.
+    """
+    copied = F.coalesce(F.array_contains("item_collections", "commoncrawl"), F.lit(False))
+    matched = merge_archives(crawls, copies.where(copied)).withColumnRenamed("copy_ord", "crawl_ord")
+    first = matched.where("crawl_ord is not null").groupBy("crawl_ord").agg(F.min_by(F.struct("source", "metadata", "memento14"), "ord").alias("_w"))
+    own = crawls.join(first, crawls["ord"] == F.col("crawl_ord"), "left").drop("crawl_ord")
+    own = own.withColumns({"additional_sources": F.when(F.col("_w").isNotNull(), F.array("_w.source")), "metadata": F.col("_w.metadata"), "memento14": F.col("_w.memento14")}).drop("_w")
+    rest = copies.where(~copied).drop("item_collections").withColumn("additional_sources", F.lit(None).cast("array<string>"))
+    errors = matched.where("crawl_ord is null").select("ord", "ts14", "url", "source", F.lit("no matching crawl row").alias("error"))
+    return own.unionByName(rest, allowMissingColumns=True), errors
+
+
+def expand_prefixes(queries: DataFrame, mirrors: DataFrame) -> DataFrame:
+    """One row per prefix of ``queries`` (prefix, min_ts, max_ts) and of the same prefixes at ``mirrors`` (host, path_prefix, mirror_url, min_ts, max_ts), bounds clamped to the mirror's; of a
+    prefix that comes several times the widest, where an open one wins."""
+    from arkspark.functions.urls import mirror_host
+
+    bare = mirror_host(F.col("prefix"))
+    q = queries.select("prefix", "min_ts", "max_ts", F.regexp_extract(bare, "^([^/?#]*)", 1).alias("_host"), F.regexp_extract(bare, "^[^/?#]*(.*)$", 1).alias("_rest"))
+    m = mirrors.select(mirror_host(F.col("host")).alias("_m_host"), F.coalesce("path_prefix", F.lit("")).alias("_prefix"), "mirror_url", F.col("min_ts").alias("_min"), F.col("max_ts").alias("_max"))
+    hit = q.join(m, (F.col("_host") == F.col("_m_host")) & F.col("_rest").startswith(F.col("_prefix")))
+    more = hit.select(F.concat("mirror_url", F.expr("substring(_rest, length(_prefix) + 1)")).alias("prefix"), F.greatest("min_ts", "_min").alias("min_ts"), F.least("max_ts", "_max").alias("max_ts"))
+    return widen_prefixes(queries.select("prefix", "min_ts", "max_ts").unionByName(more))

@@ -111,3 +111,12 @@ def split_states(rows: DataFrame) -> DataFrame:
     out = rows.withColumn("state", state)
     keep = lambda c: F.when(F.col("state") == "base", F.col(c))
     return out.withColumns({c: keep(c) for c in ("sha256", "content_size", "headers")})
+
+
+def filter_report(*counts: DataFrame) -> DataFrame:
+    """One row per request_url with the columns of all ``counts``, 0 as null; requests of which nothing was filtered go."""
+    out = reduce(lambda a, b: a.join(b, "request_url", "full"), counts)
+    names = [c for c in out.columns if c != "request_url"]
+    numbers = {f.name for f in out.schema if f.dataType.typeName() in ("long", "integer")}
+    shown = out.select("request_url", *(F.nullif(F.col(c), F.lit(0)).alias(c) if c in numbers else F.col(c) for c in names))
+    return shown.where(reduce(lambda a, b: a | b, (F.col(c).isNotNull() for c in names)))

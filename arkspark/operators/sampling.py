@@ -81,3 +81,14 @@ def content_index(rows: DataFrame, keys: tuple[str, ...] = ("input_id",)) -> Dat
     shown = F.when(F.col("_lm") != "", F.col("_lm")).otherwise(F.col("f.ts14"))
     versions = versions.withColumn("content_index", F.row_number().over(Window.partitionBy(*keys, shown).orderBy("f")) - 1).drop("f")
     return rows.withColumn("_lm", F.coalesce("last_modified14", F.lit(""))).join(versions, [*keys, "digest", "_lm"], "left").drop("_lm")
+
+
+def order_keys() -> list:
+    """The order of captures: stamp, then sort key and URL in lower case."""
+    from arkspark.functions.urls import simple_urlkey
+
+    return [F.col("ts14"), simple_urlkey(F.col("url")), F.lower("url")]
+
+
+def capture_order(rows: DataFrame) -> DataFrame:
+    return rows.orderBy(*order_keys(), "ord")

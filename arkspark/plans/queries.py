@@ -26,6 +26,8 @@ def key_sql(url: str) -> str:
 
 def query(sql: str | None = None):
     def add(f):
+        if f.__name__ in QUERIES:
+            raise ValueError(f"two queries are called {f.__name__}")
         QUERIES[f.__name__] = f
         if sql:
             SQL[f.__name__] = sql.replace("CAPS", CAPTURES_SQL)

@@ -23,7 +23,7 @@ def plain(value):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
-    for table in ("events", "pages"):
+    for table in ("events", "pages", "region", "nation"):
         con.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     ours = QUERIES[name](spark, SF)
     theirs = con.sql(SQL[name])
