@@ -294,30 +294,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return both.where(den * F.col("i") >= num * (F.col("n") - F.col("i"))).select("a", "b")
 
 
-def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, scratch: Scratch | None = None) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id) for every row of ``docs`` (doc_id, text; other columns are ignored).
-
-    Documents link when den * |A & B| >= num * |A | B|; component_id is the smallest doc_id reachable by links.
-    class_id is the smallest doc_id with the same set. Words are runs of other characters than ASCII white space,
-    with A-Z lower-cased. A text of 1 to k-1 words is one shingle; null and empty texts have none, link with nothing
-    and are their own component. A null doc_id keeps its row, with null component_id and class_id, and isn't linked.
-    Repeated rows give repeated rows; rows of one doc_id with different texts each keep their row and size and are one
-    node with the links of all; tied and equal sets fall into one class. An empty table gives no rows. N-grams
-    stand as 64-bit hashes of their words: two sets are mistaken only if such hashes collide within one pair.
-    """
-    spark, scratch = docs.sparkSession, scratch or Scratch(docs.sparkSession)
-    docs = only(docs, doc_id="long", text="string")
-    packed = docs.mapInArrow(_profiles(k, slice_end(num, den)), _PACKED).repartition("bucket").sortWithinPartitions("bucket")
-    profiles = scratch.write(packed.mapInArrow(_count_private, _PROFILE), "profiles")
-    own = profiles.where("block is null")
-    classes = scratch.write(own.where("doc_id is not null and n > 0").groupBy("digest").agg(F.min("doc_id").alias("key"), F.min("n").alias("n"), F.min("name").alias("name")), "classes")
-
-    counted = profiles.where("block is not null").select("bucket", "block").repartition("bucket").sortWithinPartitions("bucket")
-    private = counted.mapInArrow(_sum_private, "name long, private long")
-    named = classes.groupBy("name").agg(F.count("*").alias("twins"))
-    open_ones = classes.join(named, "name").join(private, "name", "left")
-    open_ones = open_ones.where((F.col("twins") > 1) | (F.coalesce("private", F.lit(0)) < F.expr(f"n - (({num} * n + {den - 1}) div {den}) + 1")))
-    open_ones = scratch.write(open_ones.select(F.col("key").alias("doc_id"), "digest"), "open")
+def _linked_components(docs: DataFrame, open_ones: DataFrame, known: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """(node, component) of the classes ``open_ones`` (doc_id, digest) by their links, and by those ``known`` (a, b)."""
+    spark = docs.sparkSession
     # Shuffled at every size, as it must be for large tables; hashing the ids saves sorting the texts.
     wanted = docs.where("doc_id is not null").join(open_ones.hint("shuffle_hash"), "doc_id").dropDuplicates(["doc_id", "digest", "text"])
     sets = scratch.write(wanted.mapInArrow(_whole_sets(k), "key long, n long, items array<long>, bits array<long>, wide array<long>"), "sets")
@@ -363,11 +342,7 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
     first = pairs.select("far", F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"))
     first = first.groupBy("p.x").agg(F.min(F.struct("far", "p.y")).alias("p")).select(F.least("x", "p.y").alias("a"), F.greatest("x", "p.y").alias("b")).distinct()
     first = scratch.write(first, "first")
-    # Sets of one id are one node.
-    held = own.where("doc_id is not null and n > 0").join(classes.select("digest", "key"), "digest").select("doc_id", "key")
-    several = held.groupBy("doc_id").agg(F.min("key").alias("b"), F.max("key").alias("most")).where("b <> most").select("doc_id", "b")
-    of_one_id = held.join(several, "doc_id").where("key <> b").select(F.col("key").alias("a"), "b").distinct()
-    links = scratch.write(_verified(first, sets, num, den).unionByName(of_one_id), "links")
+    links = scratch.write(_verified(first, sets, num, den).unionByName(known), "links")
     comps = scratch.write(connected_components(links, scratch), "components")
     ca, cb = (comps.select(F.col("node").alias(e), F.col("component").alias("c" + e)) for e in "ab")
     second = pairs.select("a", "b").join(ca, "a", "left").join(cb, "b", "left")
@@ -389,6 +364,41 @@ def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10,
         if not found.isEmpty():
             links = links.unionByName(found)
             comps = scratch.write(connected_components(links, scratch), "components")
+    return comps
+
+
+def ngram_jaccard_join(docs: DataFrame, k: int = 5, num: int = 8, den: int = 10, scratch: Scratch | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id, class_id) for every row of ``docs`` (doc_id, text; other columns are ignored).
+
+    Documents link when den * |A & B| >= num * |A | B|; component_id is the smallest doc_id reachable by links.
+    class_id is the smallest doc_id with the same set. Words are runs of other characters than ASCII white space,
+    with A-Z lower-cased. A text of 1 to k-1 words is one shingle; null and empty texts have none, link with nothing
+    and are their own component. A null doc_id keeps its row, with null component_id and class_id, and isn't linked.
+    Repeated rows give repeated rows; rows of one doc_id with different texts each keep their row and size and are one
+    node with the links of all; tied and equal sets fall into one class. An empty table gives no rows. N-grams
+    stand as 64-bit hashes of their words: two sets are mistaken only if such hashes collide within one pair.
+    """
+    scratch = scratch or Scratch(docs.sparkSession)
+    docs = only(docs, doc_id="long", text="string")
+    packed = docs.mapInArrow(_profiles(k, slice_end(num, den)), _PACKED).repartition("bucket").sortWithinPartitions("bucket")
+    profiles = scratch.write(packed.mapInArrow(_count_private, _PROFILE), "profiles")
+    own = profiles.where("block is null")
+    classes = scratch.write(own.where("doc_id is not null and n > 0").groupBy("digest").agg(F.min("doc_id").alias("key"), F.min("n").alias("n"), F.min("name").alias("name")), "classes")
+
+    counted = profiles.where("block is not null").select("bucket", "block").repartition("bucket").sortWithinPartitions("bucket")
+    private = counted.mapInArrow(_sum_private, "name long, private long")
+    named = classes.groupBy("name").agg(F.count("*").alias("twins"))
+    open_ones = classes.join(named, "name").join(private, "name", "left")
+    open_ones = open_ones.where((F.col("twins") > 1) | (F.coalesce("private", F.lit(0)) < F.expr(f"n - (({num} * n + {den - 1}) div {den}) + 1")))
+    open_ones = scratch.write(open_ones.select(F.col("key").alias("doc_id"), "digest"), "open")
+    # Sets of one id are one node.
+    held = own.where("doc_id is not null and n > 0").join(classes.select("digest", "key"), "digest").select("doc_id", "key")
+    several = held.groupBy("doc_id").agg(F.min("key").alias("b"), F.max("key").alias("most")).where("b <> most").select("doc_id", "b")
+    of_one_id = held.join(several, "doc_id").where("key <> b").select(F.col("key").alias("a"), "b").distinct()
+    if open_ones.isEmpty():
+        comps = scratch.write(connected_components(of_one_id, scratch), "components")
+    else:
+        comps = _linked_components(docs, open_ones, of_one_id, k, num, den, scratch)
 
     merged = classes.join(comps.withColumnRenamed("node", "key"), "key", "left").select("digest", F.col("key").alias("class_id"), F.coalesce("component", "key").alias("component_id"))
     out = own.where("doc_id is not null and n > 0").join(merged, "digest").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id")

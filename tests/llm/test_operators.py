@@ -313,8 +313,8 @@ def test_paraphrases_are_found_and_clean_texts_left_alone(spark):
 def test_blocks_of_items_share_their_scans(spark, monkeypatch):
     d = "/root/testdata/sf0.001"
     whole = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark")).collect()}
-    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 7)
-    monkeypatch.setattr(decontaminate, "BLOCKS", 3)
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 30)
+    monkeypatch.setattr(decontaminate, "BLOCKS", 1)
     assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark")).collect()} == whole
 
 
