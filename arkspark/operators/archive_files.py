@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import lru_cache
+
+from pyspark import SparkContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arkspark.functions.archive_names import FAMILIES, archive_name
 
 
+@lru_cache(maxsize=8)
+def _reading(families: tuple[str, ...], context: int) -> Column:
+    """The expression over _name and _stamp: of some thousand parts, so that it is built once for a Spark context."""
+    return archive_name(F.col("_name"), F.col("_stamp"), families)
+
+
 def with_archive_names(df: DataFrame, name: str = "filename", stamp: str | None = None, families: tuple[str, ...] = tuple(FAMILIES)) -> DataFrame:
     """``df`` with archive_file, the best reading of each name, null where none fits; and archive_file_error.
 
@@ -15,7 +24,7 @@ def with_archive_names(df: DataFrame, name: str = "filename", stamp: str | None
     """
     keys = [F.col(name).alias("_name"), (F.col(stamp) if stamp else F.lit(None)).cast("string").alias("_stamp")]
     known = df.select(*keys).where("_name is not null").distinct()
-    read = known.withColumn("archive_file", archive_name(F.col("_name"), F.col("_stamp"), families))
+    read = known.withColumn("archive_file", _reading(families, id(SparkContext._active_spark_context)))
     same = F.col(name).eqNullSafe(F.col("_name"))
     if stamp:
         same = same & F.col(stamp).cast("string").eqNullSafe(F.col("_stamp"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arkspark.functions.archive_names import FAMILIES
 from arkspark.functions.scalars import bind, header_value
 from arkspark.operators.records import arc_description, warcinfo_fields
 
@@ -176,14 +177,14 @@ def with_referer(pages: DataFrame) -> DataFrame:
     return out.withColumns({"referer": F.when(~several, F.nullif(F.get("_r", F.lit(0)), F.lit(""))), "referer_error": F.when(several, F.concat(F.lit("several referrers: "), F.array_join("_r", ", ")))}).drop("_r")
 
 
-def enrich(rows: DataFrame, crawlers: DataFrame, headers: DataFrame, overrides: DataFrame, principals: DataFrame, statistics: DataFrame) -> DataFrame:
+def enrich(rows: DataFrame, crawlers: DataFrame, headers: DataFrame, overrides: DataFrame, principals: DataFrame, statistics: DataFrame, families: tuple[str, ...] = tuple(FAMILIES)) -> DataFrame:
     """``rows`` (ord, ts14, url, filename, etag, capture_seconds, modified_seconds, server, record_kind, record_content, mime, content) with all that is known of their crawl, in this order:
-    exact times, crawl and archive file, request headers, file statistics."""
+    exact times, crawl and archive file (by the layouts of ``families``), request headers, file statistics."""
     from arkspark.operators.archive_files import with_archive_names, with_file_statistics
     from arkspark.operators.etags import exact_modification
 
     out = exact_modification(rows)
-    out = with_archive_names(out, "filename", "ts14").withColumn("crawl_info", crawl_info(F.col("record_kind"), F.col("record_content")))
+    out = with_archive_names(out, "filename", "ts14", families).withColumn("crawl_info", crawl_info(F.col("record_kind"), F.col("record_content")))
     d = F.col("archive_file.details")
     out = out.withColumns({"provider": d["crawl_provider"], "crawler_name": d["crawler_name"], "crawler_hostname": d["crawler_hostname"], "crawl_identifier": d["crawl_identifier"], "record_format": F.col("archive_file.record_format")})
     out = crawler_info(out, crawlers, overrides).withColumn("archive_file_info", archive_file_info(F.col("archive_file"), F.col("crawler_info")))

@@ -244,6 +244,26 @@ def tracking_referers(spark, d):
     return enrichment.with_referer(rows).select("page_id", "referer", "referer_error")
 
 
+@query("""WITH CAPS SELECT ord, 'crawler 1' AS crawler, 'c7' AS crawler_name, CASE WHEN ts14 <= '20240115235959' THEN '192.0.2.7' END AS crawler_ip_address, concat('User-Agent=own?|Host=h', ord, '.org|Referer=http://r/', ord) AS request_headers, ord AS archive_size, concat(strftime(strptime(ts14, '%Y%m%d%H%M%S'), '%Y-%m-%dT%H:%M:%S'), '.000000000Z') AS modified FROM caps""")
+def captures_enriched(spark, d):
+    """The whole chain: exact time, crawl and file by name, crawler, request headers with a referrer from the page, the file's statistics."""
+    o = F.col("ord").cast("string")
+    seconds = F.unix_timestamp(F.to_timestamp("ts14", "yyyyMMddHHmmss")).cast("long")
+    page = F.concat(F.lit(_IMAGE.split("{uri}")[0]), F.lit("%2Fx&r=http%3A%2F%2Fr%2F"), o, F.lit('&p=x"'))
+    rows = captures(spark, d).select(
+        "ord", "ts14", F.concat(F.lit("http://h"), o, F.lit(".org/x")).alias("url"), F.concat(F.lit("item/CRAWL-"), o, F.lit("-20240101000000-00001-c7.accelovation.com.arc.gz")).alias("filename"), scalars.iis_etag(seconds, F.lit(0), F.lit(5)).alias("etag"),
+        (seconds + 5).alias("capture_seconds"), seconds.alias("modified_seconds"), F.lit("Microsoft-IIS/5.0").alias("server"), F.lit("arc-header").alias("record_kind"), F.lit("<arcmetadata><arc:software>crawler 1</arc:software></arcmetadata>").cast("binary").alias("record_content"), F.lit("text/html").alias("mime"), page.cast("binary").alias("content"),
+    )
+    periods = _periods(spark).where("key = 'p' and ord = 0").withColumn("key", F.lit("accelovation"))
+    headers = spark.createDataFrame([("accelovation", "20240101000000", "20240131235959", "HTTP/1.1", [["User-Agent", "own", "?"], ["Host"], ["Referer"]], 0)], "key string, `from` string, `to` string, protocol string, headers array<array<string>>, ord long")
+    statistics = captures(spark, d).select(F.lit("item").alias("item"), F.concat(F.lit("CRAWL-"), o, F.lit("-20240101000000-00001-c7.accelovation.com.arc.gz")).alias("file"), F.col("ord").alias("size"), F.lit("m").alias("md5"), F.lit(None).cast("timestamp").alias("modified"))
+    out = enrichment.enrich(rows, periods, headers, _overrides(spark), headers.where("false"), statistics, ("generic", "playback"))
+    own = F.concat(F.date_format(F.timestamp_seconds("modified_seconds"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000000000Z"))
+    shown = F.array_join(F.transform("request_headers", lambda h: F.concat(h["name"], F.lit("="), h["value"], F.when(h["unconfirmed"], "?").otherwise(""))), "|")
+    held = (F.col("modified_precise") == own) | F.array_contains("modified_candidates", own)
+    return out.select("ord", F.col("crawl_info.crawler").alias("crawler"), F.col("archive_file_info.crawler_name").alias("crawler_name"), F.col("archive_file_info.crawler_ip_address").alias("crawler_ip_address"), shown.alias("request_headers"), "archive_size", F.when(held, own).alias("modified"))
+
+
 # Look-ups
 
 _ODD = "CASE WHEN ord % 9 = 0 THEN '20241301000000' ELSE ts14 END"

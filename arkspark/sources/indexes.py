@@ -25,16 +25,22 @@ def _number(name: str, value: Column) -> Column:
     return content_length(value).alias(name) if name in _NUMBERS else value.alias(name)
 
 
-def parse_cdx(lines: DataFrame) -> DataFrame:
+def headerless_files(lines: DataFrame) -> DataFrame:
+    """(path, error) of the files in which no line names the fields."""
+    head = F.col("value").startswith(" CDX ")
+    return lines.groupBy("path").agg(F.bool_or(head).alias("_head")).where(~F.coalesce("_head", F.lit(False))).select("path", F.lit("no index header").alias("error"))
+
+
+def parse_cdx(lines: DataFrame, strict: bool = True) -> DataFrame:
     """Rows of space-separated index lines (path, value); each file's header line names its fields by letter.
 
     ``-`` and missing fields are null. Lines without urlkey, stamp, URL or MIME type go; a file without a header line
-    ends the job with an error. Headers are one short row per file and join by path.
+    ends the job with an error if ``strict``, else its lines go and ``headerless_files`` tells of it. Headers are one short row per file and join by path.
     """
     rows = lines.select("path", F.regexp_replace("value", r"\s+$", "").alias("line")).where("line <> ''")
     head = F.col("line").startswith(" CDX ")
     heads = rows.where(head).groupBy("path").agg(F.min("line").alias("head")).select("path", F.split(F.expr("substring(head, 6)"), " ").alias("codes"))
-    body = rows.where(~head).join(heads, "path", "left")
+    body = rows.where(~head).join(heads, "path", "left" if strict else "inner")
     codes = F.when(F.col("codes").isNull(), F.raise_error(F.concat(F.lit("no index header in "), "path")).cast("array<string>")).otherwise(F.col("codes"))
     body = body.select("path", F.split("line", " ").alias("parts"), codes.alias("codes"))
     value = lambda code: F.nullif(F.get("parts", F.array_position("codes", code).cast("int") - 1), F.lit("-"))

@@ -21,6 +21,12 @@ def test_text_index_without_header(spark):
         indexes.parse_cdx(spark.createDataFrame([("p", "k 2000 u m")], "path string, value string")).collect()
 
 
+def test_files_without_header_can_be_reported(spark):
+    lines = spark.createDataFrame([("p", "k 2000 u m"), ("q", " CDX N b a m"), ("q", "k 2000 u m")], "path string, value string")
+    assert [r.path for r in indexes.parse_cdx(lines, strict=False).collect()] == ["q"]
+    assert [(r.path, r.error) for r in indexes.headerless_files(lines).collect()] == [("p", "no index header")]
+
+
 def test_json_index_of_no_rows(spark):
     files = spark.createDataFrame([("p", "[]"), ("q", None)], "path string, value string")
     assert indexes.parse_cdx_json(files, indexes.WAYBACK_FIELDS).count() == 0
