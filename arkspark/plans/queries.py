@@ -430,7 +430,8 @@ def content_digests(spark, d):
     return _pages(spark, d).select("page_id", F.sha2("html", 256).alias("sha"), F.upper(F.sha1("html")).alias("sha1"))
 
 
-@query()
+@query("""WITH h AS (SELECT page_id, sha1(html) AS hex FROM pages)
+SELECT page_id, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST('0x' || substr(hex, 10 * (i // 8) + 1, 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31) AS BIGINT), 1)), '') AS digest FROM h""")
 def content_digest_base32(spark, d):
     return _pages(spark, d).select("page_id", scalars.base32_sha1(F.col("html").cast("binary")).alias("digest"))
 
