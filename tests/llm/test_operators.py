@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from arkspark.llm import decontaminate, gram_blocks, html_extract, toxicity, warc_zstd
+from arkspark.llm import decontaminate, gram_blocks, html_extract, token_counts, toxicity, warc_zstd
 from arkspark.llm.chat_format import chat_digest, format_chats
 from arkspark.llm.common import table
 from arkspark.llm.ngram_join import ngram_jaccard_join
@@ -236,6 +236,27 @@ def test_length_histogram(spark):
     assert report.agg(F.max("total_tokens")).first()[0] == 6
 
 
+def test_length_report_is_exact(spark):
+    """Every number of the report, and limits between lengths, from the lengths themselves."""
+    given = table(spark, SF, "documents")
+    with open(token_counts.RANKS_PATH, "rb") as f:
+        encode = token_counts.encoding_of(f.read(), token_counts.PATTERN).encode_ordinary
+    lengths = np.array([len(encode(r.text or "")) for r in given.select("text").collect()])
+    report = limit_report(length_histogram(given)).cache()
+    rows = {r.context_limit: r for r in report.collect()}
+    assert sorted(rows) == sorted(set(lengths.tolist()))
+    for limit, r in rows.items():
+        above = lengths[lengths > limit]
+        assert (r.docs, r.tokens, r.docs_above, r.tokens_above) == ((lengths == limit).sum(), lengths[lengths == limit].sum(), len(above), above.sum())
+        assert (r.truncated_total, r.total_tokens) == (np.minimum(lengths, limit).sum(), lengths.sum())
+        assert r.fitting_share == pytest.approx((lengths <= limit).mean())
+    for limit in (0, 1, 77, int(np.median(lengths)) + 1, 10**6):
+        got = truncated_at(report, limit).first()
+        assert (got.docs_above, got.truncated_total) == ((lengths > limit).sum(), np.minimum(lengths, limit).sum())
+    for share in (0.1, 0.5, 0.99):
+        assert token_counts.length_quantile(report, share).first()[0] == np.sort(lengths)[int(np.ceil(share * len(lengths))) - 1]
+
+
 def test_main_text(spark):
     page = "<html><head><title>t</title></head><body><nav><ul><li><a href=x>Home</a></li></ul></nav><div class='cookie-notice'><p>We use cookies on this site, as all do.</p></div><article><h1>A  title</h1><p>One &amp; two<br>three words here.<p>A second paragraph with several more words.</article><section class='comments'><p>I liked this article very much, thanks.</p></section><footer>&copy; x</footer></body></html>"
     model = html_extract.fit_field(html_extract.labelled_pages(150))
