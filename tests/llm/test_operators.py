@@ -34,11 +34,13 @@ def components(texts, k, num, den):
         ws = (t or "").encode().lower().split()
         sets[i] = {tuple(ws[j : j + k]) for j in range(len(ws) - k + 1)} or ({tuple(ws)} if ws else set())
     comp = {i: i for i in sets}
+    linked = [(a, b) for a in sets for b in sets if a < b and sets[a] and sets[b] and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b])]
     for _ in sets:
-        for a in sets:
-            for b in sets:
-                if sets[a] and sets[b] and den * len(sets[a] & sets[b]) >= num * len(sets[a] | sets[b]):
-                    comp[a] = comp[b] = min(comp[a], comp[b])
+        before = dict(comp)
+        for a, b in linked:
+            comp[a] = comp[b] = min(comp[a], comp[b])
+        if comp == before:
+            break
     return comp
 
 
