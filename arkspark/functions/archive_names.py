@@ -43,9 +43,9 @@ def _group(text: Column, pattern: str, number: int) -> Column:
 
 
 def _groups(text: Column, pattern: str, count: int, use: Callable[..., Column]) -> Column:
-    """``use`` of the pattern's first ``count`` groups."""
+    """``use`` of the pattern's first ``count`` groups; null where it isn't found, which is told by one search."""
     taken = F.struct(*(_group(text, pattern, i).alias(f"g{i}") for i in range(1, count + 1)))
-    return bind(taken, lambda g: use(*(g[f"g{i}"] for i in range(1, count + 1))))
+    return F.when(text.rlike(pattern), bind(taken, lambda g: use(*(g[f"g{i}"] for i in range(1, count + 1)))))
 
 
 def without_extensions(file: Column) -> Column:

@@ -23,7 +23,9 @@ def with_archive_names(df: DataFrame, name: str = "filename", stamp: str | None
     Each distinct name (with its stamp, if given) is read once. Null names stay, unread.
     """
     keys = [F.col(name).alias("_name"), (F.col(stamp) if stamp else F.lit(None)).cast("string").alias("_stamp")]
-    known = df.select(*keys).where("_name is not null").distinct()
+    # Few bytes, but long to read: spread out, as Spark would put small partitions together.
+    spread = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
+    known = df.select(*keys).where("_name is not null").distinct().repartition(spread)
     read = known.withColumn("archive_file", _reading(families, id(SparkContext._active_spark_context)))
     same = F.col(name).eqNullSafe(F.col("_name"))
     if stamp:
