@@ -49,3 +49,19 @@ WARC = """WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), h A
 f AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_id FROM h)
 SELECT page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + ((CAST('0x' || substr(hex, 10 * (i // 8) + 1, 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31) AS BIGINT), 1)), '') AS payload_digest,
 CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM f"""
+
+#: Every order's steps over the documents of each part by what they fail.
+FILTER_AUDIT = f"""WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '{_WORD}'), []) AS ws FROM documents),
+m AS (SELECT doc_id, part, [len(ws) < 200, 100 * len(list_distinct(ws)) < 50 * len(ws), 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * length(text),
+ regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails FROM w),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM m LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+f AS (SELECT unnest([1, 2, 3, 4, 5]) AS i),
+o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS ord FROM f a, f b, f c, f d, f e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+s AS (SELECT ord, step, ord[step] AS f, ord[1:step - 1] AS before FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+r AS (SELECT part, array_to_string(list_transform(ord, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, step, f, n, good, toxic, fails[f] AS hit, NOT list_bool_or([false] || list_transform(before, lambda i: fails[i])) AS there,
+ len(list_filter(fails, lambda x: x)) = 1 AS alone FROM c, s),
+g AS (SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (there AND NOT hit), 0) AS kept, coalesce(sum(n) FILTER (there AND hit), 0) AS removed, coalesce(sum(n) FILTER (hit AND NOT there), 0) AS redundant,
+ coalesce(sum(n) FILTER (hit AND alone), 0) AS unique_fails, coalesce(sum(good) FILTER (there AND hit), 0) AS good_lost, coalesce(sum(toxic) FILTER (there AND hit), 0) AS toxic_lost FROM r GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM g"""

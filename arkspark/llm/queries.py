@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from arkspark.llm.chat_format import chat_digest, format_chats
 from arkspark.llm.common import table
 from arkspark.llm.decontaminate import contaminated
+from arkspark.llm.filter_audit import filter_audit
 from arkspark.llm.html_extract import extract_main_text
 from arkspark.llm.ngram_join import ngram_jaccard_join
-from arkspark.llm.oracles import CHAT_FORMATTING, NGRAM_JOIN, QUALITY_RULES, WARC
+from arkspark.llm.oracles import CHAT_FORMATTING, FILTER_AUDIT, NGRAM_JOIN, QUALITY_RULES, WARC
 from arkspark.llm.pairwise_quality import fit_quality, quality_report
 from arkspark.llm.quality_rules import quality_rules
 from arkspark.llm.source_mix import mix_sources
@@ -64,9 +65,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op3_chat_formatting, op4_quality_rules, op5_mixing_sources, op6_token_counts, op7_html_extraction, op8_quality_classifier, op9_benchmark_decontamination, op10_warc)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op3_chat_formatting, op4_quality_rules, op5_mixing_sources, op6_token_counts, op7_html_extraction, op8_quality_classifier, op9_benchmark_decontamination, op10_warc, op13_filter_audit)}
 
 
 #: The other queries rest on models, tokenizers or drawn keys.
-ORACLE_SQL: dict[str, str] = {"op1_ngram_jaccard_join": NGRAM_JOIN, "op3_chat_formatting": CHAT_FORMATTING, "op4_quality_rules": QUALITY_RULES, "op10_warc": WARC}
+ORACLE_SQL: dict[str, str] = {"op1_ngram_jaccard_join": NGRAM_JOIN, "op3_chat_formatting": CHAT_FORMATTING, "op4_quality_rules": QUALITY_RULES, "op10_warc": WARC, "op13_filter_audit": FILTER_AUDIT}

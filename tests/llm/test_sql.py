@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(llm.ORACLE_SQL))
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
-    for table in ("conversations", "documents", "pages"):
+    for table in ("conversations", "documents", "labels", "pages"):
         con.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     theirs, ours = con.sql(llm.ORACLE_SQL[name]), llm.queries()[name](spark, SF)
     assert sorted(ours.columns) == sorted(theirs.columns)
