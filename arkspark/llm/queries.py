@@ -14,6 +14,7 @@ from arkspark.llm.html_extract import extract_main_text
 from arkspark.llm.ngram_join import ngram_jaccard_join
 from arkspark.llm.oracles import CHAT_FORMATTING, FILTER_AUDIT, NGRAM_JOIN, QUALITY_RULES, WARC
 from arkspark.llm.pairwise_quality import fit_quality, quality_report
+from arkspark.llm.periodic_runs import periodic_runs, runs_digest, with_planted_runs
 from arkspark.llm.quality_rules import quality_rules
 from arkspark.llm.source_mix import mix_sources
 from arkspark.llm.token_counts import length_histogram, limit_report
@@ -65,12 +66,16 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs_digest(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op3_chat_formatting, op4_quality_rules, op5_mixing_sources, op6_token_counts, op7_html_extraction, op8_quality_classifier, op9_benchmark_decontamination, op10_warc, op13_filter_audit)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op3_chat_formatting, op4_quality_rules, op5_mixing_sources, op6_token_counts, op7_html_extraction, op8_quality_classifier, op9_benchmark_decontamination, op10_warc, op11_periodic_runs, op13_filter_audit)}
 
 
 #: The other queries rest on models, tokenizers or drawn keys.
