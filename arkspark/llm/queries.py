@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from arkspark.llm.chat_format import chat_digest, format_chats
 from arkspark.llm.common import table
 from arkspark.llm.decontaminate import contaminated
+from arkspark.llm.embedding_dedup import embedding_near_duplicates
 from arkspark.llm.filter_audit import filter_audit
 from arkspark.llm.html_extract import extract_main_text
 from arkspark.llm.ngram_join import ngram_jaccard_join
@@ -70,12 +71,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_digest(periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))))
 
 
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op3_chat_formatting, op4_quality_rules, op5_mixing_sources, op6_token_counts, op7_html_extraction, op8_quality_classifier, op9_benchmark_decontamination, op10_warc, op11_periodic_runs, op13_filter_audit)}
+    return {f.__name__: f for f in (op1_ngram_jaccard_join, op2_toxicity, op3_chat_formatting, op4_quality_rules, op5_mixing_sources, op6_token_counts, op7_html_extraction, op8_quality_classifier, op9_benchmark_decontamination, op10_warc, op11_periodic_runs, op12_embedding_near_dedup, op13_filter_audit)}
 
 
 #: The other queries rest on models, tokenizers or drawn keys.
