@@ -74,35 +74,63 @@ COUNT = np.dtype([("low", "<u4"), ("high", "<u2"), ("count", "<u4")])
 NAME_BUCKETS = 256
 
 
-def _chunks(blocks: Iterator[tuple[int, bytes]], itemsize: int) -> Iterator[tuple[list[int], list[bytes]]]:
-    """Whole buckets, of ``RECORDS`` records or more, from blocks sorted by bucket."""
-    buckets, data, size = [], [], 0
+class Chunks:
+    """Whole buckets, of ``RECORDS`` records or more, from blocks that come sorted by bucket."""
+
+    def __init__(self, itemsize: int):
+        self.least = RECORDS * itemsize
+        self._fresh()
+
+    def _fresh(self) -> None:
+        self.buckets, self.data, self.size = [], [], 0
+
+    def add(self, bucket: int, block: bytes) -> tuple[list[int], list[bytes]] | None:
+        """Takes a block; gives the buckets before it if they are enough."""
+        full = None
+        if self.size >= self.least and bucket != self.buckets[-1]:
+            full = self.rest()
+        self.buckets.append(bucket)
+        self.data.append(block)
+        self.size += len(block)
+        return full
+
+    def rest(self) -> tuple[list[int], list[bytes]]:
+        held = self.buckets, self.data
+        self._fresh()
+        return held
+
+
+def count_private(buckets: list[int], data: list[bytes]) -> tuple[list[int], list[bytes]]:
+    """(buckets, blocks) of the sets' names with their private n-grams, from blocks of whole buckets of n-grams."""
+    names, counts = np.unique(private_sets(buckets, data), return_counts=True)
+    if not len(names):
+        return [], []
+    records = np.empty(len(names), COUNT)
+    records["low"], records["high"], records["count"] = names & np.uint64(0xFFFFFFFF), names >> np.uint64(32), counts
+    at = names * np.uint64(NAME_BUCKETS) >> np.uint64(48)
+    starts = _runs(at)
+    ends = np.append(starts[1:], len(records))
+    return at[starts].astype(int).tolist(), [records[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
+
+
+def _chunked(blocks: Iterator[tuple[int, bytes]], itemsize: int) -> Iterator[tuple[list[int], list[bytes]]]:
+    chunks = Chunks(itemsize)
     for bucket, block in blocks:
-        if size >= RECORDS * itemsize and bucket != buckets[-1]:
-            yield buckets, data
-            buckets, data, size = [], [], 0
-        buckets.append(bucket)
-        data.append(block)
-        size += len(block)
-    if buckets:
-        yield buckets, data
+        if full := chunks.add(bucket, block):
+            yield full
+    if chunks.buckets:
+        yield chunks.rest()
 
 
 def private_counts(blocks: Iterator[tuple[int, bytes]]) -> Iterator[tuple[list[int], list[bytes]]]:
-    """(buckets, blocks) of the sets' names with their private n-grams, from blocks of n-grams sorted by bucket."""
-    for buckets, data in _chunks(blocks, RECORD.itemsize):
-        names, counts = np.unique(private_sets(buckets, data), return_counts=True)
-        records = np.empty(len(names), COUNT)
-        records["low"], records["high"], records["count"] = names & np.uint64(0xFFFFFFFF), names >> np.uint64(32), counts
-        at = names * np.uint64(NAME_BUCKETS) >> np.uint64(48)
-        starts = _runs(at) if len(at) else np.empty(0, np.int64)
-        ends = np.append(starts[1:], len(records))
-        yield at[starts].astype(int).tolist(), [records[a:b].tobytes() for a, b in zip(starts, ends, strict=True)] if len(at) else []
+    """``count_private`` of blocks of n-grams sorted by bucket."""
+    for buckets, data in _chunked(blocks, RECORD.itemsize):
+        yield count_private(buckets, data)
 
 
 def summed_counts(blocks: Iterator[tuple[int, bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(names, private n-grams of each) from blocks of counts sorted by bucket: each name once."""
-    for _, data in _chunks(blocks, COUNT.itemsize):
+    for _, data in _chunked(blocks, COUNT.itemsize):
         records = np.frombuffer(b"".join(data), COUNT)
         names, where = np.unique(records["low"] | records["high"].astype(np.uint64) << np.uint64(32), return_inverse=True)
         yield names.astype(np.int64), np.bincount(where, records["count"], minlength=len(names)).astype(np.int64)

@@ -18,7 +18,8 @@ Two texts link when the Jaccard similarity of their sets of word n-grams reaches
 Under one n-gram with over ``SMALL_GROUP`` classes, not all pairs are verified: what matters is which classes are
 connected. Each class is first verified against its nearest few by the bitmaps; then, round by round, against further
 ones as far as they aren't connected yet, until every pair that the filters admit is verified or lies within one
-component. Such groups are dealt out by blocks of ``BLOCK`` classes, so none is gathered whole.
+component. Such groups are dealt out by blocks of ``BLOCK`` classes, so none is gathered whole; at first they are compared within
+blocks, then the classes outside the group's largest component with all others.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from arkspark.llm.common import Scratch, WordIds, mix, multipliers, only, texts, windows
 from arkspark.llm.components import connected_components
-from arkspark.llm.gram_blocks import RECORDS, pack, private_counts, slice_end, summed_counts
+from arkspark.llm.gram_blocks import RECORD, RECORDS, Chunks, count_private, pack, slice_end, summed_counts
 
 FREQUENCY_SLOTS = 1 << 20
 _BLOCK_SLOTS = 1 << 10
@@ -96,12 +97,15 @@ def _wide_bitmap(h: np.ndarray) -> np.ndarray:
     return np.empty(0, np.int64) if 1 << power <= _BITS else _parities(h, power)
 
 
+#: Odd, so that consecutive rows take all buckets in turn, far from each other.
+_TURN = 40503
 _PACKED = "bucket int, doc_id long, n long, digest binary, name long, block binary"
 _PROFILE = "doc_id long, n long, digest binary, name long, bucket int, block binary"
 
 
 def _profiles(k: int, end: np.uint64):
-    """A row for each document and the packed n-grams, up to ``end``, of those with an id."""
+    """A row for each document and the packed n-grams, up to ``end``, of those with an id. Rows of documents need no others,
+    so that they are dealt out in turn, however many are equal."""
 
     def packed(hashes: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
         buckets, blocks = pack(hashes, names)
@@ -109,11 +113,12 @@ def _profiles(k: int, end: np.uint64):
         return pa.RecordBatch.from_arrays([buckets, none(pa.int64()), none(pa.int64()), none(pa.binary()), none(pa.int64()), blocks], ["bucket", "doc_id", "n", "digest", "name", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, names, size = [], [], 0
+        hashes, names, size, given = [], [], 0, 0
         for part, sets in _sets(batches, k):
             digests = [_digest(h) for h in sets]
             called = [_name(d) for d in digests]
-            buckets = pa.array([-1 - x % (1 << 16) for x in called], pa.int32())
+            buckets = pa.array(-1 - (given + np.arange(len(sets))) * _TURN % (1 << 16), pa.int32())
+            given += len(sets)
             yield pa.RecordBatch.from_arrays(
                 [buckets, part.column("doc_id"), pa.array([len(h) for h in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(called, pa.int64()), pa.nulls(len(sets), pa.binary())],
                 ["bucket", "doc_id", "n", "digest", "name", "block"],
@@ -132,34 +137,32 @@ def _profiles(k: int, end: np.uint64):
     return run
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
-    for batch in batches:
-        rows = batch.filter(batch.column("block").is_valid())
-        yield from zip(rows.column("bucket").to_pylist(), rows.column("block").to_pylist(), strict=True)
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
+    rows = batch.filter(batch.column("block").is_valid())
+    return zip(rows.column("bucket").to_pylist(), rows.column("block").to_pylist(), strict=True)
 
 
 def _count_private(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by bucket: those of documents as they are, and of the blocks the private n-grams by name."""
-    columns = ["doc_id", "n", "digest", "name"]
-    docs: list[pa.RecordBatch] = []
+    """From rows sorted by bucket: those of documents as they are, at once, and of the blocks the private n-grams by name."""
+    columns, chunks = ["doc_id", "n", "digest", "name"], Chunks(RECORD.itemsize)
 
-    def seen() -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.filter(batch.column("digest").is_valid())
-            if rows.num_rows:
-                docs.append(pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), pa.nulls(rows.num_rows, pa.int32()), pa.nulls(rows.num_rows, pa.binary())], [*columns, "bucket", "block"]))
-            yield batch
-
-    for buckets, blocks in private_counts(_blocks(seen())):
-        yield from docs
-        docs.clear()
+    def counted(full: tuple[list[int], list[bytes]]) -> pa.RecordBatch:
+        buckets, blocks = count_private(*full)
         none = [pa.nulls(len(blocks), kind) for kind in (pa.int64(), pa.int64(), pa.binary(), pa.int64())]
-        yield pa.RecordBatch.from_arrays([*none, pa.array(buckets, pa.int32()), pa.array(blocks, pa.binary())], [*columns, "bucket", "block"])
-    yield from docs
+        return pa.RecordBatch.from_arrays([*none, pa.array(buckets, pa.int32()), pa.array(blocks, pa.binary())], [*columns, "bucket", "block"])
+
+    for batch in batches:
+        rows = batch.filter(batch.column("digest").is_valid())
+        if rows.num_rows:
+            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), pa.nulls(rows.num_rows, pa.int32()), pa.nulls(rows.num_rows, pa.binary())], [*columns, "bucket", "block"])
+        for bucket, block in _blocks(batch):
+            if full := chunks.add(bucket, block):
+                yield counted(full)
+    yield counted(chunks.rest())
 
 
 def _sum_private(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for names, counts in summed_counts(_blocks(batches)):
+    for names, counts in summed_counts(x for batch in batches for x in _blocks(batch)):
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(counts)], ["name", "private"])
 
 
@@ -223,17 +226,16 @@ def _prefixes(num: int, den: int, frequencies):
     return run
 
 
-def _nearest(num: int, den: int, high: int, all_seek: bool):
-    """Of a large group (or a pair of its blocks): each class with its ``high`` nearest by Hamming distance, as far as
-    they lie in other components. Unless ``all_seek``, only classes outside the group's largest component seek."""
+def _nearest(num: int, den: int, high: int):
+    """Of two blocks of a large group (or one with itself): each class that seeks with its ``high`` nearest by Hamming distance, as far as
+    they lie in other components."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("key")
         key, comp, n, pos, side = (rows[c].to_numpy() for c in ("key", "comp", "n", "pos", "side"))
         bits = np.ascontiguousarray(np.stack(rows["bits"].to_numpy()).astype(np.int64)).view(np.uint64)
-        split = len(np.unique(side)) > 1
-        names, counts = np.unique(comp, return_counts=True)
-        seekers = np.arange(len(key)) if all_seek else np.flatnonzero(comp != names[np.argmax(counts)])
+        split = rows["lo"].iloc[0] != rows["hi"].iloc[0]
+        seekers = np.flatnonzero(rows["seeks"].to_numpy())
         a_out, b_out, far_out, rest = [], [], [], 0
         step = max(1, 1_000_000 // max(1, len(key)))
         for at in range(0, len(seekers), step):
@@ -304,9 +306,10 @@ def _linked_components(docs: DataFrame, open_ones: DataFrame, known: DataFrame,
     frequencies = spark.sparkContext.broadcast(_frequencies(sets))
     prefixes = sets.select("key", "n", "items").mapInArrow(_prefixes(num, den, frequencies), "key long, n long, prefix array<long>")
     grams = scratch.write(prefixes.select("key", "n", F.posexplode("prefix").alias("pos", "gram")), "grams")
-    held = grams.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1")
+    # As a table of its own, so that a common n-gram's rows can be split when they are joined with it.
+    held = scratch.write(grams.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1"), "held")
     shared = scratch.write(grams.join(held, "gram"), "shared")
-    scratch.drop(grams)
+    scratch.drop(grams, held)
 
     small = shared.where(F.col("m") <= SMALL_GROUP)
     x, y = (small.select("gram", *(F.col(c).alias(c + s) for c in ("key", "pos", "n"))) for s in "xy")
@@ -323,21 +326,34 @@ def _linked_components(docs: DataFrame, open_ones: DataFrame, known: DataFrame,
     some_large = not large.isEmpty()
     if some_large:
         large = scratch.write(large.join(sets.select("key", "bits"), "key"), "large")
-        blocks = F.expr(f"(m + {BLOCK - 1}) div {BLOCK}")
-        large = large.withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")))
-        large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other")).withColumn("side", (F.col("mine") == F.col("lo")).cast("int"))
-
-    def near(high: int, comps: DataFrame | None) -> DataFrame:
-        if comps is None:
-            rows = large.withColumn("comp", F.col("key"))
-        else:
-            rows = large.join(comps.select(F.col("node").alias("key"), F.col("component").alias("c")), "key", "left").withColumn("comp", F.coalesce("c", "key"))
-        return rows.select("gram", "lo", "hi", "key", "comp", "n", "pos", "side", "bits").groupBy("gram", "lo", "hi").applyInPandas(_nearest(num, den, high, comps is None), "a long, b long, far long, rest long").select("a", "b", "rest")
+    blocks = lambda rows: F.expr(f"({rows} + {BLOCK - 1}) div {BLOCK}")
+    deal = lambda n: F.pmod(F.xxhash64("key"), F.greatest(n, F.lit(1)))
+    group = ["gram", "lo", "hi"]
+
+    def compared(rows: DataFrame, high: int) -> DataFrame:
+        rows = rows.select(*group, "key", "comp", "n", "pos", "side", "seeks", "bits")
+        return rows.groupBy(*group).applyInPandas(_nearest(num, den, high), "a long, b long, far long, rest long").select("a", "b", "rest")
+
+    def near_at_first() -> DataFrame:
+        """Pairs within blocks."""
+        rows = large.withColumn("lo", deal(blocks("m"))).withColumns({"hi": F.col("lo"), "side": F.lit(0), "comp": F.col("key"), "seeks": F.lit(True)})
+        return compared(rows, RANKS[0])
+
+    def near(high: int, comps: DataFrame) -> DataFrame:
+        """Pairs of the classes outside their group's largest component with all of the group. Those inside it meet the blocks of those outside alone."""
+        rows = large.join(comps.select(F.col("node").alias("key"), F.col("component").alias("c")), "key", "left").withColumn("comp", F.coalesce("c", "key"))
+        main = rows.groupBy("gram", "comp").agg(F.count("*").alias("held")).groupBy("gram").agg(F.max_by("comp", F.struct("held", "comp")).alias("main"), F.max("held").alias("inside"), (F.sum("held") - F.max("held")).alias("outside"))
+        rows = rows.join(scratch.write(main.where("outside > 0"), "main"), "gram").withColumn("seeks", F.col("comp") != F.col("main"))
+        rows = rows.withColumns({"out": blocks("outside"), "in": blocks("inside")})
+        rows = rows.withColumn("mine", F.when(F.col("seeks"), deal(F.col("out"))).otherwise(F.col("out") + deal(F.col("in"))))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(F.col("seeks"), F.col("out") + F.col("in")).otherwise(F.col("out")) - 1)))
+        rows = rows.withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other"), "side": (F.col("mine") < F.col("other")).cast("int")})
+        return compared(rows, high)
 
     if some_large:
-        pairs = pairs.unionByName(near(RANKS[0], None))
+        pairs = pairs.unionByName(near_at_first())
     met = scratch.write(pairs.groupBy("a", "b").agg(F.sum("rest").alias("rest")), "met")
-    rest = met.where("a is null").agg(F.sum("rest")).first()[0] or 0
+    rest = met.where("a is null").agg(F.sum("rest")).first()[0] or (some_large and not large.where(F.col("m") > BLOCK).isEmpty())
     pairs = scratch.write(_plausible(met.where("a is not null"), sets, num, den), "pairs")
     first = pairs.select("far", F.explode(F.array(F.struct(F.col("a").alias("x"), F.col("b").alias("y")), F.struct(F.col("b").alias("x"), F.col("a").alias("y")))).alias("p"))
     first = first.groupBy("p.x").agg(F.min(F.struct("far", "p.y")).alias("p")).select(F.least("x", "p.y").alias("a"), F.greatest("x", "p.y").alias("b")).distinct()
