@@ -24,20 +24,40 @@ def scratch_root(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="arkspark-")
         spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    # With its scheme, so that tasks that open files by themselves find the store that Spark means.
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString().rstrip("/")
 
 
 class Scratch:
     """Tables that one call writes into a folder of its own under the shared one: later jobs survive lost executors.
 
-    The call deletes what its result doesn't read; the rest stays until ``clear``, at the latest until Python ends.
-    Calls don't touch each other's tables.
+    The call deletes what its result doesn't read; the rest stays until ``clear``, the end of a ``collected`` block or, at the latest,
+    that of Python. Calls don't touch each other's tables.
     """
 
+    _folders: dict[str, SparkSession] = {}
+    _made: list[list[Scratch]] = []
+
     def __init__(self, spark: SparkSession):
         self.spark, self.folder = spark, f"{scratch_root(spark)}/arkspark-{uuid.uuid4().hex}"
         self.names: list[str] = []
-        atexit.register(self._at_end)
+        self._folders[self.folder] = spark
+        for made in self._made:
+            made.append(self)
+
+    @classmethod
+    @contextlib.contextmanager
+    def collected(cls) -> Iterator[list[Scratch]]:
+        """All that is made inside is cleared at the end, results too: write or count what you want of them inside."""
+        made: list[Scratch] = []
+        cls._made.append(made)
+        try:
+            yield made
+        finally:
+            cls._made.remove(made)
+            for scratch in made:
+                scratch.clear()
 
     def path(self, label: str) -> str:
         self.names.append(f"{len(self.names)}-{label}")
@@ -50,8 +70,7 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def _delete(self, path: str) -> None:
-        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _delete(self.spark, path)
 
     def _read_by(self, frames: tuple[DataFrame, ...]) -> set[str]:
         inside = self.folder.rpartition("/")[2] + "/"
@@ -69,10 +88,19 @@ class Scratch:
 
     def clear(self) -> None:
         self._delete(self.folder)
+        self._folders.pop(self.folder, None)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
-    def _at_end(self) -> None:
+
+@atexit.register
+def _clear_all() -> None:
+    for folder, spark in Scratch._folders.items():
         with contextlib.suppress(Exception):
-            self.clear()
+            _delete(spark, folder)
 
 
 class WordIds(dict):

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from arkspark.llm.common import Scratch, only, texts
 from arkspark.llm.pairwise_quality import FEATURES, QualityModel, features
 
+#: Keys are exponential with a rate of the weight. By the distribution of the least weight, no bin has more than the greatest weight by the least one, by BINS, of any documents.
 BINS = 1 << 13
 WEIGHTS = (3, 1, 2)
 #: The weight of a document with the score 0; one with the score 1 weighs 1 more.
@@ -43,9 +44,10 @@ def _measured(model):
     return run
 
 
-def uniform(doc_id: Column, seed: int) -> Column:
-    """In (0, 1), from the first 52 bits of an MD5 of seed and id: the same in every run."""
-    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("")))), 1, 13), 16, 10).cast("double")
+def uniform(doc_id: Column, seed: int, otherwise: Column | str = "") -> Column:
+    """In (0, 1), from the first 52 bits of an MD5 of seed and id, or ``otherwise`` for a null id: the same in every run."""
+    otherwise = otherwise if isinstance(otherwise, Column) else F.lit(otherwise)
+    drawn = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), otherwise))), 1, 13), 16, 10).cast("double")
     return (drawn + 0.5) / float(1 << 52)
 
 
@@ -80,14 +82,14 @@ def mix_sources(docs: DataFrame, model: QualityModel | None = None, share: float
     taken counts the words that the mix takes of the document, repeats counted: the complete epochs of its source
     times its size, and once more if the middle of its words comes, in the running sum, before the end of what is left
     of the target. Its source's words thus end within half a document of the target. Ties in the key go by doc_id, then by text; equal
-    rows share their place in any order. Null or empty texts have size 0 and take 0; a null doc_id draws the key of an
-    empty id; null sources form one source. An empty table gives no rows.
+    rows share their place in any order. Null or empty texts have size 0 and take 0; a null doc_id draws the key of its
+    text; null sources form one source. An empty table gives no rows.
     """
     scratch = scratch or Scratch(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model) if model else None
     df = only(docs, doc_id="long", text="string", source="string").mapInArrow(_measured(shared), "doc_id long, source string, size long, weight double, tie binary")
-    df = df.withColumn("key", -F.log(uniform(F.col("doc_id"), seed)) / F.col("weight")).drop("weight")
-    df = scratch.write(df.withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * BINS).cast("int")), "sizes")
+    df = df.withColumn("key", -F.log(uniform(F.col("doc_id"), seed, F.hex("tie"))) / F.col("weight")).drop("weight")
+    df = scratch.write(df.withColumn("bin", F.floor((1 - F.exp(-LEAST_WEIGHT * F.col("key"))) * BINS).cast("int")), "sizes")
     bins = df.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
     targets = source_targets(bins.groupBy("source").agg(F.sum("bin_size").alias("source_size")), share, cap, weights)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")

@@ -32,6 +32,8 @@ ARCHIVE_BYTES = 64 << 20
 #: The dictionary of an archive is trained on its first so many payloads, of so many bytes at most.
 TRAIN_PAYLOADS, TRAIN_BYTES, DICTIONARY_BYTES = 64, 1 << 20, 16 << 10
 _STEP = 1 << 18
+#: Archives that a task reads at most, so that a large set is read by as many tasks as its size asks for.
+READ_AT_ONCE = 8
 #: What Arrow calls the schemes that Hadoop has names of its own for.
 _ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
 
@@ -299,7 +301,9 @@ def read_archives(archives: DataFrame, keep_payload: bool = True) -> DataFrame:
     A record without a valid header, length or payload digest gives a row with ``error`` and nulls; so does a damaged
     or truncated frame, after which that archive isn't read on. Empty archives give no rows.
     """
-    return only(archives, path="string").repartition(archives.sparkSession.sparkContext.defaultParallelism * 4).mapInPandas(_reader(keep_payload), _READ)
+    paths = only(archives, path="string")
+    tasks = max(archives.sparkSession.sparkContext.defaultParallelism * 4, -(-paths.count() // READ_AT_ONCE))
+    return paths.repartition(tasks).mapInPandas(_reader(keep_payload), _READ)
 
 
 def archive_round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
