@@ -9,6 +9,7 @@ from arkspark.functions.scalars import header_value
 from arkspark.operators import archive_files, records
 from arkspark.plans.queries import query
 from arkspark.sources import archives
+from arkspark.sources.files import written
 
 _CRLF = "\r\n"
 
@@ -41,7 +42,8 @@ def _warc_places(spark, d) -> DataFrame:
     info = F.when(page % 10 == 0, _warc("warcinfo", _name("i"), _bytes("software: crawler ", page, "\r\nformat: WARC\r\n\r\n")))
     dns = F.when(page % 7 == 0, _warc("response", _name("d"), _bytes("20240101 host"), ("WARC-Target-URI", F.lit("dns:host"))))
     again = F.when(page % 5 == 0, _warc("revisit", _name("v"), _bytes("HTTP/1.1 200 OK\r\nA: b\r\n\r\n"), ("WARC-Target-URI", url), ("WARC-Refers-To", _name("r"))))
-    rows = _pages(spark, d).select(F.explode(F.array_compact(F.array(info, request, response, dns, again))).alias("record"))
+    held = F.array(*(F.struct(F.lit(letter).alias("letter"), record.alias("record")) for letter, record in zip("iqrdv", (info, request, response, dns, again), strict=True)))
+    rows = _pages(spark, d).select(F.inline(F.filter(held, lambda r: r["record"].isNotNull())))
     return archives.write_archives(rows, ".warc.gz")
 
 
@@ -80,10 +82,11 @@ def records_truncated(spark, d):
 @query("""WITH p AS (SELECT page_id FROM pages), k(c, kind, m) AS (VALUES ('r', 'warc', 1), ('q', 'warc-request', 1), ('v', 'warc', 5)), r AS (SELECT page_id, c, kind FROM p, k WHERE page_id % m = 0)
 SELECT '<urn:' || a.c || ':' || a.page_id || '>' AS record_id, '<urn:' || b.c || ':' || b.page_id || '>' AS related_id, b.kind AS related_kind FROM r a JOIN r b ON a.page_id = b.page_id AND a.c <> b.c AND a.kind = 'warc'""")
 def records_related(spark, d):
-    parsed = _parsed(spark, d)
+    """From the places of responses, as an index has them: only the bytes around those are read."""
+    near = archives.records_nearby(_warc_places(spark, d).where("letter = 'r'"))
+    parsed = written(records.parse_records(near).select("path", "offset", "length", "kind", "record_id", "concurrent_to", "refers_to"), "parsed")
     ids = parsed.select("path", "offset", "record_id")
-    pairs = records.related_records(parsed)
-    own = pairs.join(ids, ["path", "offset"])
+    own = records.related_records(parsed).join(ids, ["path", "offset"])
     return own.join(ids.select("path", F.col("offset").alias("related_offset"), F.col("record_id").alias("related_id")), ["path", "related_offset"]).select("record_id", "related_id", "related_kind")
 
 
@@ -128,12 +131,26 @@ def arc_descriptions(spark, d):
     return parsed.select(F.regexp_extract("url", r"(\d+)", 1).cast("long").alias("page_id"), F.array_join(F.transform(tags, lambda f: F.concat(f["name"], F.lit("="), f["value"])), "|").alias("fields"))
 
 
-@query("""SELECT CAST(1 AS BIGINT) AS per_file, CAST(0 AS BIGINT) AS first_offset, true AS described""")
+_XML = ('1 1 InternetArchive\nURL IP\n<arcmetadata xmlns="x">\n<arc:software>Crawler ', "</arc:software>\n</arcmetadata>\n")
+_XML_SQL = "' || page_id || '".join(x.replace("\n", "' || chr(10) || '") for x in _XML)
+_LINES_SQL = "chr(13) || chr(10)"
+
+
+@query(f"""WITH f AS (SELECT page_id // 16 AS file, min(page_id) AS page_id FROM pages GROUP BY 1), x AS (SELECT *, '{_XML_SQL}' AS xml FROM f JOIN pages USING (page_id)),
+r AS (SELECT file, page_id, CASE WHEN file % 2 = 0 THEN 'filedesc://' || page_id || '.arc 0.0.0.0 20080102030405 text/plain ' || octet_length(encode(xml)) || chr(10) || xml
+ELSE 'WARC/1.0' || {_LINES_SQL} || 'WARC-Type: response' || {_LINES_SQL} || 'WARC-Date: 2024-01-01T00:00:00Z' || {_LINES_SQL} || 'WARC-Record-ID: <urn:r:' || page_id || '>' || {_LINES_SQL} || 'WARC-Target-URI: ' || url || {_LINES_SQL}
+ || 'Content-Length: ' || octet_length(encode(html)) || {_LINES_SQL} || {_LINES_SQL} || html || {_LINES_SQL} || {_LINES_SQL} END AS record FROM x)
+SELECT file, page_id, CAST(0 AS BIGINT) AS "offset", CAST(octet_length(encode(record)) AS BIGINT) AS bytes, sha256(record) AS sha256 FROM r""")
 def archive_first_records(spark, d):
-    """Every file gives one record, that at its start, and page 0's begins with its description, without what follows the last line."""
-    first = archives.first_records(archives.scan_archives(_arc_places(spark, d)))
-    per_path = first.groupBy("path").agg(F.count("*").alias("n"), F.max("offset").alias("at"), F.bool_and(~F.col("record").cast("string").endswith("rest")).alias("cut"))
-    return per_path.agg(F.max("n").alias("per_file"), F.max("at").alias("first_offset"), F.bool_and("cut").alias("described"))
+    """A file for each 16 pages, every other one begun by its description: of each the record at its start, without what follows the description's last line."""
+    page = F.col("page_id")
+    xml = _bytes(_XML[0], page, _XML[1])
+    described = _bytes("filedesc://", page, ".arc 0.0.0.0 20080102030405 text/plain ", F.octet_length(xml), "\n", (xml,), "rest")
+    response = _warc("response", _name("r"), F.col("body"), ("WARC-Target-URI", F.col("url")))
+    rows = _pages(spark, d).withColumn("file", F.expr("page_id div 16")).select("page_id", "file", F.posexplode(F.array_compact(F.array(F.when(page % 32 == 0, described), response))).alias("ord", "record"))
+    places = archives.write_archives(rows.repartition("file").sortWithinPartitions("file", "page_id", "ord"), ".gz", by="file")
+    first = archives.first_records(places).join(places.select("path", "offset", "file", "page_id"), ["path", "offset"])
+    return first.select("file", "page_id", "offset", F.length("record").cast("long").alias("bytes"), F.sha2("record", 256).alias("sha256"))
 
 
 @query("""SELECT page_id, 'Content-Length=9|Server=a' || CASE WHEN page_id % 2 = 0 THEN '|Content-Encoding=gzip' ELSE '' END AS headers, 'WARC-Type=response' || '|X-Crawler-content-length=' || page_id AS metadata FROM pages""")

@@ -11,7 +11,7 @@ from contextlib import contextmanager
 from urllib.parse import unquote, urlparse
 
 import pyarrow.fs as pafs
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: What Arrow calls the schemes that Hadoop has names of its own for.
 ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
@@ -31,15 +31,16 @@ def open_file(path: str, mode: str = "r") -> Iterator:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A new folder under ``spark.checkpoint.dir``; where that is unset, a temporary one in local mode, else an error.
-    Deleted when Python ends."""
+    Deleted when Python ends. Its name has a scheme."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="arkspark-")
-    folder = f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}")
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    # With its scheme, so that tasks that open files by themselves find the store that Spark means.
+    where = store.makeQualified(path)
     store.mkdirs(where)
 
     @atexit.register
@@ -47,4 +48,11 @@ def new_folder(spark: SparkSession, label: str) -> str:
         with contextlib.suppress(Exception):
             store.delete(where, True)
 
-    return folder
+    return where.toString()
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in a new folder, so that it is worked out once, however often it is read."""
+    folder = new_folder(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
