@@ -12,34 +12,58 @@ from arkspark.operators.records import arc_description, warcinfo_fields
 _KNOWN = "array<struct<crawlerName string, crawlerHostname string, crawlerHostnameSecondary string, crawlerIpAddress string>>"
 
 
-def _first_period(rows: DataFrame, periods: DataFrame, on: Column, columns: tuple[str, ...]) -> DataFrame:
-    """(ord, period): of each row the first period, by ord, of its key that holds its stamp."""
-    p = periods.select(F.col("key").alias("_key"), F.col("from").alias("_from"), F.col("to").alias("_to"), F.struct(*columns).alias("_p"), F.col("ord").alias("_ord"))
-    hit = rows.select("ord", "ts14", on.alias("_on")).join(p, (F.col("_on") == F.col("_key")) & F.col("ts14").between(F.col("_from"), F.col("_to")))
-    return hit.groupBy("ord").agg(F.min_by("_p", "_ord").alias("period"))
+def _intervals(periods: Column) -> Column:
+    """array<struct<at, value>>: what holds from each bound on up to the next one, by bound, of an array of struct<from, to, ord, value>.
+
+    Bounds are texts, ``to`` included; where periods overlap the first by ord holds, outside all null.
+    """
+    after = lambda p: F.concat(p["to"], F.lit("\0"))  # noqa: E731  the least text above
+    known = F.array_sort(F.filter(periods, lambda p: p["from"].isNotNull() & p["to"].isNotNull()), lambda x, y: F.when(x["ord"] < y["ord"], -1).when(x["ord"] > y["ord"], 1).otherwise(0))
+
+    def over(p: Column) -> Column:
+        bounds = F.array_sort(F.array_distinct(F.concat(F.transform(p, lambda x: x["from"]), F.transform(p, after))))
+        return F.transform(bounds, lambda at: F.struct(at.alias("at"), F.get(F.filter(p, lambda x: (x["from"] <= at) & (after(x) > at)), F.lit(0))["value"].alias("value")))
+
+    return bind(known, over)
+
+
+def _holding(intervals: Column, ts: Column) -> Column:
+    """What holds at a stamp."""
+    return F.try_element_at(F.filter(intervals, lambda i: i["at"] <= ts), F.lit(-1))["value"]
+
+
+def _period(*value: str | Column) -> Column:
+    return F.struct(F.col("from").alias("from"), F.col("to").alias("to"), F.col("ord").alias("ord"), (F.struct(*value) if len(value) > 1 else value[0]).alias("value"))
+
+
+def with_period(rows: DataFrame, periods: DataFrame, on: Column, columns: tuple[str, ...], name: str = "period") -> DataFrame:
+    """``rows`` (ts14, ...) with a struct of ``columns`` of the first period (key, from, to, ord, ...), by ord, of the key ``on`` that holds the stamp.
+
+    Periods are configuration: each key's become one sorted array without overlaps, so that the rows look theirs up where they are.
+    """
+    index = periods.groupBy(F.col("key").alias("_key")).agg(_intervals(F.collect_list(_period(F.struct(*columns)))).alias("_intervals"))
+    return rows.join(F.broadcast(index), on == F.col("_key"), "left").withColumn(name, _holding(F.col("_intervals"), F.col("ts14"))).drop("_key", "_intervals")
 
 
 def overrides_of(rows: DataFrame, overrides: DataFrame) -> DataFrame:
-    """``rows`` (ord, ts14, crawler_name) with has_override, whether the crawler is listed, and ``override``: struct<crawlerHostname, crawlerIpAddress, protocol, headers>,
-    each from the first of its periods that holds the stamp and says it."""
-    names = overrides.select(F.col("key").alias("_key")).distinct().withColumn("has_override", F.lit(True))
-    o = overrides.select(F.col("key").alias("_key"), F.col("from").alias("_from"), F.col("to").alias("_to"), "crawlerHostname", "crawlerIpAddress", "protocol", "headers", F.col("ord").alias("_ord"))
-    hit = rows.select("ord", "ts14", F.lower("crawler_name").alias("_name")).join(o, (F.col("_name") == F.col("_key")) & F.col("ts14").between(F.col("_from"), F.col("_to")))
-    first = lambda kept, value: F.min_by(value, F.when(kept, F.col("_ord")))
-    host = F.col("crawlerHostname").isNotNull() | F.col("crawlerIpAddress").isNotNull()
-    found = hit.groupBy("ord").agg(first(host, F.struct("crawlerHostname", "crawlerIpAddress")).alias("h"), first(F.col("protocol").isNotNull(), F.col("protocol")).alias("protocol"), first(F.col("headers").isNotNull(), F.col("headers")).alias("headers"))
-    found = found.select("ord", F.struct("h.crawlerHostname", "h.crawlerIpAddress", "protocol", "headers").alias("override"))
-    return rows.join(names, F.lower("crawler_name") == F.col("_key"), "left").drop("_key").join(found, "ord", "left").withColumn("has_override", F.coalesce("has_override", F.lit(False)))
+    """``rows`` (ts14, crawler_name) with has_override, whether the crawler is listed, and ``override``: struct<crawlerHostname, crawlerIpAddress, protocol, headers>,
+    each from the first of its periods that holds the stamp and says it. As ``with_period``, in one look-up."""
+    host = F.struct("crawlerHostname", "crawlerIpAddress")
+    said = {"_hosts": (F.col("crawlerHostname").isNotNull() | F.col("crawlerIpAddress").isNotNull(), host), "_protocols": (F.col("protocol").isNotNull(), F.col("protocol")), "_headers": (F.col("headers").isNotNull(), F.col("headers"))}
+    index = overrides.where("key is not null").groupBy(F.col("key").alias("_key")).agg(*(_intervals(F.collect_list(F.when(kept, _period(value)))).alias(name) for name, (kept, value) in said.items()))
+    at = lambda name: _holding(F.col(name), F.col("ts14"))
+    out = rows.join(F.broadcast(index), F.lower("crawler_name") == F.col("_key"), "left")
+    told = F.struct(at("_hosts")["crawlerHostname"].alias("crawlerHostname"), at("_hosts")["crawlerIpAddress"].alias("crawlerIpAddress"), at("_protocols").alias("protocol"), at("_headers").alias("headers"))
+    return out.withColumns({"has_override": F.col("_key").isNotNull(), "override": told}).drop("_key", *said)
 
 
 def crawler_info(rows: DataFrame, periods: DataFrame, overrides: DataFrame | None = None, override_provider: str = "alexa") -> DataFrame:
-    """``rows`` (ord, ts14, provider, crawler_name, crawler_hostname) with ``crawler_info``: struct<name, hostname, hostname_secondary, ip_address, ip_range, known>.
+    """``rows`` (ts14, provider, crawler_name, crawler_hostname) with ``crawler_info``: struct<name, hostname, hostname_secondary, ip_address, ip_range, known>.
 
     Of the provider's first period that holds the stamp: its IP range if it has one; else the crawler known by this name or host, ports cut and case ignored; else, if
     five at most are known, all of them. Crawlers of ``override_provider`` that are listed among ``overrides`` have that alone.
     """
-    found = _first_period(rows, periods, F.col("provider"), ("crawlerIpRange", "knownCrawlers"))
-    out = rows.join(found, "ord", "left")
+    out = with_period(rows, periods, F.col("provider"), ("crawlerIpRange", "knownCrawlers"))
     if overrides is not None:
         out = overrides_of(out, overrides)
     else:
@@ -65,14 +89,18 @@ def crawler_info(rows: DataFrame, periods: DataFrame, overrides: DataFrame | Non
 
 
 def prefix_periods(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """``rows`` (ord, ts14, crawl_identifier) with ``principal``: struct<protocol, headers>. The first key, by ord, that is the identifier or stands before a hyphen
-    in it, in any case, decides; of its periods the first that holds the stamp."""
-    keys = rules.groupBy("key").agg(F.min("ord").alias("_first")).select(F.lower("key").alias("_key"), "_first")
+    """``rows`` (ts14, crawl_identifier) with ``principal``: struct<protocol, headers>. The first key, by ord, that is the identifier or stands before a hyphen
+    in it, in any case, decides; of its periods the first that holds the stamp.
+
+    A key and the identifiers that it decides begin with the same letters up to the first hyphen, so that they are joined by those.
+    """
+    head = lambda c: F.substring_index(c, "-", 1)
+    keys = rules.where("key is not null").groupBy(F.lower("key").alias("rule")).agg(F.min("ord").alias("place"), _intervals(F.collect_list(_period(F.struct("protocol", "headers")))).alias("intervals"))
+    index = keys.groupBy(head(F.col("rule")).alias("_head")).agg(F.sort_array(F.collect_list(F.struct("place", "rule", "intervals"))).alias("_rules"))
     low = F.lower("crawl_identifier")
-    best = rows.select("crawl_identifier").distinct().join(keys, (low == F.col("_key")) | low.startswith(F.concat("_key", F.lit("-")))).groupBy("crawl_identifier").agg(F.min_by("_key", "_first").alias("_rule"))
-    keyed = rows.join(best, "crawl_identifier", "left")
-    found = _first_period(keyed, rules.withColumn("key", F.lower("key")), F.col("_rule"), ("protocol", "headers"))
-    return keyed.join(found, "ord", "left").withColumnRenamed("period", "principal").drop("_rule")
+    out = rows.join(F.broadcast(index), head(low) == F.col("_head"), "left")
+    rule = F.get(F.filter("_rules", lambda r: (r["rule"] == low) | low.startswith(F.concat(r["rule"], F.lit("-")))), F.lit(0))
+    return out.withColumn("principal", _holding(rule["intervals"], F.col("ts14"))).drop("_head", "_rules")
 
 
 def derived_headers(template: Column, host: Column, referer: Column) -> Column:
@@ -95,7 +123,7 @@ def replace_header(headers: Column, name: str, value: Column) -> Column:
 
 
 def request_headers(rows: DataFrame, periods: DataFrame, overrides: DataFrame, principals: DataFrame) -> DataFrame:
-    """``rows`` (ord, ts14, url, record_format, provider, crawler_name, crawl_identifier, description (name, value pairs of the archive), referer) with request_protocol
+    """``rows`` (ts14, url, record_format, provider, crawler_name, crawl_identifier, description (name, value pairs of the archive), referer) with request_protocol
     and request_headers, as they are known of that crawl at that time.
 
     WARC files tell the requests themselves, so that nothing is derived for them. Listed crawlers have their override alone, crawls of the archive itself the rule of
@@ -103,8 +131,7 @@ def request_headers(rows: DataFrame, periods: DataFrame, overrides: DataFrame, p
     """
     from arkspark.functions.urls import host, port
 
-    out = prefix_periods(overrides_of(rows, overrides), principals)
-    out = out.join(_first_period(rows, periods, F.col("provider"), ("protocol", "headers")), "ord", "left")
+    out = with_period(prefix_periods(overrides_of(rows, overrides), principals), periods, F.col("provider"), ("protocol", "headers"))
     listed = (F.col("provider") == "alexa") & F.col("has_override")
     own = (F.col("provider") == "internetarchive") & F.col("principal").isNotNull()
     pick = lambda field: F.when(listed, F.col(f"override.{field}")).when(own, F.col(f"principal.{field}")).otherwise(F.col(f"period.{field}"))

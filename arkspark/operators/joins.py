@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from arkspark.operators.ordinals import ordinals
+
 
 def _same(a: str, b: str, *columns: str):
     out = F.lit(True)
@@ -46,33 +50,6 @@ def resolve_revisits(rows: DataFrame) -> DataFrame:
     return out.select("r.ord", "r.url", "r.ts14", F.when(revisit & F.col("o.t").isNotNull(), F.col("o.t.status")).otherwise(F.col("r.status")).alias("status"), F.when(revisit & F.col("o.t").isNotNull(), F.col("o.t.digest")).otherwise(F.col("r.digest")).alias("digest"), F.col("o.t.ord").alias("target_ord"), error.alias("error"))
 
 
-def crawler_periods(rows: DataFrame, periods: DataFrame) -> DataFrame:
-    """Adds name of the first period, in file order, of the row's provider that holds its stamp; null for none.
-
-    periods: provider, from_ts, to_ts, name, ord.
-    """
-    p = periods.select(F.col("provider").alias("p_provider"), "from_ts", "to_ts", F.col("name").alias("p_name"), F.col("ord").alias("p_ord"))
-    hit = rows.join(p, (F.col("source") == F.col("p_provider")) & F.col("ts14").between(F.col("from_ts"), F.col("to_ts")), "left")
-    first = F.min_by("p_name", "p_ord").alias("crawler")
-    return rows.join(hit.groupBy("ord").agg(first), "ord", "left")
-
-
-def override_periods(rows: DataFrame, overrides: DataFrame) -> DataFrame:
-    """Adds ``has_override`` (the name is listed) and ``override`` (of the first period that holds the stamp)."""
-    names = overrides.select(F.col("name").alias("n")).distinct().withColumn("has_override", F.lit(True))
-    o = overrides.select(F.col("name").alias("n"), "from_ts", "to_ts", "value", F.col("ord").alias("o_ord"))
-    hit = rows.join(o, (F.col("name") == F.col("n")) & F.col("ts14").between(F.col("from_ts"), F.col("to_ts"))).groupBy("ord").agg(F.min_by("value", "o_ord").alias("override"))
-    return rows.join(names, F.col("name") == F.col("n"), "left").drop("n").join(hit, "ord", "left").withColumn("has_override", F.coalesce("has_override", F.lit(False)))
-
-
-def prefix_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """Adds the value of the first rule, in file order, whose prefix is the id or stands before a hyphen in it, in any case."""
-    r = rules.select(F.lower("prefix").alias("p"), "value", F.col("ord").alias("r_ord"))
-    fits = (F.lower("collection") == F.col("p")) | F.lower("collection").startswith(F.concat("p", F.lit("-")))
-    best = rows.select("collection").distinct().join(r, fits).groupBy("collection").agg(F.min_by("value", "r_ord").alias("value"))
-    return rows.join(best, "collection", "left")
-
-
 def expand_mirrors(requests: DataFrame, mirrors: DataFrame) -> DataFrame:
     """Requests and, for each mirror of their host, a request at the mirror with bounds clamped to both.
 
@@ -98,13 +75,15 @@ def repair_shared(rows: DataFrame) -> DataFrame:
     return out.select("ord", "digest", F.when(fix, F.col("c.sha")).otherwise(F.col("sha")).alias("sha"), F.when(fix, F.col("c.type")).otherwise(F.col("type")).alias("type"), fix.alias("repaired"))
 
 
-def positional(left: DataFrame, right: DataFrame, key: str = "request_url") -> DataFrame:
-    """Rows at the same place of two listings of a request; ``ok`` says that stamp and digest agree."""
+def positional(left: DataFrame, right: DataFrame, key: str = "request_url", compared: tuple[str, ...] = ("ts14", "digest")) -> DataFrame:
+    """Rows at the same place, by (ts14, ord), of two listings of a request; ``ok`` says that the columns ``compared`` agree."""
+    columns = ("ord", *compared)
+
     def numbered(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(key, F.row_number().over(Window.partitionBy(key).orderBy("ts14", "ord")).alias("rn"), *(F.col(c).alias(prefix + c) for c in ("ord", "ts14", "digest")))
+        return ordinals(df.select(key, "ts14", *(c for c in columns if c != "ts14")), "ts14", "ord", by=(key,), name="rn").select(key, "rn", *(F.col(c).alias(prefix + c) for c in columns))
 
     both = numbered(left, "a_").join(numbered(right, "b_"), [key, "rn"], "full")
-    return both.withColumn("ok", F.col("a_ts14").eqNullSafe(F.col("b_ts14")) & F.col("a_digest").eqNullSafe(F.col("b_digest")))
+    return both.withColumn("ok", reduce(lambda a, b: a & b, (F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")) for c in compared)))
 
 
 def complete_offsets(rows: DataFrame, third: DataFrame, item: str = "nlaweb") -> DataFrame:

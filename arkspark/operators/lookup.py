@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from arkspark.operators.ordinals import ordinals
+
 
 def in_range(ts: Column, low: Column | str | None, high: Column | str | None) -> Column:
     """Inclusive range of 14-digit stamps, compared as text; a null bound is open."""
@@ -25,13 +27,21 @@ def index_lookup(index: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def covered(queries: DataFrame, coverage: DataFrame) -> DataFrame:
-    """Adds ``is_covered``: some dump of the prefix has wider bounds and all the query's collections."""
-    c = coverage.select(F.col("prefix").alias("c_prefix"), F.col("min_ts").alias("c_min"), F.col("max_ts").alias("c_max"), F.col("collections").alias("c_list"))
-    wide = (F.col("c_min").isNull() | (F.col("c_min") <= F.col("min_ts"))) & (F.col("c_max").isNull() | (F.col("c_max") >= F.col("max_ts")))
-    lists = F.col("c_list").isNull() | (F.size(F.array_except("collections", "c_list")) == 0)
-    hit = queries.join(c, (F.col("prefix") == F.col("c_prefix")) & wide & lists, "left_semi").withColumn("is_covered", F.lit(True))
-    miss = queries.join(c, (F.col("prefix") == F.col("c_prefix")) & wide & lists, "left_anti").withColumn("is_covered", F.lit(False))
-    return hit.unionByName(miss)
+    """Adds ``is_covered``: some dump of the prefix has wider bounds and all the query's collections. The dumps of a prefix are one array, so that queries meet them once."""
+    dumps = coverage.where("prefix is not null").groupBy(F.col("prefix").alias("c_prefix")).agg(F.collect_list(F.struct("min_ts", "max_ts", "collections")).alias("c_dumps"))
+    wide = lambda c: (c["min_ts"].isNull() | (c["min_ts"] <= F.col("min_ts"))) & (c["max_ts"].isNull() | (c["max_ts"] >= F.col("max_ts")))
+    lists = lambda c: c["collections"].isNull() | (F.size(F.array_except("collections", c["collections"])) == 0)
+    hit = F.exists("c_dumps", lambda c: F.coalesce(wide(c) & lists(c), F.lit(False)))
+    return queries.join(dumps, F.col("prefix") == F.col("c_prefix"), "left").withColumn("is_covered", F.coalesce(hit, F.lit(False))).drop("c_prefix", "c_dumps")
+
+
+def with_prefixes(rows: DataFrame, prefixes: DataFrame, url: str = "url", name: str = "dumps") -> DataFrame:
+    """A row for each row and each of ``prefixes`` (prefix, ``name``) that its URL begins with, by equality: URLs are cut to the lengths that prefixes have. Those lengths
+    are gathered, a number each and no more than the longest prefix has letters."""
+    known = prefixes.where("prefix is not null")
+    lengths = sorted(r.n for r in known.select(F.length("prefix").alias("n")).distinct().collect())
+    cuts = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length(url))
+    return rows.withColumn("_n", F.explode(cuts)).withColumn("_cut", F.substring(F.col(url), F.lit(1), F.col("_n"))).join(known.withColumnRenamed("prefix", "_prefix"), F.col("_cut") == F.col("_prefix")).drop("_n", "_cut", "_prefix")
 
 
 def overlapping(collections: DataFrame, low: str | None, high: str | None, ids: list[str] | None = None) -> DataFrame:
@@ -56,13 +66,13 @@ def condition(tree: dict, params: Column) -> Column:
 
 
 def covered_exactly(queries: DataFrame, coverage: DataFrame) -> DataFrame:
-    """As ``covered``, by the stricter rule: a dump with a bound covers only queries that have that bound, and within it."""
-    c = coverage.select(F.col("prefix").alias("c_prefix"), F.col("min_ts").alias("c_min"), F.col("max_ts").alias("c_max"))
-    low = F.col("c_min").isNull() | F.coalesce(F.col("min_ts") >= F.col("c_min"), F.lit(False))
-    high = F.col("c_max").isNull() | F.coalesce(F.col("max_ts") <= F.col("c_max"), F.lit(False))
-    hits = c.withColumn("_hit", F.lit(True))
-    out = queries.join(hits, F.col("url").startswith(F.col("c_prefix")) & low & high, "left_semi").withColumn("is_covered", F.lit(True))
-    return out.unionByName(queries.join(hits, F.col("url").startswith(F.col("c_prefix")) & low & high, "left_anti").withColumn("is_covered", F.lit(False)))
+    """As ``covered``, by the stricter rule: a dump with a bound covers only queries that have that bound, and within it; and of URLs that begin with the prefix."""
+    dumps = coverage.where("prefix is not null").groupBy("prefix").agg(F.collect_list(F.struct("min_ts", "max_ts")).alias("dumps"))
+    inside = lambda c: (c["min_ts"].isNull() | F.coalesce(F.col("min_ts") >= c["min_ts"], F.lit(False))) & (c["max_ts"].isNull() | F.coalesce(F.col("max_ts") <= c["max_ts"], F.lit(False)))
+    asked = ("url", "min_ts", "max_ts")
+    hits = with_prefixes(queries.select(*asked).distinct(), dumps).where(F.exists("dumps", inside)).select(*(F.col(c).alias("c_" + c) for c in asked)).distinct().withColumn("_hit", F.lit(True))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col("c_" + c)) for c in asked))
+    return queries.join(hits, same, "left").withColumn("is_covered", F.coalesce("_hit", F.lit(False))).drop("_hit", *("c_" + c for c in asked))
 
 
 def split_valid(rows: DataFrame, expected: tuple[int, ...] = ()) -> DataFrame:
@@ -72,15 +82,21 @@ def split_valid(rows: DataFrame, expected: tuple[int, ...] = ()) -> DataFrame:
     return rows.withColumn("is_valid", valid).where(F.col("is_valid") | ~F.coalesce("exclude_invalid", F.lit(False)))
 
 
+#: Stamps of each kind in one row of a report: a URL with more has several rows, as it may have any number.
+LISTED = 1000
+
+
 def split_readable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows, report): index rows without unresolvable revisits and without stamps that are no time; and per request_url the stamps of both
-    kinds, sorted, null for none. Stamps of unavailable rows stay as they are."""
+    kinds, sorted, null for none, ``LISTED`` in a row (``part`` from 0 on). Stamps of unavailable rows stay as they are."""
     revisit = F.coalesce(F.col("mime") == "warc/revisit", F.lit(False))
     broken = ~revisit & F.try_to_timestamp("ts14", F.lit("yyyyMMddHHmmss")).isNull() & ~F.coalesce("unavailable", F.lit(False))
-    told = lambda kind: F.array_sort(F.collect_list(F.when(kind, F.coalesce("ts14", F.lit("")))))
-    report = rows.groupBy("request_url").agg(told(revisit).alias("r"), told(broken).alias("b"))
-    some = lambda c: F.when(F.size(c) > 0, F.col(c))
-    return rows.where(~revisit & ~broken), report.select("request_url", some("r").alias("unresolvable_revisits"), some("b").alias("invalid_timestamps")).where("unresolvable_revisits is not null or invalid_timestamps is not null")
+    kind = F.when(revisit, "unresolvable_revisits").when(broken, "invalid_timestamps")
+    odd = rows.select("request_url", kind.alias("kind"), F.coalesce("ts14", F.lit("")).alias("ts")).where("kind is not null")
+    placed = ordinals(odd, "ts", by=("request_url", "kind")).withColumn("part", F.expr(f"(place - 1) div {LISTED}"))
+    told = lambda k: F.array_sort(F.collect_list(F.when(F.col("kind") == k, F.col("ts")))).alias(k)
+    report = placed.groupBy("request_url", "part").agg(told("unresolvable_revisits"), told("invalid_timestamps"))
+    return rows.where(~revisit & ~broken), report.select("request_url", "part", *(F.when(F.size(k) > 0, F.col(k)).alias(k) for k in ("unresolvable_revisits", "invalid_timestamps")))
 
 
 def slash_filter(rows: DataFrame, mode: str) -> tuple[DataFrame, DataFrame]:
@@ -99,7 +115,7 @@ def crawl_queries(requests: DataFrame) -> DataFrame:
 
 def crawl_enabled(inputs: DataFrame, requests: DataFrame, prefixes: DataFrame) -> DataFrame:
     """(input_id, enabled): an input's flag is set, it names collections, or one of its URLs begins with a cached prefix."""
-    hit = requests.join(prefixes.select(F.col("prefix").alias("_p")), F.col("url").startswith(F.col("_p")), "left_semi").select("input_id").distinct().withColumn("_hit", F.lit(True))
+    hit = with_prefixes(requests.select("input_id", "url").distinct(), prefixes.select("prefix").distinct()).select("input_id").distinct().withColumn("_hit", F.lit(True))
     flag = F.coalesce("flag", F.lit(False)) | (F.coalesce(F.size("collections"), F.lit(0)) > 0) | F.coalesce("_hit", F.lit(False))
     return inputs.join(hit, "input_id", "left").select("input_id", flag.alias("enabled"))
 

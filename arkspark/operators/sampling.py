@@ -2,14 +2,29 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from arkspark.operators.ordinals import ordinals
+
 
 def active_ranges(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """(input_id, range_id, n): ranges with more captures of the input than their threshold."""
-    hit = rows.join(ranges, (F.col("ts14") >= F.col("start_ts")) & (F.col("ts14") <= F.col("end_ts")))
-    return hit.groupBy("input_id", "range_id", "threshold").agg(F.count("*").alias("n")).where("n > threshold").select("input_id", "range_id", "n")
+    """(input_id, range_id, start_ts, end_ts, n): ranges with more captures of the input than their threshold.
+
+    ``ranges`` (range_id, start_ts, end_ts, threshold) hold for every input, or, with a column input_id, each for its own (null: for every one). They
+    are configuration: an input's become one array that its rows count into. What is found limits captures by ``limit_captures``.
+    """
+    one = F.struct("range_id", "start_ts", "end_ts", "threshold")
+    hits = lambda name: F.filter(F.col(name), lambda r: (F.col("ts14") >= r["start_ts"]) & (F.col("ts14") <= r["end_ts"]))
+    named = ranges if "input_id" in ranges.columns else ranges.withColumn("input_id", F.lit(None).cast(rows.schema["input_id"].dataType))
+    own = named.where("input_id is not null").groupBy(F.col("input_id").alias("_id")).agg(F.collect_list(one).alias("_own"))
+    general = named.where("input_id is null").groupBy(F.lit(True).alias("_any")).agg(F.collect_list(one).alias("_general"))
+    rows = rows.select("input_id", "ts14").join(F.broadcast(own), F.col("input_id") == F.col("_id"), "left").withColumn("_true", F.lit(True)).join(F.broadcast(general), F.col("_true") == F.col("_any"), "left")
+    none = F.array().cast(general.schema["_general"].dataType)
+    hit = rows.select("input_id", F.explode(F.concat(F.coalesce(hits("_own"), none), F.coalesce(hits("_general"), none))).alias("r"))
+    return hit.groupBy("input_id", "r").agg(F.count("*").alias("n")).where("n > r.threshold").select("input_id", "r.range_id", "r.start_ts", "r.end_ts", "n")
 
 
 def clock_sample(rows: DataFrame, keys: tuple[str, ...], n: int) -> DataFrame:
@@ -28,8 +43,10 @@ def clock_sample(rows: DataFrame, keys: tuple[str, ...], n: int) -> DataFrame:
 
 def index_sample(rows: DataFrame, keys: tuple[str, ...], n: int) -> DataFrame:
     """Of each key n captures at even distances in order of (ts14, ord), ends included; the first if n is 1."""
-    order = Window.partitionBy(*keys).orderBy("ts14", "ord")
-    ranked = rows.withColumn("_i", F.row_number().over(order) - 1).withColumn("_m", F.count("*").over(Window.partitionBy(*keys)))
+    ranked = ordinals(rows, "ts14", "ord", by=keys, name="_i").withColumn("_i", (F.col("_i") - 1).cast("int"))
+    totals = ranked.groupBy(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(keys))).agg(F.count("*").alias("_m"))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(keys)))
+    ranked = ranked.join(totals, same).drop(*(f"_k{i}" for i in range(len(keys))))
     take = F.least(F.lit(n), F.col("_m"))
     if n == 1:
         hit = F.col("_i") == 0

@@ -117,8 +117,32 @@ def summary_rows(captures: DataFrame, deduplicated: bool = True) -> DataFrame:
 
 
 def upsert_summary(old: DataFrame, new: DataFrame) -> DataFrame:
-    """The global summary after a run: rows of paths that the run wrote are replaced, all are in the order of path, capture_ts and capture_index."""
-    return old.join(new.select("path").distinct(), "path", "left_anti").unionByName(new).orderBy("path", "capture_ts", "capture_index")
+    """The rows of the global summary after a run: those of paths that the run wrote are replaced."""
+    return old.join(new.select("path").distinct(), "path", "left_anti").unionByName(new)
+
+
+SUMMARY_PARTS = 64
+
+
+def write_summary(new: DataFrame, folder: str, parts: int = SUMMARY_PARTS) -> DataFrame:
+    """Put a run's rows (path, capture_ts, capture_index, ...) into the global summary in ``folder``, a table in ``parts`` parts by path, and read it back.
+
+    Only the parts that hold paths of the run are read and replaced, by Spark's staged write of partitions: a run that fails leaves the
+    summary as it was. Rows of a part are in the order of path, capture_ts and capture_index.
+    """
+    spark = new.sparkSession
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = store.exists(where)
+    new = new.withColumn("part", F.pmod(F.xxhash64("path"), F.lit(parts)).cast("int"))
+    rows = new
+    if there:
+        touched = [r.part for r in new.select("part").distinct().collect()]
+        old = spark.read.schema(new.schema).parquet(folder).where(F.col("part").isin(touched))
+        rows = upsert_summary(old, new)
+    rows = rows.repartition("part").sortWithinPartitions("part", "path", "capture_ts", "capture_index")
+    rows.write.partitionBy("part").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(folder)
+    return spark.read.schema(new.schema).parquet(folder).drop("part")
 
 
 def capture_counts(states: DataFrame) -> DataFrame:

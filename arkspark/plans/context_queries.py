@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from arkspark.functions import dates, scalars
 from arkspark.functions.archive_names import archive_name
 from arkspark.operators import archive_files, enrichment, joins, lookup, sampling, transforms, versions
+from arkspark.operators.ordinals import ordinals
 from arkspark.plans.queries import key_sql, query
-from arkspark.sources import catalogues
+from arkspark.sources import catalogues, outputs
 from arkspark.sources.captures import captures
 from arkspark.sources.files import new_folder
 
@@ -403,10 +404,9 @@ def summary_upserted(spark, d):
     rows = captures(spark, d).select(F.concat(F.lit("p"), "page_id").alias("path"), F.col("ts14").alias("capture_ts"), F.col("ord").alias("capture_index"), "page_id", "ord")
     columns = ("path", "capture_ts", "capture_index", "run")
     old, new = rows.where("ord % 2 = 0").withColumn("run", F.lit("old")).select(*columns), rows.where("ord % 3 = 0 and page_id % 2 = 0").withColumn("run", F.lit("new")).select(*columns)
-    from pyspark.sql import Window
-
-    ordered = versions.upsert_summary(old, new)
-    return ordered.withColumn("place", F.row_number().over(Window.orderBy("path", "capture_ts", "capture_index")))
+    folder = new_folder(spark, "summary") + "/rows"
+    versions.write_summary(old, folder)
+    return ordinals(versions.write_summary(new, folder), "path", "capture_ts", "capture_index")
 
 
 _STATES = "s AS (SELECT page_id, source, CASE WHEN ord % 7 = 0 THEN 'skipped' WHEN ord % 5 = 0 THEN 'unavailable' ELSE 'base' END AS state, status FROM caps)"
@@ -526,10 +526,7 @@ def prefix_queries_expanded(spark, d):
 
 @query(f"""WITH CAPS, k AS (SELECT ord, ts14, {_KEY} AS key, lower(url) AS low FROM caps) SELECT ord, row_number() OVER (ORDER BY ts14, key, low, ord) AS place FROM k""")
 def captures_ordered(spark, d):
-    from pyspark.sql import Window
-
-    ordered = sampling.capture_order(captures(spark, d))
-    return ordered.withColumn("place", F.row_number().over(Window.orderBy(*sampling.order_keys(), "ord"))).select("ord", "place")
+    return ordinals(captures(spark, d), *sampling.order_keys(), "ord").select("ord", "place")
 
 
 @query("""WITH CAPS, r AS (SELECT url AS request_url, count(*) FILTER (ord % 5 = 0) AS a, count(*) FILTER (ord % 50 = 1) AS b FROM caps GROUP BY url) SELECT request_url, nullif(a, 0) AS revisits, nullif(b, 0) AS duplicates FROM r WHERE a > 0 OR b > 0""")
@@ -547,3 +544,30 @@ def documents_in_full(spark, d):
     request = F.struct(F.when(o % 2 == 0, "POST").otherwise("GET").alias("method"), F.when(o % 2 == 0, F.array(F.struct(F.lit("a").alias("name"), F.lit("b").alias("value")))).alias("headers"))
     rows = captures(spark, d).select("ord", "status", "length", "source", request.alias("request"), F.when(o % 3 == 0, entry("revisit")).alias("revisit_entry"), F.when(o % 3 < 2, entry("unpatched")).alias("unpatched_entry"), entry("own").alias("entry"), F.when(o % 4 == 0, "gzip").alias("encoding"), F.lit(1).alias("content_length"))
     return versions.capture_documents(rows)
+
+
+@query("SELECT concat('site', page_id % 7, '/p', page_id, '.html') AS name, CAST(octet_length(encode(html)) AS BIGINT) AS size, sha256(html) AS sha256, true AS listed FROM pages")
+def files_written(spark, d):
+    """Contents written to files by name, read back from the store and held against what was said to be written."""
+    folder = new_folder(spark, "files")
+    page = F.col("page_id").cast("string")
+    rows = _table(spark, d, "pages").select(F.concat(F.lit("site"), (F.col("page_id") % 7).cast("string"), F.lit("/p"), page, F.lit(".html")).alias("name"), F.col("html").cast("binary").alias("content"))
+    written = outputs.write_files(rows, folder)
+    back = outputs.read_files(written, folder).select("name", "size", F.sha2("content", 256).alias("sha256"))
+    told = written.select("name", F.col("size").alias("told_size"), F.col("sha256").alias("told"))
+    return back.join(told, "name").select("name", "size", "sha256", ((F.col("told") == F.col("sha256")) & (F.col("told_size") == F.col("size"))).alias("listed"))
+
+
+@query("""WITH CAPS SELECT source AS input_id, ord, url, CASE WHEN ord % 2 = 0 THEN concat('a "', ord, '", ', chr(10), 'b') ELSE '' END AS note, last_modified14 FROM caps""")
+def summaries_written(spark, d):
+    """A CSV file for each input, read back: quotes, line ends, empty texts and nulls come back as they were."""
+    note = F.when(F.col("ord") % 2 == 0, F.concat(F.lit('a "'), F.col("ord").cast("string"), F.lit('", \nb'))).otherwise("")
+    rows = captures(spark, d).select("ord", "url", note.alias("note"), "last_modified14", F.col("source").alias("input_id"))
+    return outputs.write_by_input(rows, new_folder(spark, "summaries"), ("ord",))
+
+
+@query("""WITH CAPS SELECT source AS input_id, url, count(*) AS captures FROM caps GROUP BY 1, 2""")
+def documents_written(spark, d):
+    """JSON documents in a folder for each input, read back."""
+    rows = captures(spark, d).groupBy(F.col("source").alias("input_id"), "url").agg(F.count("*").alias("captures"))
+    return outputs.write_by_input(rows.select("url", "captures", "input_id"), new_folder(spark, "documents"), ("url",), "json")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from arkspark.functions import scalars, urls
 from arkspark.operators import classify as cls
-from arkspark.operators import duplicates, etags, joins, lookup, sampling
+from arkspark.operators import duplicates, enrichment, etags, joins, lookup, sampling
 from arkspark.sources.captures import CAPTURES_SQL, captures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -245,7 +245,20 @@ _RANGES_SQL = "r(range_id, start_ts, end_ts, threshold) AS (VALUES ('a','2024010
 
 @query(f"WITH CAPS, {_RANGES_SQL} SELECT source AS input_id, range_id, count(*) AS n FROM caps JOIN r ON ts14 BETWEEN start_ts AND end_ts GROUP BY source, range_id, threshold HAVING count(*) > threshold")
 def active_ranges(spark, d):
-    return sampling.active_ranges(captures(spark, d).withColumn("input_id", F.col("source")), _ranges(spark))
+    return sampling.active_ranges(captures(spark, d).withColumn("input_id", F.col("source")), _ranges(spark)).select("input_id", "range_id", "n")
+
+
+@query(f"""WITH CAPS, {_RANGES_SQL}, a AS (SELECT source, start_ts, end_ts FROM caps JOIN r ON ts14 BETWEEN start_ts AND end_ts AND (range_id <> 'a' OR source = 'wayback') GROUP BY source, range_id, start_ts, end_ts, threshold HAVING count(*) > threshold),
+s AS (SELECT *, EXISTS (SELECT 1 FROM a WHERE a.source = caps.source AND ts14 BETWEEN start_ts AND end_ts) AS inside FROM caps),
+i AS (SELECT *, substr(ts14, 1, 8) AS d, count(*) OVER (PARTITION BY source, url, substr(ts14, 1, 8)) AS n FROM s WHERE inside AND status = 200), t(target) AS (VALUES (360.0),(1080.0)),
+x AS (SELECT ord, row_number() OVER (PARTITION BY source, url, d, target ORDER BY abs(CAST(substr(ts14, 9, 2) AS INT) * 60 + CAST(substr(ts14, 11, 2) AS INT) - target), ts14, ord) AS rn FROM i CROSS JOIN t WHERE n > 2),
+k AS (SELECT source, url, ts14, ord FROM s WHERE NOT inside UNION ALL SELECT source, url, ts14, ord FROM i WHERE n <= 2 UNION ALL SELECT source, url, ts14, ord FROM s WHERE ord IN (SELECT ord FROM x WHERE rn = 1))
+SELECT min(ord) AS ord FROM k GROUP BY source, url, ts14""")
+def ranges_limiting(spark, d):
+    """Each input's ranges, one of them for one input alone, checked against their thresholds; those that hold more limit that input's captures."""
+    rows = captures(spark, d).withColumn("input_id", F.col("source")).withColumn("request_url", F.concat_ws(" ", "source", "url"))
+    ranges = _ranges(spark).withColumn("input_id", F.when(F.col("range_id") == "a", "wayback"))
+    return sampling.limit_captures(rows, sampling.active_ranges(rows, ranges).select("input_id", "start_ts", "end_ts"), 2).select("ord")
 
 
 _NEAR = "t(target) AS (VALUES (180.0),(540.0),(900.0),(1260.0))"
@@ -328,20 +341,24 @@ _PERIODS_SQL = "p(provider, from_ts, to_ts, name, ord) AS (VALUES ('wayback','20
 @query(f"WITH CAPS, {_PERIODS_SQL} SELECT c.ord, arg_min(p.name, p.ord) AS crawler FROM caps c LEFT JOIN p ON p.provider = c.source AND c.ts14 BETWEEN p.from_ts AND p.to_ts GROUP BY c.ord")
 def crawler_periods(spark, d):
     periods = spark.createDataFrame(_PERIODS, "provider string, from_ts string, to_ts string, name string, ord int")
-    return joins.crawler_periods(captures(spark, d), periods).select("ord", "crawler")
+    out = enrichment.with_period(captures(spark, d), periods.select(F.col("provider").alias("key"), F.col("from_ts").alias("from"), F.col("to_ts").alias("to"), "name", "ord"), F.col("source"), ("name",))
+    return out.select("ord", F.col("period.name").alias("crawler"))
 
 
 @query(f"WITH CAPS, {_PERIODS_SQL}, n AS (SELECT DISTINCT provider FROM p WHERE provider = 'wayback') SELECT c.ord, n.provider IS NOT NULL AS has_override, (SELECT arg_min(p.name, p.ord) FROM p WHERE p.provider = 'wayback' AND c.source = p.provider AND c.ts14 BETWEEN p.from_ts AND p.to_ts) AS override FROM caps c LEFT JOIN n ON n.provider = c.source")
 def override_periods(spark, d):
     rows = [(p, a, b, n, o) for p, a, b, n, o in _PERIODS if p == "wayback"]
     overrides = spark.createDataFrame(rows, "name string, from_ts string, to_ts string, value string, ord int")
-    return joins.override_periods(captures(spark, d).withColumn("name", F.col("source")), overrides).select("ord", "has_override", "override")
+    none = F.lit(None).cast("string")
+    listed = overrides.select(F.col("name").alias("key"), F.col("from_ts").alias("from"), F.col("to_ts").alias("to"), F.col("value").alias("crawlerHostname"), none.alias("crawlerIpAddress"), none.alias("protocol"), F.lit(None).cast("array<array<string>>").alias("headers"), "ord")
+    return enrichment.overrides_of(captures(spark, d).withColumn("crawler_name", F.col("source")), listed).select("ord", "has_override", F.col("override.crawlerHostname").alias("override"))
 
 
 @query("WITH CAPS SELECT ord, CASE WHEN collection IS NULL THEN NULL WHEN collection = 'CC-MAIN-2024-1' THEN 'one' ELSE 'all' END AS value FROM caps")
 def prefix_rules(spark, d):
     rules = spark.createDataFrame([("cc-main-2024-1", "one", 0), ("CC-MAIN", "all", 1), ("CC", "never", 2)], "prefix string, value string, ord int")
-    return joins.prefix_rules(captures(spark, d), rules).select("ord", "value")
+    always = rules.select(F.col("prefix").alias("key"), F.lit("0").alias("from"), F.lit("9").alias("to"), F.col("value").alias("protocol"), F.lit(None).cast("array<array<string>>").alias("headers"), "ord")
+    return enrichment.prefix_periods(captures(spark, d).withColumn("crawl_identifier", F.col("collection")), always).select("ord", F.col("principal.protocol").alias("value"))
 
 
 @query(r"""WITH CAPS, q AS (SELECT DISTINCT regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_replace(url, '^[a-z]+://[^/?#]*', '') AS rest, url, min(ts14) OVER (PARTITION BY url) AS lo, max(ts14) OVER (PARTITION BY url) AS hi FROM caps)
@@ -366,11 +383,11 @@ def shared_digests_repaired(spark, d):
     return joins.repair_shared(rows).select("ord", "sha", "type")
 
 
-@query("""WITH CAPS, a AS (SELECT url, ord, ts14, digest, row_number() OVER (PARTITION BY url ORDER BY ts14, ord) AS rn FROM caps WHERE source = 'wayback'), b AS (SELECT url, ord, ts14, digest, row_number() OVER (PARTITION BY url ORDER BY ts14, ord) AS rn FROM caps WHERE source <> 'wayback')
-SELECT coalesce(a.url, b.url) AS request_url, coalesce(a.rn, b.rn) AS rn, a.ord AS a_ord, b.ord AS b_ord, a.ts14 IS NOT DISTINCT FROM b.ts14 AND a.digest IS NOT DISTINCT FROM b.digest AS ok FROM a FULL JOIN b ON a.url = b.url AND a.rn = b.rn""")
+@query("""WITH CAPS, a AS (SELECT url, ord, ts14, digest, length, row_number() OVER (PARTITION BY url ORDER BY ts14, ord) AS rn FROM caps WHERE source = 'wayback'), b AS (SELECT url, ord, ts14, digest, length, row_number() OVER (PARTITION BY url ORDER BY ts14, ord) AS rn FROM caps WHERE source <> 'wayback')
+SELECT coalesce(a.url, b.url) AS request_url, coalesce(a.rn, b.rn) AS rn, a.ord AS a_ord, b.ord AS b_ord, a.ts14 IS NOT DISTINCT FROM b.ts14 AND a.digest IS NOT DISTINCT FROM b.digest AND a.length IS NOT DISTINCT FROM b.length AND a.url IS NOT DISTINCT FROM b.url AS ok FROM a FULL JOIN b ON a.url = b.url AND a.rn = b.rn""")
 def listings_zipped(spark, d):
     rows = _with_request(spark, d)
-    return joins.positional(rows.where("source = 'wayback'"), rows.where("source <> 'wayback'")).select("request_url", F.col("rn").cast("long"), "a_ord", "b_ord", "ok")
+    return joins.positional(rows.where("source = 'wayback'"), rows.where("source <> 'wayback'"), compared=("ts14", "digest", "length", "url")).select("request_url", F.col("rn").cast("long"), "a_ord", "b_ord", "ok")
 
 
 @query("WITH CAPS SELECT digest, arg_min(ord, ord + CASE WHEN status = 200 THEN 0 ELSE 1000000000 END) AS ord FROM caps GROUP BY digest")
@@ -396,13 +413,6 @@ def classified(spark, d):
     return cls.classify(rows, ("erth the",)).select("ord", "type")
 
 
-@query("""WITH CAPS, r AS (SELECT ord, CASE WHEN ord % 7 = 0 THEN concat('http://\\', substr(url, 8)) ELSE split_part(split_part(url, '#', 1), '?', 1) END AS url, concat(split_part(split_part(url, '#', 1), '?', 1), '/') AS request, status FROM caps WHERE url LIKE 'http://%')
-SELECT ord, CASE WHEN url LIKE 'http://\\%' THEN regexp_replace(url, '^http://\\\\+', 'http://') WHEN status = 200 AND NOT url LIKE '%/' AND concat(url, '/') = request THEN concat(url, '/') ELSE url END AS url,
-CAST(CASE WHEN url LIKE 'http://\\%' OR (status = 200 AND NOT url LIKE '%/' AND concat(url, '/') = request) THEN 1 ELSE 0 END AS INT) AS n FROM r""")
-def corrected(spark, d):
-    return _corrections(captures(spark, d).where("url like 'http://%'"))
-
-
 @query("""WITH CAPS, r AS (SELECT ord, CASE WHEN ord % 7 = 0 AND url LIKE 'http://%' THEN concat('http://\\', substr(url, 8)) ELSE split_part(split_part(url, '#', 1), '?', 1) END AS url, concat(split_part(split_part(url, '#', 1), '?', 1), '/') AS request, status FROM caps)
 SELECT ord, CASE WHEN url LIKE 'http://\\%' THEN regexp_replace(url, '^http://\\\\+', 'http://') WHEN status = 200 AND NOT url LIKE '%/' AND concat(url, '/') = request THEN concat(url, '/') ELSE url END AS url,
 CAST(CASE WHEN url LIKE 'http://\\%' OR (status = 200 AND NOT url LIKE '%/' AND concat(url, '/') = request) THEN 1 ELSE 0 END AS INT) AS n FROM r""")
@@ -450,11 +460,6 @@ def header_names(spark, d):
     return e.select("event_id", scalars.header_case(F.concat("event_type", F.lit("-ID")), F.lit("Apache/2"), F.lit(2020)).alias("name"), scalars.mime_type(F.lit(" text/html ; charset=x"), F.lit("a/b")).alias("mime"))
 
 
-@query("SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) + 1 AS modified, true AS found FROM events WHERE event_id % 10 = 0")
-def etag_round_trip(spark, d):
-    return _etags_found(spark.read.parquet(f"{d}/events.parquet").where("event_id % 10 = 0"))
-
-
 @query("SELECT event_id, CAST(epoch(date_trunc('second', ts)) AS BIGINT) + 1 AS modified, true AS found FROM events")
 def etag_round_trip_all(spark, d):
     return _etags_found(spark.read.parquet(f"{d}/events.parquet"))

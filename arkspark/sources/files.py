@@ -29,6 +29,16 @@ def open_file(path: str, mode: str = "r") -> Iterator:
         yield stream
 
 
+def make_folder(path: str) -> None:
+    """The folder and those above it, where the store has folders."""
+    kind = urlparse(path).scheme
+    if kind in ("", "file"):
+        fs, name = pafs.LocalFileSystem(), unquote(urlparse(path).path) if kind else path
+    else:
+        fs, name = pafs.FileSystem.from_uri(ARROW_SCHEMES.get(kind, kind) + path[len(kind) :])
+    fs.create_dir(name, recursive=True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A new folder under ``spark.checkpoint.dir``; where that is unset, a temporary one in local mode, else an error.
     Deleted when Python ends. Its name has a scheme."""
