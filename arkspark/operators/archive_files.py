@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arkspark.functions.archive_names import FAMILIES, archive_name
 
 
-@lru_cache(maxsize=8)
-def _reading(families: tuple[str, ...], context: int) -> Column:
-    """The expression over _name and _stamp: of some thousand parts, so that it is built once for a Spark context."""
+@lru_cache(maxsize=16)
+def _reading(families: tuple[str, ...], application: str) -> Column:
+    """The expression over _name and _stamp: of some thousand parts, so that it is built once for a Spark application."""
     return archive_name(F.col("_name"), F.col("_stamp"), families)
 
 
@@ -26,7 +25,7 @@ def with_archive_names(df: DataFrame, name: str = "filename", stamp: str | None
     # Few bytes, but long to read: spread out, as Spark would put small partitions together.
     spread = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
     known = df.select(*keys).where("_name is not null").distinct().repartition(spread)
-    read = known.withColumn("archive_file", _reading(families, id(SparkContext._active_spark_context)))
+    read = known.withColumn("archive_file", _reading(families, df.sparkSession.sparkContext.applicationId))
     same = F.col(name).eqNullSafe(F.col("_name"))
     if stamp:
         same = same & F.col(stamp).cast("string").eqNullSafe(F.col("_stamp"))

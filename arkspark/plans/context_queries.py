@@ -445,10 +445,10 @@ def requests_told(spark, d):
     return versions.request_of(rows, told).select("ord", r["method"].alias("method"), r["protocol"].alias("protocol"), F.get(r["headers"], F.lit(0))["name"].alias("header"), r["partial"].alias("partial"))
 
 
-@query("""WITH CAPS SELECT concat('2013', substr(ts14, 5)) AS capture_ts, concat('WIDE-20130320035939-crawl338/WIDE-', concat('2013', substr(ts14, 5)), '-', lpad(CAST(ord AS VARCHAR), 5, '0'), '.warc.gz') AS archive_filename, 'WIDE' AS crawl_id, 'wayback-2012' AS type, 'internetarchive' AS provider, CAST(1 AS DOUBLE) AS confidence FROM caps""")
+@query("""WITH CAPS SELECT concat('2013', substr(ts14, 5)) AS capture_ts, concat('FOCUS-20130405060708-crawl512/FOCUS-', concat('2013', substr(ts14, 5)), '-', lpad(CAST(ord AS VARCHAR), 5, '0'), '.warc.gz') AS archive_filename, 'FOCUS' AS crawl_id, 'wayback-2012' AS type, 'internetarchive' AS provider, CAST(1 AS DOUBLE) AS confidence FROM caps""")
 def name_report(spark, d):
     stamp = F.concat(F.lit("2013"), F.substring("ts14", 5, 10))
-    rows = captures(spark, d).select(stamp.alias("capture_ts"), "url", F.concat(F.lit("WIDE-20130320035939-crawl338/WIDE-"), stamp, F.lit("-"), F.lpad(F.col("ord").cast("string"), 5, "0"), F.lit(".warc.gz")).alias("archive_filename"))
+    rows = captures(spark, d).select(stamp.alias("capture_ts"), "url", F.concat(F.lit("FOCUS-20130405060708-crawl512/FOCUS-"), stamp, F.lit("-"), F.lpad(F.col("ord").cast("string"), 5, "0"), F.lit(".warc.gz")).alias("archive_filename"))
     return archive_files.name_report(rows).drop("url")
 
 
