@@ -605,6 +605,28 @@ FAMILIES: dict[str, Callable[[Name], list[Column]]] = {
 }
 
 
+#: What a name must hold for a layout of the family to fit: one search of the whole name each, so that names are read by the families that may fit alone.
+SIGNS: dict[str, str] = {
+    "alexa": r"(?:^|/)(?:(?:[A-Z]{2}|F2|IA-E96)-\d+[A-Z]?\.|(?:" + "|".join(IDENTIFIERS_1998) + r"|2000|test|short|crc|Recy|IMG_A)[^/]*-[1-9]\d*(?:\.|$)|(?:crc|arc)\d+\.\d{14}|[^/]*_(?:arc|crc|crawl|alexa)\d+_?\.\d{14}|\d+_\d+_\d{14}_crawl)",
+    "compaq": r"(?:^|/)(?:(?:aug|image)-\d{12}|IMG_X|unique\.\d{14})",
+    "commoncrawl": r"^(?:crawl-data/CC-MAIN-|parse-output|crawl-00[12])|\d{13}_\d+-c/",
+    "generic": r"-(?:19|20)\d{12}[^/]*$",
+    "playback": r"(?:wb_robots|wb_urls)[^/]*$|(?:^|[/-])ia\d+[^/]*\.\d{14}|-\d{14}-\d{5}|(?:^|/)(?:live|spn2)-",
+    "specialised": r"^portuguese-web-archive|(?:^|/)(?:INA-HISTORICAL|CDL)-",
+    "team": r"^(?:archiveteam_|warc-)",
+    "subscribed": r"(?:^|/)ARCHIVEIT-",
+}
+
+
+def may_be_of(name: Column, families: tuple[str, ...] = tuple(FAMILIES)) -> Column:
+    """The families of which a layout may fit the name, as bits in their order."""
+    bits = [F.when(name.rlike(SIGNS[f]), F.lit(1 << i)).otherwise(F.lit(0)) for i, f in enumerate(families)]
+    out = F.lit(0)
+    for b in bits:
+        out = out.bitwiseOR(b)
+    return out
+
+
 def archive_name_candidates(name: Column, stamp: Column | None = None, families: tuple[str, ...] = tuple(FAMILIES)) -> Column:
     """All readings of a name, best first, equal scores in the order of ``FAMILIES``: an array of (confidence, layout,
     record_format, details).
@@ -616,11 +638,13 @@ def archive_name_candidates(name: Column, stamp: Column | None = None, families:
     def readings(parts: Column) -> Column:
         n = Name(parts)
 
-        def with_generic(generic: Column) -> Column:
+        def with_generic(generic: Column | None) -> Column:
             n.generic = generic
             layouts = [reading for key, family in FAMILIES.items() if key in families for reading in family(n)]
             return F.array(*layouts)
 
+        if {"generic", "specialised"}.isdisjoint(families):
+            return with_generic(None)
         return bind(_generic(n.base, n.format), with_generic)
 
     found = F.filter(bind(Name.parts(name, F.lit(None).cast("string") if stamp is None else stamp), readings), lambda x: x.isNotNull())

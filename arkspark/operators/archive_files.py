@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arkspark.functions.archive_names import FAMILIES, archive_name
+from arkspark.functions.archive_names import FAMILIES, FIELDS, archive_name, may_be_of
+from arkspark.sources.files import written
+
+_READING = "struct<confidence:double,layout:string,record_format:string,details:struct<" + ",".join(f"{name}:{kind}" for name, kind in FIELDS) + ">>"
 
 
 @lru_cache(maxsize=16)
@@ -19,19 +22,31 @@ def _reading(families: tuple[str, ...], application: str) -> Column:
 def with_archive_names(df: DataFrame, name: str = "filename", stamp: str | None = None, families: tuple[str, ...] = tuple(FAMILIES)) -> DataFrame:
     """``df`` with archive_file, the best reading of each name, null where none fits; and archive_file_error.
 
-    Each distinct name (with its stamp, if given) is read once. Null names stay, unread.
+    Each distinct name (with its stamp, if given) is read once, by the families of which a layout may fit it; a family that no name of the table
+    may be of isn't planned. Null names stay, unread.
     """
     keys = [F.col(name).alias("_name"), (F.col(stamp) if stamp else F.lit(None)).cast("string").alias("_stamp")]
+    known = written(df.select(*keys).where("_name is not null").distinct().withColumn("_of", may_be_of(F.col("_name"), families)), "names")
+    seen = known.agg(*(F.coalesce(F.max(F.col("_of").bitwiseAND(1 << i)), F.lit(0)) for i in range(len(families)))).first()
     # Few bytes, but long to read: spread out, as Spark would put small partitions together.
     spread = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.sparkSession.sparkContext.defaultParallelism)
-    known = df.select(*keys).where("_name is not null").distinct().repartition(spread)
-    read = known.withColumn("archive_file", _reading(families, df.sparkSession.sparkContext.applicationId))
+    application = df.sparkSession.sparkContext.applicationId
+    known_end = F.lower(F.col(name)).rlike(r"\.w?arc(\.zst)?(\.gz)?$")
+    error = F.when(F.col(name).isNotNull() & ~known_end, F.lit("unknown record format"))
+    readings = [
+        known.where(F.col("_of").bitwiseAND(1 << i) > 0).select("_name", "_stamp").repartition(spread).select("_name", "_stamp", F.lit(i).alias("_place"), _reading((family,), application).alias("archive_file"))
+        for i, family in enumerate(families)
+        if seen[i]
+    ]
+    if not readings:
+        return df.withColumns({"archive_file": F.lit(None).cast(_READING), "archive_file_error": error})
+    found = reduce(DataFrame.unionByName, readings).where("archive_file is not null")
+    # Of equal scores the first in the order of the families.
+    best = found.groupBy("_name", "_stamp").agg(F.min_by("archive_file", F.struct(-F.col("archive_file.confidence"), "_place")).alias("archive_file"))
     same = F.col(name).eqNullSafe(F.col("_name"))
     if stamp:
         same = same & F.col(stamp).cast("string").eqNullSafe(F.col("_stamp"))
-    out = df.join(read, same, "left").drop("_name", "_stamp")
-    known_end = F.lower(F.col(name)).rlike(r"\.w?arc(\.zst)?(\.gz)?$")
-    return out.withColumn("archive_file_error", F.when(F.col(name).isNotNull() & ~known_end, F.lit("unknown record format")))
+    return df.join(best, same, "left").drop("_name", "_stamp").withColumn("archive_file_error", error)
 
 
 def name_report(rows: DataFrame) -> DataFrame:

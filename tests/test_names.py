@@ -2,13 +2,15 @@
 
 import gzip
 import io
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from arkspark.functions import headers, urls
-from arkspark.functions.archive_names import FAMILIES, archive_name_candidates
+from arkspark.functions.archive_names import FAMILIES, archive_name, archive_name_candidates, may_be_of
 from arkspark.operators import archive_files, records, transforms
+from arkspark.plans import name_queries
 from arkspark.sources import archives
 
 #: Made-up names: name, stamp of a capture in it, layout and score, and fields.
@@ -48,6 +50,22 @@ def test_archive_names(spark):
             assert {k: read.details[k] for k in fields} == fields, name
 
 
+def test_signs_hide_no_reading(spark):
+    """Of names of all layouts, whole and spoilt, no family reads one that its sign leaves out."""
+    draw = random.Random(3)
+    caps = spark.createDataFrame([(i, f"2024{1 + i % 12:02d}{1 + i % 28:02d}{i % 24:02d}{i % 60:02d}00") for i in range(20)], "ord long, ts14 string")
+    layouts = [x[1] for group in (name_queries._EARLY, name_queries._CRAWLS, name_queries._PLAYBACK, name_queries._SUBSCRIBED) for x in group]
+    names = [v for r in caps.select(*(F.expr(e).alias(f"n{i}") for i, e in enumerate(layouts))).collect() for v in r] + [n for n, *_ in NAMES]
+    for n in names[:]:
+        at = draw.randrange(len(n) + 1)
+        names += [n[:at] + draw.choice("-_.0aZ/") + n[at:], n[at:], n[:at] + n[at + 1 :], draw.choice(("a/", "x/y/", "")) + n]
+    rows = spark.createDataFrame([(n,) for n in sorted(set(names))], "name string").repartition(4)
+    for family in FAMILIES:
+        read = rows.select("name", may_be_of(F.col("name"), (family,)).alias("of"), archive_name(F.col("name"), None, (family,)).alias("r"))
+        missed, hit = read.agg(F.count_if((F.col("of") == 0) & F.col("r").isNotNull()), F.count_if(F.col("r").isNotNull())).first()
+        assert missed == 0 and hit, family
+
+
 def test_equal_scores_keep_the_order_of_families(spark):
     name = F.lit("CDL-20090203040506-00042-dp08.warc.gz")
     read = spark.range(1).select(archive_name_candidates(name).alias("c")).first().c
