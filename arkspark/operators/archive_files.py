@@ -77,6 +77,12 @@ def with_file_statistics(captures: DataFrame, statistics: DataFrame) -> DataFram
     return captures.join(right, (item == F.col("_item")) & (file == F.col("_file")), "left").drop("_item", "_file")
 
 
+def with_object_statistics(captures: DataFrame, statistics: DataFrame) -> DataFrame:
+    """The same of statistics of a store's objects, whose whole names captures have as filename."""
+    right = statistics.select(F.col("file").alias("_file"), F.col("size").alias("archive_size"), F.col("md5").alias("archive_md5"), F.col("modified").alias("archive_modified"))
+    return captures.join(right, F.col("filename") == F.col("_file"), "left").drop("_file")
+
+
 def archive_counts(details: DataFrame) -> DataFrame:
     """(item, warc_files, arc_files) of a catalogue of items (item, files, warc_files, arc_files): given counts stay, missing ones are counted."""
     count = lambda end: F.size(F.filter(F.coalesce("files", F.array()), lambda f: F.lower(f["name"]).endswith(end))).cast("long")

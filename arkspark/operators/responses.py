@@ -2,31 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arkspark.functions.headers import iis_version
 from arkspark.functions.scalars import content_length, header_value, uncompressed_length
 
-#: Server versions that share the default MIME types of 6.0.
-SAME_DEFAULTS = {"7.0": "6.0", "7.5": "6.0", "8.0": "6.0", "8.5": "6.0"}
+#: Of a server version the tables, by their names, that hold its default MIME types; the first one's "*" is for extensions that none has.
+#: Versions that aren't listed have a table of their own name.
+TABLES_OF = {version: ("6.0", "6.0rtm", "6.0rc1", "6.0sp2") for version in ("6.0", "7.0", "7.5", "8.0", "8.5")}
 
 
-def with_default_mime(rows: DataFrame, defaults: DataFrame) -> DataFrame:
+def mime_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """(version, ext, mime) of the CSV files (ext, mime) in the folders ``version=...`` of a folder."""
+    return spark.read.schema("ext string, mime string, version string").csv(folder, header=True)
+
+
+def defaults_by_version(tables: DataFrame, tables_of: dict[str, tuple[str, ...]] = TABLES_OF) -> DataFrame:
+    """(version, ext, mimes, star) of every version that has a table, itself or by those of which it takes its types; ``mimes`` is null for none, ``star`` the types of
+    unknown extensions, in one row per version with a null ext."""
+    spark = tables.sparkSession
+    inherited = spark.createDataFrame([(v, t, i) for v, names in tables_of.items() for i, t in enumerate(names)], "version string, table string, place int")
+    named = tables.where("version is not null and ext is not null and mime is not null").select(F.col("version").alias("table"), F.lower("ext").alias("ext"), "mime")
+    own = named.select("table").distinct().where(~F.col("table").isin(*tables_of)).select(F.col("table").alias("version"), "table", F.lit(0).alias("place"))
+    rows = named.join(F.broadcast(inherited.unionByName(own)), "table")
+    known = rows.where("ext <> '*'").groupBy("version", "ext").agg(F.collect_set("mime").alias("mimes"))
+    first = rows.where("ext = '*'").groupBy("version", "place").agg(F.collect_set("mime").alias("mimes")).groupBy("version").agg(F.min_by("mimes", "place").alias("mimes"))
+    every = rows.select("version").distinct().join(first, "version", "left").select("version", F.lit(None).cast("string").alias("ext"), F.coalesce("mimes", F.array().cast("array<string>")).alias("mimes"))
+    return known.unionByName(every)
+
+
+def with_default_mime(rows: DataFrame, defaults: DataFrame, tables_of: dict[str, tuple[str, ...]] = TABLES_OF) -> DataFrame:
     """``rows`` (filename, mime, server, ...) with default_mime: whether that server gives that MIME type to the file's extension.
 
-    ``defaults`` (version, ext, mime) has a row "*" for extensions that a version doesn't know. "text/html" always counts, as error
-    pages have it; servers of other kinds and versions without rows have no defaults.
+    ``defaults`` (version, ext, mime), as ``mime_tables`` reads them, has a row "*" for extensions that a version doesn't know; a version may take its types of
+    several tables. "text/html" always counts, as error pages have it; servers of other kinds and versions without rows have no defaults. The tables are configuration, so that
+    rows look them up where they are.
     """
-    version = iis_version(F.col("server"))
-    for other, same in SAME_DEFAULTS.items():
-        version = F.when(version == other, same).otherwise(version)
-    own = rows.withColumn("_version", version).withColumn("_ext", F.lower(F.substring_index("filename", ".", -1)))
-    table = defaults.groupBy(F.col("version").alias("_version"), F.col("ext").alias("_ext")).agg(F.collect_set("mime").alias("_mimes"))
-    star = table.where("_ext = '*'").select("_version", F.col("_mimes").alias("_star"))
-    out = own.join(table, ["_version", "_ext"], "left").join(star, "_version", "left")
-    known = F.array_contains(F.coalesce("_mimes", "_star"), F.col("mime"))
-    return out.withColumn("default_mime", F.coalesce(F.col("_star").isNotNull() & ((F.col("mime") == "text/html") | known), F.lit(False))).drop("_version", "_ext", "_mimes", "_star")
+    told = defaults_by_version(defaults, tables_of)
+    own = rows.withColumn("_version", iis_version(F.col("server"))).withColumn("_ext", F.lower(F.substring_index("filename", ".", -1)))
+    known = told.where("ext is not null").select(F.col("version").alias("_version"), F.col("ext").alias("_ext"), F.col("mimes").alias("_mimes"))
+    star = told.where("ext is null").select(F.col("version").alias("_version"), F.col("mimes").alias("_star"))
+    out = own.join(F.broadcast(known), ["_version", "_ext"], "left").join(F.broadcast(star), "_version", "left")
+    fits = F.array_contains(F.coalesce("_mimes", "_star"), F.col("mime"))
+    return out.withColumn("default_mime", F.coalesce(F.col("_star").isNotNull() & ((F.col("mime") == "text/html") | fits), F.lit(False))).drop("_version", "_ext", "_mimes", "_star")
 
 
 def with_contents(captures: DataFrame, downloads: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from arkspark.operators import documents, lookup, transforms
 from arkspark.plans.queries import key_sql, query
 from arkspark.sources import indexes
 from arkspark.sources.captures import captures
+from arkspark.sources.files import new_folder
 
 _INDEXED = f"k AS (SELECT *, {key_sql('url')} AS urlkey FROM caps)"
 
@@ -47,6 +48,46 @@ def index_crawl(spark, d):
     return indexes.parse_crawl_index(lines, F.col("collection"), F.col("url")).select("ts14", "url", "status", "digest", "length", "offset", "collection")
 
 
+@query(f"""WITH CAPS, {_INDEXED} SELECT source, urlkey, ts14, url, CASE WHEN status <> 301 THEN CAST(status AS BIGINT) END AS status, digest, CASE WHEN source = 'wayback' THEN length END AS length, CASE WHEN source <> 'wayback' THEN ord END AS "offset" FROM k""")
+def index_text_files(spark, d):
+    """Text indexes written as a file for each source, each with a header of its own, and read from the store."""
+    rows = _index_rows(spark, d)
+    status = F.when(F.col("status") == 301, "-").otherwise(F.col("status").cast("string"))
+    mime = F.lit("text/html")
+    wayback = F.concat_ws(" ", "urlkey", "ts14", "url", mime, status, "digest", F.lit("-"), F.col("length").cast("string"))
+    crawl = F.concat_ws(" ", "ts14", "urlkey", mime, "url", status, F.lit("x"), F.col("ord").cast("string"), "digest")
+    lines = rows.select("source", F.when(F.col("source") == "wayback", wayback).otherwise(crawl).alias("value"))
+    heads = rows.select("source", F.when(F.col("source") == "wayback", " CDX N b a m s k r S").otherwise(" CDX b N m a s r V k").alias("value")).distinct()
+    folder = new_folder(spark, "indexes")
+    heads.unionByName(lines).repartition("source").write.mode("overwrite").partitionBy("source").text(folder)
+    read = indexes.parse_cdx(indexes.lines_of(spark, folder).select("path", "value"))
+    return read.select(F.regexp_extract("path", "source=([^/]*)", 1).alias("source"), "urlkey", "ts14", "url", "status", "digest", "length", "offset")
+
+
+@query(f"""WITH CAPS, {_INDEXED} SELECT page_id, ts14, url, CASE WHEN status <> 301 THEN CAST(status AS BIGINT) END AS status, digest, length, urlkey FROM k""")
+def index_json_files(spark, d):
+    """JSON indexes, one file for each page with a header row and a key to go on from, read whole from the store."""
+    row = F.array("ts14", "url", F.when(F.col("status") == 301, "-").otherwise(F.col("status").cast("string")), "digest", F.lit("text/html"), F.col("length").cast("string"), "urlkey")
+    head = F.array(F.array(*(F.lit(x) for x in indexes.WAYBACK_FIELDS[:7])))
+    files = _index_rows(spark, d).groupBy("page_id").agg(F.collect_list(row).alias("rows"))
+    folder = new_folder(spark, "indexes")
+    end = F.array(F.array().cast("array<string>"), F.array(F.lit("key)")))
+    files.select("page_id", F.to_json(F.concat(head, "rows", end)).alias("value")).repartition("page_id").write.mode("overwrite").partitionBy("page_id").text(folder)
+    read = indexes.parse_cdx_json(indexes.lines_of(spark, folder, whole=True), indexes.WAYBACK_FIELDS, resume=True)
+    return read.select(F.regexp_extract("path", "page_id=([0-9]+)", 1).cast("long").alias("page_id"), "ts14", "url", "status", "digest", "length", "urlkey")
+
+
+@query("""WITH CAPS SELECT ts14, url, CAST(status AS BIGINT) AS status, digest, length, ord AS "offset", collection FROM caps WHERE source = 'commoncrawl' AND ord % 13 <> 0""")
+def index_crawl_files(spark, d):
+    """Line-wise JSON indexes in a folder for each collection, read from the store; broken lines go."""
+    text = F.to_json(F.struct(F.col("ts14").alias("timestamp"), "url", F.col("status").cast("string").alias("status"), "digest", F.col("length").cast("string").alias("length"), F.col("ord").cast("string").alias("offset")))
+    rows = captures(spark, d).where("source = 'commoncrawl'").select("collection", F.when(F.col("ord") % 13 == 0, F.concat(F.lit("<"), text)).otherwise(text).alias("value"))
+    folder = new_folder(spark, "indexes")
+    rows.write.mode("overwrite").partitionBy("collection").text(folder)
+    lines = indexes.lines_of(spark, folder)
+    return indexes.parse_crawl_index(lines, F.regexp_extract("path", "collection=([^/]*)", 1), F.lit("")).select("ts14", "url", "status", "digest", "length", "offset", "collection")
+
+
 @query(r"""WITH CAPS SELECT DISTINCT regexp_replace(regexp_replace(url, '^(https?://)www\d*\.', '\1'), '^(https?://[^/]+):(80|443)(/|$)', '\1\3') AS url FROM caps""")
 def index_urls(spark, d):
     return indexes.url_list(captures(spark, d).select(F.concat(F.lit(" "), "url", F.lit("¦"), F.col("ord").cast("string")).alias("value")), normalise=True)

@@ -9,6 +9,7 @@ from arkspark.operators import classify as cls
 from arkspark.operators import duplicates, etags, records, responses
 from arkspark.plans.queries import query
 from arkspark.sources.captures import captures
+from arkspark.sources.files import new_folder
 
 _REQUEST = "concat(regexp_replace(url, '[?#].*$', ''), CASE WHEN page_id % 3 = 0 THEN '/' ELSE '' END)"
 _PATH = "lower(CASE WHEN regexp_extract({0}, '^[^:]+://[^/?#]*([^?#]*)', 1) = '' THEN '/' ELSE regexp_extract({0}, '^[^:]+://[^/?#]*([^?#]*)', 1) END)"
@@ -76,6 +77,24 @@ def default_mime_types(spark, d):
     return responses.with_default_mime(rows.select("page_id", pick(0).alias("filename"), pick(1).alias("mime"), pick(2).alias("server")), table).select("page_id", "default_mime")
 
 
+_TABLES = "t AS (SELECT DISTINCT CASE page_id % 4 WHEN 0 THEN '5.0' WHEN 1 THEN '6.0rtm' WHEN 2 THEN '6.0sp2' ELSE '4.0' END AS version, CASE WHEN page_id % 30 < 4 THEN '*' ELSE 'e' || page_id % 30 END AS ext, 'app/' || page_id % 7 AS mime FROM pages)"
+
+
+@query(f"""WITH {_TABLES}, f AS (SELECT page_id, 'e' || page_id % 37 AS ext, CASE WHEN page_id % 11 = 0 THEN 'text/html' ELSE 'app/' || page_id % 7 END AS mime, CASE page_id % 5 WHEN 0 THEN '5.0' WHEN 1 THEN '8.5' WHEN 2 THEN '4.0' WHEN 3 THEN '6.0' ELSE '1.0' END AS v FROM pages),
+a(v, table_, place) AS (VALUES ('5.0', '5.0', 0), ('4.0', '4.0', 0), ('6.0', '6.0rtm', 1), ('6.0', '6.0sp2', 3), ('8.5', '6.0rtm', 1), ('8.5', '6.0sp2', 3)), r AS (SELECT v, place, ext, mime FROM a JOIN t ON t.version = a.table_),
+s AS (SELECT v, min(place) AS place FROM r WHERE ext = '*' GROUP BY v), x AS (SELECT r.v, r.mime FROM r JOIN s ON r.v = s.v AND r.place = s.place WHERE ext = '*')
+SELECT page_id, v IN (SELECT v FROM r) AND (mime = 'text/html' OR CASE WHEN EXISTS (SELECT 1 FROM r WHERE r.v = f.v AND r.ext = f.ext) THEN EXISTS (SELECT 1 FROM r WHERE r.v = f.v AND r.ext = f.ext AND r.mime = f.mime) ELSE EXISTS (SELECT 1 FROM x WHERE x.v = f.v AND x.mime = f.mime) END) AS default_mime FROM f""")
+def default_mime_tables(spark, d):
+    """Tables of four server versions in files of their own, some of which other versions share."""
+    n, pages = F.col("page_id"), spark.read.parquet(f"{d}/pages.parquet")
+    version = F.when(n % 4 == 0, "5.0").when(n % 4 == 1, "6.0rtm").when(n % 4 == 2, "6.0sp2").otherwise("4.0")
+    folder = new_folder(spark, "types")
+    pages.select(F.when(n % 30 < 4, "*").otherwise(F.concat(F.lit("E"), (n % 30).cast("string"))).alias("ext"), F.concat(F.lit("app/"), (n % 7).cast("string")).alias("mime"), version.alias("version")).distinct().write.mode("overwrite").partitionBy("version").csv(folder, header=True)
+    server = F.concat(F.lit("Microsoft-IIS/"), F.when(n % 5 == 0, "5.0").when(n % 5 == 1, "8.5").when(n % 5 == 2, "4.0").when(n % 5 == 3, "6.0").otherwise("1.0"))
+    rows = pages.select("page_id", F.concat(F.lit("a.b.e"), (n % 37).cast("string")).alias("filename"), F.when(n % 11 == 0, "text/html").otherwise(F.concat(F.lit("app/"), (n % 7).cast("string"))).alias("mime"), server.alias("server"))
+    return responses.with_default_mime(rows, responses.mime_tables(spark, folder)).select("page_id", "default_mime")
+
+
 _REPRESENTED = "x AS (SELECT *, CASE WHEN ord % 11 = 0 THEN NULL ELSE digest END AS d, ord % 5 = 0 AS unavailable FROM caps), f AS (SELECT d, min((CAST(unavailable AS INT), ord)) AS f FROM x WHERE d IS NOT NULL GROUP BY d)"
 
 

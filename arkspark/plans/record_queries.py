@@ -181,3 +181,14 @@ def archive_file_counts(spark, d):
     names = F.array(*(F.struct(F.lit(x).alias("name")) for x in ("a.warc.gz", "b.warc.zst", "c.arc.gz", "d.txt")))
     items = _pages(spark, d).select(F.col("page_id").alias("item"), names.alias("files"), F.when(F.col("page_id") % 2 == 0, 7).alias("warc_files"), F.lit(None).cast("int").alias("arc_files"))
     return archive_files.archive_counts(items).withColumnRenamed("item", "page_id")
+
+
+@query("""SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS archive_size, CASE WHEN page_id % 3 > 0 THEN md5(html) END AS archive_md5, epoch(make_timestamp((1700000000 + page_id) * 1000000)) AS modified FROM pages""")
+def stored_file_statistics(spark, d):
+    """Files of a store, whose ETags are MD5s but for those put there in parts."""
+    pages, page = _pages(spark, d), F.col("page_id")
+    etag = F.when(page % 3 == 0, F.concat(F.md5("body"), F.lit("-2"))).when(page % 3 == 1, F.concat(F.lit('"'), F.md5("body"), F.lit('"'))).otherwise(F.md5("body"))
+    objects = pages.select(F.concat(F.lit("crawl-data/"), page.cast("string"), F.lit(".warc.gz")).alias("file"), F.octet_length("body").cast("string").alias("length"), etag.alias("etag"), F.timestamp_seconds(page + 1_700_000_000).alias("modified"))
+    rows = pages.select("page_id", F.concat(F.lit("crawl-data/"), page.cast("string"), F.lit(".warc.gz")).alias("filename"))
+    out = archive_files.with_object_statistics(rows, archive_files.object_statistics(objects))
+    return out.select("page_id", "archive_size", "archive_md5", F.unix_timestamp("archive_modified").cast("double").alias("modified"))
