@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arkspark.operators.ordinals import ordinals
@@ -59,7 +59,7 @@ def index_sample(rows: DataFrame, keys: tuple[str, ...], n: int) -> DataFrame:
 def limit_captures(rows: DataFrame, ranges: DataFrame, per_day: int, mirror_per_day: int | None = None) -> DataFrame:
     """Inside an active range (input_id, start_ts, end_ts) at most ``per_day`` captures of a request and day, all with
     status 200, others go; outside all stay. Everywhere only the first row of a request and stamp stays. ``mirror_per_day`` holds for rows with
-    ``is_mirror``.
+    ``is_mirror``; where a request has rows of both kinds, each kind's are chosen among its own.
 
     Days are summed up by partial aggregates that hold the nearest capture of each clock time; rows are joined with them once.
     """
@@ -68,12 +68,13 @@ def limit_captures(rows: DataFrame, ranges: DataFrame, per_day: int, mirror_per_
     marked = rows.join(spans, F.col("input_id") == F.col("_id"), "left").withColumn("_in", inside).withColumn("_d", F.substring("ts14", 1, 8)).drop("_id", "_spans")
     minute = F.substring("ts14", 9, 2).cast("int") * 60 + F.substring("ts14", 11, 2).cast("int")
 
-    def nearest(n: int) -> list:
+    mirror = F.coalesce("is_mirror", F.lit(False)) if "is_mirror" in rows.columns and mirror_per_day else F.lit(False)
+
+    def nearest(n: int, own: Column) -> list:
         step = 24 * 60 / n
-        return [F.min(F.struct(F.abs(minute - (step / 2 + i * step)).alias("d"), "ts14", "ord"))["ord"] for i in range(n)]
+        return [F.min(F.when(own, F.struct(F.abs(minute - (step / 2 + i * step)).alias("d"), "ts14", "ord")))["ord"] for i in range(n)]
 
-    days = marked.where("_in and status = 200").groupBy("request_url", "_d").agg(F.count("*").alias("_n"), F.array(*nearest(per_day)).alias("_picks"), F.array(*nearest(mirror_per_day or per_day)).alias("_mirror_picks"))
-    mirror = F.col("is_mirror") if "is_mirror" in rows.columns and mirror_per_day else F.lit(False)
+    days = marked.where("_in and status = 200").groupBy("request_url", "_d").agg(F.count("*").alias("_n"), F.array(*nearest(per_day, ~mirror)).alias("_picks"), F.array(*nearest(mirror_per_day or per_day, mirror)).alias("_mirror_picks"))
     most, picks = F.when(mirror, F.lit(mirror_per_day)).otherwise(F.lit(per_day)), F.when(mirror, F.col("_mirror_picks")).otherwise(F.col("_picks"))
     kept = marked.join(days, ["request_url", "_d"], "left").where(~F.col("_in") | ((F.col("status") == 200) & ((F.col("_n") <= most) | F.array_contains(picks, F.col("ord")))))
     first = kept.groupBy("request_url", "ts14").agg(F.min_by(F.struct(*(F.col(c) for c in rows.columns if c not in ("request_url", "ts14"))), "ord").alias("f"))
