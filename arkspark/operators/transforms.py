@@ -44,8 +44,8 @@ def regex_stage(pattern: str, template: str, case: str | None = None) -> Stage:
         if case is None:
             return contents.withColumn("content", F.regexp_replace("content", pattern, template))
         between = F.split("content", pattern, -1)
-        new = F.transform(F.regexp_extract_all("content", F.lit(pattern), F.lit(0)), new_text)
-        return contents.withColumn("content", F.array_join(F.transform(between, lambda text, i: F.concat(text, F.coalesce(F.get(new, i), F.lit("")))), ""))
+        matches = F.regexp_extract_all("content", F.lit(pattern), F.lit(0))
+        return contents.withColumn("content", F.array_join(F.zip_with(between, matches, lambda text, match: F.concat(text, F.coalesce(new_text(match), F.lit("")))), ""))
 
     return run
 

@@ -43,3 +43,8 @@ def test_mirror_and_own_captures_of_one_address(same):
 
 def test_hosts_as_numbers_past_65280(same):
     same("url_wayback_key_hard", [(i, "http://a.org/", "x") for i in (1, 65273, 65281, 65289, 65545, 131081, 16777217)], events((0, NOON, 0)))
+
+
+@pytest.mark.parametrize("name", ["transform_links", "transform_contents"])
+def test_page_that_holds_the_tag(same, name):
+    same(name, [(0, "http://a.org/", "<html><body>MONTAG</body></html>"), (1, "http://b.org/", "<HTML><body>a</body>")], events((0, NOON, 0)))
