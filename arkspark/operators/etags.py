@@ -2,35 +2,92 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from decimal import Decimal
+from itertools import product
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructType
+
+
+_SECOND, _SINCE_1601 = 10_000_000, 11_644_473_600
+#: Plausible times begin in 1996 and end a day after the capture, in seconds since 1970.
+_FROM, _DAY = 820_454_400, 86_400
+#: Up to here, in 2057, the two highest bytes of a plausible time are 1 and one of two digits.
+_HIGH_BYTES = (1 << 57) // _SECOND - _SINCE_1601
+
+
+def _plausible(digits: np.ndarray, length: int, until: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and their plausible ticks since 1970, of rows (columns of ``digits``) of one length, cut in every way."""
+    rows, ticks = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    highest = (1,) if (until < _HIGH_BYTES).all() else (1, 2)
+    next_highest = (2,) if highest == (1,) else (1, 2)
+    for way in product(*[(1, 2)] * 6, next_highest, highest):
+        if sum(way) != length:
+            continue
+        at, fits, total = 0, np.ones(digits.shape[1], bool), np.zeros(digits.shape[1], np.uint64)
+        for i, width in enumerate(way):
+            byte = digits[at]
+            if width == 2:
+                fits &= byte != 0
+                byte = (byte << np.uint64(4)) | digits[at + 1]
+            total |= byte << np.uint64(8 * i)
+            at += width
+        fits &= total >= np.uint64((_FROM + _SINCE_1601) * _SECOND)
+        since = total - np.uint64(_SINCE_1601 * _SECOND)
+        seconds, rest = since // np.uint64(_SECOND), since % np.uint64(_SECOND)
+        fits &= (seconds < until) | ((seconds == until) & (rest == 0))
+        rows.append(np.flatnonzero(fits))
+        ticks.append(since[fits])
+    return np.concatenate(rows), np.concatenate(ticks)
+
+
+def _ticks(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    for codes, captures in batches:
+        n = len(codes)
+        lengths = pc.utf8_length(codes).fill_null(0).to_numpy(zero_copy_only=False)
+        text = pc.utf8_rpad(codes.fill_null(""), 16, "0").cast(pa.large_string())
+        chars = np.frombuffer("".join(text.to_pylist()).encode(), np.uint8).reshape(n, 16).T.astype(np.uint64)
+        digits = np.where(chars > 57, chars - 87, chars - 48)
+        known = captures.is_valid().to_numpy(zero_copy_only=False)
+        until = np.maximum(captures.fill_null(-_DAY).to_numpy().astype(np.int64) + _DAY, 0).astype(np.uint64)
+        rows, ticks = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for length in range(8, 17):
+            which = np.flatnonzero((lengths == length) & known)
+            if len(which):
+                found, held = _plausible(digits[:, which], length, until[which])
+                rows.append(which[found])
+                ticks.append(held)
+        row, tick = np.concatenate(rows), np.concatenate(ticks)
+        order = np.lexsort((tick, row))
+        row, tick = row[order], tick[order]
+        first = np.ones(len(row), bool)
+        first[1:] = (row[1:] != row[:-1]) | (tick[1:] != tick[:-1])
+        row, tick = row[first], tick[first]
+        ends = np.searchsorted(row, np.arange(n + 1))
+        parts = pa.StructArray.from_arrays([pa.array((tick // np.uint64(_SECOND)).astype(np.int64)), pa.array((tick % np.uint64(_SECOND)).astype(np.int32))], ["seconds", "ticks"])
+        yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), parts)
+
+
+@F.arrow_udf(ArrayType(StructType().add("seconds", LongType()).add("ticks", IntegerType())))
+def _plausible_times(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    yield from _ticks(batches)
 
 
 def etag_candidates(rows: DataFrame) -> DataFrame:
     """Adds ``candidates`` (sorted array of seconds since 1970, decimal) to rows of (etag, capture_seconds).
 
-    The hexadecimal part is cut into eight bytes in every way: a byte takes one digit, or two if the first isn't 0. The
-    256 ways are a fixed small table. Times from 1996 to a day after the capture are plausible.
+    The hexadecimal part is cut into eight bytes in every way: a byte takes one digit, or two if the first isn't 0. Times from
+    1996 to a day after the capture are plausible. Each row is worked out where it is: nothing is joined or shuffled.
     """
-    spark = rows.sparkSession
-    ways = spark.range(256).select(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: (F.lit(1) + F.pmod(F.floor(F.col("id") / F.pow(F.lit(2), i)), F.lit(2))).cast("int")).alias("w"))
-    ways = ways.withColumn("total", F.aggregate("w", F.lit(0), lambda a, x: a + x))
-    keys = rows.select("etag", "capture_seconds").where("etag is not null").distinct().withColumn("_hex", F.lower(F.regexp_extract("etag", r'^(?:W/)?"?([0-9a-fA-F]{8,16}):', 1)))
-    cut = keys.join(F.broadcast(ways), F.length("_hex") == F.col("total"))
-    starts = [F.lit(1)]
-    for i in range(8):
-        starts.append(starts[-1] + F.col("w")[i])
-    piece = [F.substring(F.col("_hex"), starts[i], F.col("w")[i]) for i in range(8)]
-    fits = F.lit(True)
-    for i in range(8):
-        fits = fits & ~((F.col("w")[i] == 2) & piece[i].startswith("0"))
-    ticks = F.lit(0).cast("decimal(20,0)")
-    for i in reversed(range(8)):
-        ticks = (ticks * 256 + F.conv(piece[i], 16, 10).cast("decimal(20,0)")).cast("decimal(20,0)")
-    seconds = ((ticks - 116444736000000000).cast("decimal(20,0)") / F.lit(10_000_000).cast("decimal(20,0)")).cast("decimal(20,7)")
-    found = cut.where(fits).select("etag", seconds.alias("s"), "capture_seconds").where((F.col("s") >= 820454400) & (F.col("s") <= F.col("capture_seconds") + 86400))
-    found = found.groupBy("etag", "capture_seconds").agg(F.array_sort(F.collect_set("s")).alias("candidates"))
-    return rows.join(found, ["etag", "capture_seconds"], "left").select(*(F.col(c) for c in rows.columns), F.coalesce("candidates", F.array().cast("array<decimal(20,7)>")).alias("candidates"))
+    code = F.lower(F.regexp_extract("etag", r'^(?:W/)?"?([0-9a-fA-F]{8,16}):', 1))
+    times = F.transform("_times", lambda t: (t["seconds"].cast("decimal(13,0)") + t["ticks"].cast("decimal(7,0)") * F.lit(Decimal("0.0000001"))).cast("decimal(20,7)"))
+    out = rows.withColumn("_times", _plausible_times(code, F.col("capture_seconds").cast("bigint")))
+    return out.withColumn("candidates", F.coalesce(times, F.array().cast("array<decimal(20,7)>"))).drop("_times")
 
 
 def precise_time(seconds):
