@@ -109,4 +109,5 @@ def order_keys() -> list:
 
 
 def capture_order(rows: DataFrame) -> DataFrame:
-    return rows.orderBy(*order_keys(), "ord")
+    keys = {f"_o{i}": key for i, key in enumerate(order_keys())}
+    return rows.withColumns(keys).orderBy(*keys, "ord").drop(*keys)

@@ -56,3 +56,14 @@ def test_etag_candidates_where_the_rows_are(spark):
     assert got.pop(400) == got.pop(401) == []
     expected = {i: candidates(etag[1:-3], capture) for i, etag, capture in rows}
     assert got == expected and sum(map(len, expected.values())) > 100
+
+
+def test_orders_are_worked_out_before_the_sort(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, f"20240101{i % 24:02d}0000", f"http://www.h{i % 7}.org/{i}") for i in range(50)], "ord long, ts14 string, url string")
+    seen = []
+    monkeypatch.setattr(ordinals, "written", lambda df, label: seen.append(df) or files.written(df, label))
+    places = {r.ord: r.place for r in ordinals.ordinals(rows, *sampling.order_keys(), "ord").collect()}
+    assert [r.ord for r in sampling.capture_order(rows).collect()] == sorted(places, key=places.get)
+    for df in (seen[0], sampling.capture_order(rows)):
+        sorts = [line for line in plan(df).splitlines() if "Sort [" in line or "rangepartitioning" in line]
+        assert sorts and not any("regexp" in line for line in sorts)
