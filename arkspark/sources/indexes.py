@@ -11,6 +11,8 @@ from arkspark.functions.scalars import content_length
 CDX_FIELDS = {"N": "urlkey", "b": "ts14", "a": "url", "m": "mime", "s": "status", "k": "digest", "V": "offset", "S": "length", "g": "filename"}
 _NUMBERS = ("status", "offset", "length")
 _COLUMNS = tuple(CDX_FIELDS.values())
+#: Parts in which a file's lines are joined with its header.
+_PARTS = 256
 #: The fields that are asked of the index, in order.
 WAYBACK_FIELDS = ("ts14", "url", "status", "digest", "mime", "length", "urlkey", "filename", "offset")
 _CRAWL = "urlkey string, timestamp string, url string, mime string, status string, digest string, length string, offset string, filename string, _bad string"
@@ -35,12 +37,15 @@ def parse_cdx(lines: DataFrame, strict: bool = True) -> DataFrame:
     """Rows of space-separated index lines (path, value); each file's header line names its fields by letter.
 
     ``-`` and missing fields are null. Lines without urlkey, stamp, URL or MIME type go; a file without a header line
-    ends the job with an error if ``strict``, else its lines go and ``headerless_files`` tells of it. Headers are one short row per file and join by path.
+    ends the job with an error if ``strict``, else its lines go and ``headerless_files`` tells of it. Headers are one short row per file and join by path
+    and part of the file's lines, so that a long file goes to many tasks.
     """
     rows = lines.select("path", F.regexp_replace("value", r"\s+$", "").alias("line")).where("line <> ''")
     head = F.col("line").startswith(" CDX ")
     heads = rows.where(head).groupBy("path").agg(F.min("line").alias("head")).select("path", F.split(F.expr("substring(head, 6)"), " ").alias("codes"))
-    body = rows.where(~head).join(heads, "path", "left" if strict else "inner")
+    part = F.pmod(F.xxhash64("line"), F.lit(_PARTS)).cast("int")
+    heads = heads.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1))))
+    body = rows.where(~head).withColumn("_part", part).join(heads, ["path", "_part"], "left" if strict else "inner")
     codes = F.when(F.col("codes").isNull(), F.raise_error(F.concat(F.lit("no index header in "), "path")).cast("array<string>")).otherwise(F.col("codes"))
     body = body.select("path", F.split("line", " ").alias("parts"), codes.alias("codes"))
     value = lambda code: F.nullif(F.get("parts", F.array_position("codes", code).cast("int") - 1), F.lit("-"))

@@ -67,3 +67,10 @@ def test_orders_are_worked_out_before_the_sort(spark, monkeypatch):
     for df in (seen[0], sampling.capture_order(rows)):
         sorts = [line for line in plan(df).splitlines() if "Sort [" in line or "rangepartitioning" in line]
         assert sorts and not any("regexp" in line for line in sorts)
+
+
+def test_lines_of_one_file_in_many_tasks(spark):
+    lines = spark.createDataFrame([("f", " CDX N b a m")] + [("f", f"k{i} 2000 http://a/{i} text/html") for i in range(200)], "path string, value string")
+    with plainly(spark):
+        found = indexes.parse_cdx(lines).withColumn("task", F.spark_partition_id()).collect()
+    assert len(found) == 200 and len({r.task for r in found}) > 1
