@@ -61,11 +61,12 @@ def limit_captures(rows: DataFrame, ranges: DataFrame, per_day: int, mirror_per_
     status 200, others go; outside all stay. Everywhere only the first row of a request and stamp stays. ``mirror_per_day`` holds for rows with
     ``is_mirror``; where a request has rows of both kinds, each kind's are chosen among its own.
 
+    Ranges are configuration: each input's become one array, so that rows meet them where they are, however many an input has.
     Days are summed up by partial aggregates that hold the nearest capture of each clock time; rows are joined with them once.
     """
     spans = ranges.groupBy(F.col("input_id").alias("_id")).agg(F.collect_list(F.struct("start_ts", "end_ts")).alias("_spans"))
     inside = F.coalesce(F.exists("_spans", lambda s: (F.col("ts14") >= s["start_ts"]) & (F.col("ts14") <= s["end_ts"])), F.lit(False))
-    marked = rows.join(spans, F.col("input_id") == F.col("_id"), "left").withColumn("_in", inside).withColumn("_d", F.substring("ts14", 1, 8)).drop("_id", "_spans")
+    marked = rows.join(F.broadcast(spans), F.col("input_id") == F.col("_id"), "left").withColumn("_in", inside).withColumn("_d", F.substring("ts14", 1, 8)).drop("_id", "_spans")
     minute = F.substring("ts14", 9, 2).cast("int") * 60 + F.substring("ts14", 11, 2).cast("int")
 
     mirror = F.coalesce("is_mirror", F.lit(False)) if "is_mirror" in rows.columns and mirror_per_day else F.lit(False)

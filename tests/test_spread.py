@@ -83,3 +83,12 @@ def test_text_index_of_a_source_in_several_files(spark, monkeypatch):
     monkeypatch.setattr(indexes, "lines_of", lambda spark, path, whole=False: seen.append(read(spark, path, whole)) or seen[-1])
     found = sorted(map(str, QUERIES["index_text_files"](spark, SF).collect()))
     assert found == expected and seen[0].select("path").distinct().count() > 3
+
+
+def test_ranges_meet_rows_where_they_are(spark):
+    rows = spark.createDataFrame([(i, "a", "u", f"20240101{i:02d}0000", 200) for i in range(24)], "ord long, input_id string, request_url string, ts14 string, status int")
+    ranges = spark.createDataFrame([("a", "20240101", "20240102")], "input_id string, start_ts string, end_ts string")
+    with plainly(spark):
+        out = sampling.limit_captures(rows, ranges, 2)
+        assert "SortMergeJoin [input_id" not in plan(out)
+        assert sorted(r.ord for r in out.collect()) == [6, 18]
