@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from datetime import UTC, datetime
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ COLLECTION_QUIRKS = (
 ARC_TAGS = ("arc:software", "arc:hostname", "arc:ip", "dcterms:isPartOf", "dc:description", "ns0:date", "arc:operator", "arc:http-header-user-agent", "arc:http-header-from", "arc:robots", "dc:format", "dcterms:conformsTo")
 #: How far before and after a response its related records may lie, in bytes.
 NEARBY = 512_000
+#: Bytes of records and rows that a task takes apart at once: their parts are held beside them.
+_PIECE, _ROWS = 4 << 20, 256
 
 
 class RecordError(ValueError):
@@ -147,8 +150,22 @@ def _arc_time(stamp: str) -> str:
         return stamp
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in pieces of about ``_PIECE`` bytes of records, ``_ROWS`` rows at most, one row at least."""
     for batch in batches:
+        sizes = pc.binary_length(batch.column("record")).fill_null(0).to_pylist()
+        start = held = 0
+        for at, size in enumerate(sizes):
+            if at > start and (held + size > _PIECE or at - start == _ROWS):
+                yield batch.slice(start, at - start)
+                start, held = at, 0
+            held += size
+        if start < len(sizes):
+            yield batch.slice(start)
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in _pieces(batches):
         flags = [batch.column(c).to_pylist() for c in ("trailing_newline", "dechunked", "extra_blank_line")]
         out = []
         for record, newline, dechunked, blank in zip(batch.column("record").to_pylist(), *flags, strict=True):

@@ -5,9 +5,10 @@ from contextlib import contextmanager
 from decimal import Decimal
 from itertools import product
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from arkspark.operators import etags, ordinals, sampling
+from arkspark.operators import etags, ordinals, records, sampling
 from arkspark.plans import QUERIES, archive_queries
 from arkspark.sources import files, indexes, outputs
 
@@ -100,3 +101,15 @@ def test_rows_of_one_input_in_several_files(spark, tmp_path):
         back = outputs.write_by_input(rows, str(tmp_path), ("id",))
         assert sorted(r.id for r in back.collect()) == list(range(400))
     assert len(list(tmp_path.glob("input_id=one/*.csv"))) > 1
+
+
+def test_records_are_taken_apart_in_pieces():
+    block = b"HTTP/1.1 200 OK\r\n\r\n" + b"x" * 20_000
+    record = b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(block), block)
+    rows = [record if i % 3 else None for i in range(999)]
+    flags = pa.array([None] * 999, pa.bool_())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(999)), pa.array(rows, pa.binary()), flags, flags, flags], ["n", "record", "trailing_newline", "dechunked", "extra_blank_line"])
+    out = list(records._parse(iter([batch, batch.slice(0, 0)])))
+    assert max(b.num_rows for b in out) <= 256 and max(b.nbytes for b in out) < 8 << 20
+    assert [n for b in out for n in b.column("n").to_pylist()] == list(range(999))
+    assert [e for b in out for e in b.column("error").to_pylist()] == [None if r else "no record" for r in rows]
