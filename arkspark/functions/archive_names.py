@@ -56,13 +56,15 @@ def without_extensions(file: Column) -> Column:
 
 def record_format(name: Column) -> Column:
     """"warc" or "arc", compressed or not; null for any other extension."""
-    return _group(F.lower(name), r"\.(warc|arc)(?:\.zst)?(?:\.gz)?$", 1)
+    return F.lower(_group(name, r"(?i)\.(warc|arc)(?:\.zst)?(?:\.gz)?$", 1))
 
 
 def _moment(digits: Column, length: int = 14) -> Column:
     """Time without zone of yyyyMMddHHmmss, a stamp of 17 digits without its milliseconds; null if there is no such time."""
     parts = (F.substring(digits, at, n) for at, n in ((1, 4), (5, 2), (7, 2), (9, 2), (11, 2), (13, 2)))
-    return F.when(digits.rlike(rf"^\d{{{length}}}$"), F.format_string("%s-%s-%s %s:%s:%s", *parts).try_cast("timestamp_ntz"))
+    marks = (F.lit(x) for x in ("-", "-", " ", ":", ":"))
+    text = F.concat(next(parts), *(x for mark in marks for x in (mark, next(parts))))
+    return F.when(digits.rlike(rf"^\d{{{length}}}$"), text.try_cast("timestamp_ntz"))
 
 
 def _utc(local: Column) -> Column:
@@ -627,13 +629,8 @@ def may_be_of(name: Column, families: tuple[str, ...] = tuple(FAMILIES)) -> Colu
     return out
 
 
-def archive_name_candidates(name: Column, stamp: Column | None = None, families: tuple[str, ...] = tuple(FAMILIES)) -> Column:
-    """All readings of a name, best first, equal scores in the order of ``FAMILIES``: an array of (confidence, layout,
-    record_format, details).
-
-    ``stamp`` is the 14-digit stamp of a capture in the file: it raises the score of layouts in whose time it lies.
-    Null and empty names, and those of an unknown extension, have none.
-    """
+def _readings(name: Column, stamp: Column | None, families: tuple[str, ...]) -> Column:
+    """An array of the reading of each layout, in the order of ``FAMILIES``, nulls where one doesn't fit."""
 
     def readings(parts: Column) -> Column:
         n = Name(parts)
@@ -647,11 +644,27 @@ def archive_name_candidates(name: Column, stamp: Column | None = None, families:
             return with_generic(None)
         return bind(_generic(n.base, n.format), with_generic)
 
-    found = F.filter(bind(Name.parts(name, F.lit(None).cast("string") if stamp is None else stamp), readings), lambda x: x.isNotNull())
+    return bind(Name.parts(name, F.lit(None).cast("string") if stamp is None else stamp), readings)
+
+
+def best_reading(readings: Column) -> Column:
+    """Of an array of readings that with the best score, of equal ones the first; null if all are."""
+    ranked = F.transform(readings, lambda r, i: F.when(r.isNotNull(), F.struct(r["confidence"].alias("confidence"), (-i).alias("place"), r.alias("reading"))))
+    return F.array_max(ranked)["reading"]
+
+
+def archive_name_candidates(name: Column, stamp: Column | None = None, families: tuple[str, ...] = tuple(FAMILIES)) -> Column:
+    """All readings of a name, best first, equal scores in the order of ``FAMILIES``: an array of (confidence, layout,
+    record_format, details).
+
+    ``stamp`` is the 14-digit stamp of a capture in the file: it raises the score of layouts in whose time it lies.
+    Null and empty names, and those of an unknown extension, have none.
+    """
+    found = F.filter(_readings(name, stamp, families), lambda x: x.isNotNull())
     ranked = F.transform(found, lambda x, i: F.struct(x["confidence"].alias("confidence"), (-i).alias("place"), x.alias("reading")))
     return F.transform(F.array_sort(ranked, lambda x, y: F.when(x["confidence"] != y["confidence"], F.when(x["confidence"] > y["confidence"], -1).otherwise(1)).otherwise(y["place"] - x["place"])), lambda x: x["reading"])
 
 
 def archive_name(name: Column, stamp: Column | None = None, families: tuple[str, ...] = tuple(FAMILIES)) -> Column:
     """The reading with the best score, of equal ones the first in ``FAMILIES``; null if no layout fits."""
-    return F.get(archive_name_candidates(name, stamp, families), F.lit(0))
+    return best_reading(_readings(name, stamp, families))

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    """``use`` of a value that is worked out once.
+
+    By ``try_element_at``, which tells its type once; ``get`` tells it again for every row, of all that is nested in it.
+    """
+    return F.try_element_at(F.transform(F.array(value), use), F.lit(1))
 
 
 def base32_sha1(content: Column) -> Column:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arkspark.functions.archive_names import FAMILIES, FIELDS, archive_name, may_be_of
+from arkspark.functions.archive_names import FAMILIES, FIELDS, archive_name, best_reading, may_be_of
 from arkspark.sources.files import written
 
 _READING = "struct<confidence:double,layout:string,record_format:string,details:struct<" + ",".join(f"{name}:{kind}" for name, kind in FIELDS) + ">>"
@@ -33,16 +33,12 @@ def with_archive_names(df: DataFrame, name: str = "filename", stamp: str | None
     application = df.sparkSession.sparkContext.applicationId
     known_end = F.lower(F.col(name)).rlike(r"\.w?arc(\.zst)?(\.gz)?$")
     error = F.when(F.col(name).isNotNull() & ~known_end, F.lit("unknown record format"))
-    readings = [
-        known.where(F.col("_of").bitwiseAND(1 << i) > 0).select("_name", "_stamp").repartition(spread).select("_name", "_stamp", F.lit(i).alias("_place"), _reading((family,), application).alias("archive_file"))
-        for i, family in enumerate(families)
-        if seen[i]
-    ]
-    if not readings:
+    planned = [(i, family) for i, family in enumerate(families) if seen[i]]
+    if not planned:
         return df.withColumns({"archive_file": F.lit(None).cast(_READING), "archive_file_error": error})
-    found = reduce(DataFrame.unionByName, readings).where("archive_file is not null")
-    # Of equal scores the first in the order of the families.
-    best = found.groupBy("_name", "_stamp").agg(F.min_by("archive_file", F.struct(-F.col("archive_file.confidence"), "_place")).alias("archive_file"))
+    readings = F.array(*(F.when(F.col("_of").bitwiseAND(1 << i) > 0, _reading((family,), application)) for i, family in planned))
+    # Of equal scores the first in the order of the families. All in one expression: a filter on readings would be worked out before the rows are spread as well.
+    best = known.repartition(spread).select("_name", "_stamp", best_reading(readings).alias("archive_file"))
     same = F.col(name).eqNullSafe(F.col("_name"))
     if stamp:
         same = same & F.col(stamp).cast("string").eqNullSafe(F.col("_stamp"))
