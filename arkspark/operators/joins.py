@@ -41,10 +41,14 @@ def apply_patches(index: DataFrame, patches: DataFrame, columns: tuple[str, ...]
 def resolve_revisits(rows: DataFrame) -> DataFrame:
     """Revisit rows (refers_url, refers_ts not null) get status and digest of the first row of that address and stamp.
 
-    One hop over the rows as they come; ``error`` tells of a target that is missing or is itself a revisit.
+    One hop over the rows as they come; ``error`` tells of a target that is missing or is itself a revisit. Rows that refer to nothing are spread by ord: by
+    their null address alone, all would be in one task.
     """
     to = rows.groupBy("url", "ts14").agg(F.min_by(F.struct("ord", "status", "digest", F.col("refers_url").isNotNull().alias("again")), "ord").alias("t"))
-    out = rows.alias("r").join(to.alias("o"), (F.col("r.refers_url") == F.col("o.url")) & (F.col("r.refers_ts") == F.col("o.ts14")), "left")
+    refers = F.col("refers_url").isNotNull() & F.col("refers_ts").isNotNull()
+    placed = rows.withColumn("_place", F.when(refers, F.xxhash64("refers_url", "refers_ts")).otherwise(F.xxhash64("ord")))
+    targets = to.withColumn("_place", F.xxhash64("url", "ts14"))
+    out = placed.alias("r").join(targets.alias("o"), (F.col("r._place") == F.col("o._place")) & (F.col("r.refers_url") == F.col("o.url")) & (F.col("r.refers_ts") == F.col("o.ts14")), "left")
     revisit = F.col("r.refers_url").isNotNull()
     error = F.when(revisit & F.col("o.t").isNull(), "missing").when(revisit & F.col("o.t.again"), "chain")
     return out.select("r.ord", "r.url", "r.ts14", F.when(revisit & F.col("o.t").isNotNull(), F.col("o.t.status")).otherwise(F.col("r.status")).alias("status"), F.when(revisit & F.col("o.t").isNotNull(), F.col("o.t.digest")).otherwise(F.col("r.digest")).alias("digest"), F.col("o.t.ord").alias("target_ord"), error.alias("error"))

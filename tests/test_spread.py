@@ -1,6 +1,7 @@
 """Steps that must not gather in one task what grows with the input: their plans, and the same rows as before."""
 
 import random
+from collections import Counter
 from contextlib import contextmanager
 from decimal import Decimal
 from itertools import product
@@ -8,7 +9,7 @@ from itertools import product
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from arkspark.operators import etags, ordinals, records, sampling
+from arkspark.operators import etags, joins, ordinals, records, sampling
 from arkspark.plans import QUERIES, archive_queries
 from arkspark.sources import files, indexes, outputs
 
@@ -121,3 +122,15 @@ def test_json_index_files_hold_many_pages(spark, monkeypatch):
     QUERIES["index_json_files"](spark, SF).collect()
     pages = spark.read.parquet(f"{SF}/pages.parquet").count()
     assert 1 <= seen[0].select("path").distinct().count() <= pages // 64 + 1
+
+
+def test_rows_that_refer_to_nothing_are_spread(spark):
+    rows = spark.createDataFrame(
+        [(i, f"u{i}", "2000", 200, f"d{i}", f"u{i - 1}" if i % 50 == 1 else "gone" if i % 50 == 2 else None, None if i % 50 == 0 else "2000") for i in range(400)],
+        "ord long, url string, ts14 string, status int, digest string, refers_url string, refers_ts string",
+    )
+    with plainly(spark):
+        found = joins.resolve_revisits(rows).withColumn("task", F.spark_partition_id()).collect()
+    plain = Counter(r.task for r in found if r.ord % 50 > 2)
+    assert len(found) == 400 and len(plain) > 1 and max(plain.values()) < 200
+    assert {r.ord: (r.digest, r.target_ord, r.error) for r in found} == {i: (f"d{i - 1}", i - 1, None) if i % 50 == 1 else (f"d{i}", None, "missing" if i % 50 == 2 else None) for i in range(400)}
