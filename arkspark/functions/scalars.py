@@ -29,7 +29,7 @@ def mime_type(content_type: Column, index_mime: Column) -> Column:
 
 def header_value(headers: Column, name: str) -> Column:
     """First value of that name, in any case, of array<struct<name, value>>."""
-    return F.get(F.filter(headers, lambda h: F.lower(h["name"]) == name.lower()), F.lit(0))["value"]
+    return F.try_element_at(F.filter(headers, lambda h: F.lower(h["name"]) == name.lower()), F.lit(1))["value"]
 
 
 def parse_headers(block: Column) -> Column:

@@ -71,7 +71,7 @@ def crawler_info(rows: DataFrame, periods: DataFrame, overrides: DataFrame | Non
     bare = lambda h: F.lower(F.substring_index(h, ":", 1))
     name, host, known = F.lower("crawler_name"), bare(F.col("crawler_hostname")), F.col("period.knownCrawlers")
     fits = lambda c: F.coalesce(F.lower(c["crawlerName"]) == name, F.lit(False)) | F.coalesce(bare(c["crawlerHostname"]) == host, F.lit(False))
-    match = F.get(F.filter(known, fits), F.lit(0))
+    match = F.try_element_at(F.filter(known, fits), F.lit(1))
     text = F.lit(None).cast("string")
 
     def info(name=text, hostname=text, secondary=text, ip=text, ip_range=text, known=None) -> Column:
@@ -79,13 +79,13 @@ def crawler_info(rows: DataFrame, periods: DataFrame, overrides: DataFrame | Non
         return F.struct(name.alias("name"), hostname.alias("hostname"), secondary.alias("hostname_secondary"), ip.alias("ip_address"), ip_range.alias("ip_range"), many.alias("known"))
 
     overridden = (F.col("provider") == override_provider) & F.col("has_override")
-    told = (
+    told = lambda match: (
         F.when(overridden, info(hostname=F.col("override.crawlerHostname"), ip=F.col("override.crawlerIpAddress")))
         .when(F.col("period.crawlerIpRange").isNotNull(), info(ip_range=F.col("period.crawlerIpRange")))
         .when(match.isNotNull(), info(match["crawlerName"], match["crawlerHostname"], match["crawlerHostnameSecondary"], match["crawlerIpAddress"]))
         .when(F.size(known).between(1, 5), info(known=known))
     )
-    return out.withColumn("crawler_info", told).drop("period", "has_override", "override")
+    return out.withColumn("crawler_info", bind(match, told)).drop("period", "has_override", "override")
 
 
 def prefix_periods(rows: DataFrame, rules: DataFrame) -> DataFrame:
@@ -116,10 +116,15 @@ def derived_headers(template: Column, host: Column, referer: Column) -> Column:
 
 def replace_header(headers: Column, name: str, value: Column) -> Column:
     """``headers`` with a value in the place of the first of that name, or at the end; unchanged for a null value."""
-    new = F.struct(F.lit(name).alias("name"), value.alias("value"), F.lit(False).alias("unconfirmed"))
-    at = F.array_position(F.transform(headers, lambda h: F.lower(h["name"])), name.lower())
-    placed = F.when(at > 0, F.transform(headers, lambda h, i: F.when(i == at - 1, new).otherwise(h))).otherwise(F.concat(headers, F.array(new)))
-    return F.when(value.isNotNull(), placed).otherwise(headers)
+
+    def told(b: Column) -> Column:
+        headers, value = b["headers"], b["value"]
+        new = F.struct(F.lit(name).alias("name"), value.alias("value"), F.lit(False).alias("unconfirmed"))
+        at = F.array_position(F.transform(headers, lambda h: F.lower(h["name"])), name.lower())
+        placed = bind(at, lambda at: F.when(at > 0, F.transform(headers, lambda h, i: F.when(i == at - 1, new).otherwise(h))).otherwise(F.concat(headers, F.array(new))))
+        return F.when(value.isNotNull(), placed).otherwise(headers)
+
+    return bind(F.struct(headers.alias("headers"), value.alias("value")), told)
 
 
 def request_headers(rows: DataFrame, periods: DataFrame, overrides: DataFrame, principals: DataFrame) -> DataFrame:
@@ -156,9 +161,14 @@ def crawl_info(kind: Column, content: Column) -> Column:
     pairs = F.when(kind == "warc-info", warcinfo_fields(content)).when(kind == "arc-header", arc_description(content))
 
     def told(p: Column) -> Column:
-        values = {k: header_value(p, name) for k, name in CRAWL_FIELDS.items()}
+        # Names in lower case once, so that a field's place is found without a look at each pair by an expression.
+        named = F.struct(F.transform(p, lambda h: F.lower(h["name"])).alias("names"), F.transform(p, lambda h: h["value"]).alias("values"))
+        return bind(bind(named, taken), lambda s: F.when(F.coalesce(*(s[k] for k in CRAWL_FIELDS)).isNotNull(), s))
+
+    def taken(n: Column) -> Column:
+        values = {k: F.get(n["values"], F.array_position(n["names"], name.lower()) - 1) for k, name in CRAWL_FIELDS.items()}
         values["publisher"] = F.when(kind == "warc-info", values["publisher"])
-        return F.when(F.coalesce(*values.values()).isNotNull(), F.struct(*(v.alias(k) for k, v in values.items())))
+        return F.struct(*(v.alias(k) for k, v in values.items()))
 
     return bind(pairs, told)
 
@@ -186,14 +196,16 @@ def _decoded(text: Column) -> Column:
 def tracking_referers(text: Column) -> Column:
     """Distinct referrers in the tracking images of a page: parameter r, or r inside the address of the toolbar."""
 
-    def of(pattern: str, separator: str) -> Column:
+    def of(text: Column, pattern: str, separator: str) -> Column:
         query = F.get(F.split(F.regexp_extract(text, pattern, 1), r"\?"), F.lit(1))
-        parts = F.coalesce(F.split(query, separator), F.array().cast("array<string>"))
+        return bind(F.coalesce(F.split(query, separator), F.array().cast("array<string>")), told)
+
+    def told(parts: Column) -> Column:
         inner = lambda p: bind(_decoded(F.substring(p, F.lit(5), F.length(p))), lambda c: F.when(F.substring_index(c, "?", 1) == TOOLBAR, F.filter(F.split(F.get(F.split(c, r"\?"), F.lit(1)), "&"), lambda s: s.startswith("r=") & (F.length(s) > 2))))
         nested = F.flatten(F.filter(F.transform(F.filter(parts, lambda p: p.startswith("URI=")), inner), lambda x: x.isNotNull()))
         return F.transform(F.concat(nested, F.filter(parts, lambda p: p.startswith("r="))), lambda s: _decoded(F.substring(s, F.lit(3), F.length(s))))
 
-    return F.array_distinct(F.concat(*(of(p, s) for p, s in TRACKING_IMAGES)))
+    return F.array_distinct(bind(text, lambda t: F.concat(*(of(t, p, s) for p, s in TRACKING_IMAGES))))
 
 
 def with_referer(pages: DataFrame) -> DataFrame:
@@ -210,11 +222,12 @@ def enrich(rows: DataFrame, crawlers: DataFrame, headers: DataFrame, overrides:
     from arkspark.operators.archive_files import with_archive_names, with_file_statistics
     from arkspark.operators.etags import exact_modification
 
-    out = exact_modification(rows)
-    out = with_archive_names(out, "filename", "ts14", families).withColumn("crawl_info", crawl_info(F.col("record_kind"), F.col("record_content")))
+    # What records and pages tell first, where the rows are: whoever needs no contents then has none of them sent to the names of their files.
+    described = F.when(F.col("record_kind") == "warc-info", warcinfo_fields(F.col("record_content"))).when(F.col("record_kind") == "arc-header", arc_description(F.col("record_content")))
+    told = rows.withColumns({"crawl_info": crawl_info(F.col("record_kind"), F.col("record_content")), "description": described})
+    out = with_archive_names(exact_modification(with_referer(told)), "filename", "ts14", families)
     d = F.col("archive_file.details")
     out = out.withColumns({"provider": d["crawl_provider"], "crawler_name": d["crawler_name"], "crawler_hostname": d["crawler_hostname"], "crawl_identifier": d["crawl_identifier"], "record_format": F.col("archive_file.record_format")})
     out = crawler_info(out, crawlers, overrides).withColumn("archive_file_info", archive_file_info(F.col("archive_file"), F.col("crawler_info")))
-    described = F.when(F.col("record_kind") == "warc-info", warcinfo_fields(F.col("record_content"))).when(F.col("record_kind") == "arc-header", arc_description(F.col("record_content")))
-    out = request_headers(with_referer(out.withColumn("description", described)), headers, overrides, principals)
+    out = request_headers(out, headers, overrides, principals)
     return with_file_statistics(out, statistics)

@@ -78,22 +78,25 @@ def _plausible_times(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[p
     yield from _ticks(batches)
 
 
+def _with_times(rows: DataFrame) -> DataFrame:
+    """Adds ``_times``, the plausible times in their order: whole seconds since 1970 and ticks of 100 ns."""
+    code = F.lower(F.regexp_extract("etag", r'^(?:W/)?"?([0-9a-fA-F]{8,16}):', 1))
+    return rows.withColumn("_times", _plausible_times(code, F.col("capture_seconds").cast("bigint")))
+
+
 def etag_candidates(rows: DataFrame) -> DataFrame:
     """Adds ``candidates`` (sorted array of seconds since 1970, decimal) to rows of (etag, capture_seconds).
 
     The hexadecimal part is cut into eight bytes in every way: a byte takes one digit, or two if the first isn't 0. Times from
     1996 to a day after the capture are plausible. Each row is worked out where it is: nothing is joined or shuffled.
     """
-    code = F.lower(F.regexp_extract("etag", r'^(?:W/)?"?([0-9a-fA-F]{8,16}):', 1))
     times = F.transform("_times", lambda t: (t["seconds"].cast("decimal(13,0)") + t["ticks"].cast("decimal(7,0)") * F.lit(Decimal("0.0000001"))).cast("decimal(20,7)"))
-    out = rows.withColumn("_times", _plausible_times(code, F.col("capture_seconds").cast("bigint")))
-    return out.withColumn("candidates", F.coalesce(times, F.array().cast("array<decimal(20,7)>"))).drop("_times")
+    return _with_times(rows).withColumn("candidates", F.coalesce(times, F.array().cast("array<decimal(20,7)>"))).drop("_times")
 
 
-def precise_time(seconds):
-    """ISO time with nine digits of decimal seconds."""
-    whole = F.floor(seconds)
-    return F.concat(F.date_format(F.timestamp_seconds(whole.cast("long")), "yyyy-MM-dd'T'HH:mm:ss."), F.rpad(F.lpad(((seconds - whole) * 10_000_000).cast("long").cast("string"), 7, "0"), 9, "0"), F.lit("Z"))
+def precise_time(time):
+    """ISO time with nine digits of seconds and ticks of 100 ns."""
+    return F.concat(F.date_format(F.timestamp_seconds(time["seconds"]), "yyyy-MM-dd'T'HH:mm:ss."), F.rpad(F.lpad(time["ticks"].cast("string"), 7, "0"), 9, "0"), F.lit("Z"))
 
 
 def exact_modification(rows: DataFrame) -> DataFrame:
@@ -103,11 +106,11 @@ def exact_modification(rows: DataFrame) -> DataFrame:
     that make such ETags. A single candidate is the time; of several, the first is it as well if its fraction ends in zeros as a whole
     second does, but only without a modification time.
     """
-    with_times = etag_candidates(rows)
+    with_times = _with_times(rows)
     dated = F.col("modified_seconds").isNotNull()
-    fitting = F.filter("candidates", lambda c: F.when(dated, F.floor(c) == F.col("modified_seconds")).otherwise(F.coalesce(F.lower("server").contains("microsoft-iis"), F.lit(False))))
+    fitting = F.filter(F.coalesce("_times", F.array().cast("array<struct<seconds:bigint,ticks:int>>")), lambda c: F.when(dated, c["seconds"] == F.col("modified_seconds")).otherwise(F.coalesce(F.lower("server").contains("microsoft-iis"), F.lit(False))))
     out = with_times.withColumn("candidates", F.transform(F.when(F.col("etag").isNotNull(), fitting), precise_time))
     several = F.size("candidates") > 1
     first = F.get("candidates", F.lit(0))
     exact = F.when(F.size("candidates") == 1, first).when(several & ~dated & first.endswith("0000000000Z"), first)
-    return out.withColumns({"modified_precise": exact, "modified_candidates": F.when(several, F.col("candidates"))}).drop("candidates")
+    return out.withColumns({"modified_precise": exact, "modified_candidates": F.when(several, F.col("candidates"))}).drop("candidates", "_times")

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arkspark.functions.scalars import header_value, parse_headers
+from arkspark.functions.scalars import bind, header_value, parse_headers
 
 _PAIRS = "array<struct<name:string,value:string>>"
 PARSED = f"kind string, record_id string, concurrent_to string, refers_to string, url string, ip string, ts string, method string, protocol string, status int, status_message string, metadata {_PAIRS}, headers {_PAIRS}, content binary, error string"
@@ -234,10 +234,13 @@ def warcinfo_fields(content: Column) -> Column:
 
 def arc_description(content: Column) -> Column:
     """array<struct<name, value>> of the tags in an ARC file's first record; empty without its metadata element."""
-    text = F.decode(content, "ISO-8859-1")
-    found = [F.struct(F.lit(tag.rpartition(":")[2]).alias("name"), F.nullif(F.regexp_extract(text, f"<{tag}.*?>(.*)</{tag}>", 1), F.lit("")).alias("value")) for tag in ARC_TAGS]
-    whole = text.contains("<arcmetadata") & text.contains("</arcmetadata>")
-    return F.filter(F.array(*found), lambda p: whole & p["value"].isNotNull())
+
+    def told(text: Column) -> Column:
+        found = [F.struct(F.lit(tag.rpartition(":")[2]).alias("name"), F.when(text.contains(f"</{tag}>"), F.nullif(F.regexp_extract(text, f"<{tag}.*?>(.*)</{tag}>", 1), F.lit(""))).alias("value")) for tag in ARC_TAGS]
+        whole = text.contains("<arcmetadata") & text.contains("</arcmetadata>")
+        return F.filter(F.when(whole, F.array(*found)).otherwise(F.array().cast("array<struct<name:string,value:string>>")), lambda p: p["value"].isNotNull())
+
+    return bind(F.decode(content, "ISO-8859-1"), told)
 
 
 def record_kind(warc_type: Column) -> Column:

@@ -1,6 +1,7 @@
 """Steps that must not gather in one task what grows with the input: their plans, and the same rows as before."""
 
 import random
+import re
 from collections import Counter
 from contextlib import contextmanager
 from decimal import Decimal
@@ -134,3 +135,10 @@ def test_rows_that_refer_to_nothing_are_spread(spark):
     plain = Counter(r.task for r in found if r.ord % 50 > 2)
     assert len(found) == 400 and len(plain) > 1 and max(plain.values()) < 200
     assert {r.ord: (r.digest, r.target_ord, r.error) for r in found} == {i: (f"d{i - 1}", i - 1, None) if i % 50 == 1 else (f"d{i}", None, "missing" if i % 50 == 2 else None) for i in range(400)}
+
+
+def test_pages_are_read_before_names_are_joined(spark):
+    lines = QUERIES["captures_enriched"](spark, SF)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joined = next(i for i, line in enumerate(lines) if "Join" in line and re.search(r"\b_name#", line))
+    read = [i for i, line in enumerate(lines) if '<img src="(.+?)"' in line]
+    assert read and min(read) > joined
